@@ -1,0 +1,200 @@
+"""How single records are read: lenient numbers, absent fields, slices, dead letters."""
+
+from __future__ import annotations
+
+import json
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from hourtally.functions import hours, text, variants
+from hourtally.operators import envelope, feeds, readings, rollup
+from hourtally.plans import report
+from tests import helpers
+
+H1970 = "1970-01-01 00:00:00"
+H2017 = "2017-06-06 16:00:00"
+MS = 1496767720000
+
+# value of a sales record -> (hour, amount), or the reason it is set aside
+SALES = [
+    ("{not json", readings.NOT_READABLE),
+    ('{"x":1}', readings.NO_TIME),
+    ('{"payload":null}', readings.NO_TIME),
+    ('{"payload":[1]}', readings.NO_TIME),
+    ('{"payload":"text"}', readings.NO_TIME),
+    (None, readings.NOT_READABLE),
+    ("", readings.NOT_READABLE),
+    ("   ", readings.NOT_READABLE),
+    ('{"payload":{"SALES_DATE":1', readings.NOT_READABLE),
+    ('{"payload":{"ORDER_VALUE":1.5}}', readings.NO_TIME),
+    ('{"payload":{"SALES_DATE":1}}', readings.NO_FIELD),
+    ('{"payload":{"SALES_DATE":null,"ORDER_VALUE":null}}', (H1970, 0.0)),
+    ('{"payload":{"SALES_DATE":"abc","ORDER_VALUE":"12.5"}}', (H1970, 12.5)),
+    ('{"payload":{"SALES_DATE":1496767720000.9,"ORDER_VALUE":7}}', (H2017, 7.0)),
+    ('{"payload":{"SALES_DATE":"12.5","ORDER_VALUE":true}}', (H1970, 1.0)),
+    ('{"payload":{"SALES_DATE":1,"ORDER_VALUE":2}} trailing', (H1970, 2.0)),
+    ('{"payload":{"SALES_DATE":{"a":1},"ORDER_VALUE":[1]}}', (H1970, 0.0)),
+    ('{"payload":{"SALES_DATE":"1496767720000","ORDER_VALUE":" 2.5 "}}', (H2017, 2.5)),
+    ('{"payload":{"SALES_DATE":"1.49676772e12","ORDER_VALUE":"1e3"}}', (H2017, 1000.0)),
+    ('{"payload":{"SALES_DATE":true,"ORDER_VALUE":false}}', (H1970, 0.0)),
+    ('{"payload":{"SALES_DATE":"","ORDER_VALUE":""}}', (H1970, 0.0)),
+    ('{"payload":{"SALES_DATE":-1,"ORDER_VALUE":-4}}', ("1969-12-31 23:00:00", -4.0)),
+    ('{"payload":{"SALES_DATE":1,"SALES_DATE":1496767720000,"ORDER_VALUE":3}}', (H2017, 3.0)),
+    ('{"payload":{"SALES_DATE":1e300,"ORDER_VALUE":1}}', readings.TIME_RANGE),
+    ('{"payload":{"SALES_DATE":"-Infinity","ORDER_VALUE":1}}', readings.TIME_RANGE),
+    ('{"payload":{"SALES_DATE":99999999999999999999,"ORDER_VALUE":1}}', readings.TIME_RANGE),
+    ('{"payload":{"SALES_DATE":9223372036854775807,"ORDER_VALUE":1}}', readings.TIME_RANGE),
+    ('{"payload":{"SALES_DATE":-9223372036854775808,"ORDER_VALUE":1}}', readings.TIME_RANGE),
+    ('{"payload":{"SALES_DATE":"NaN","ORDER_VALUE":1}}', (H1970, 1.0)),
+    ('{"payload":{"SALES_DATE":1,"ORDER_VALUE":1e300}}', readings.AMOUNT_RANGE),
+    ('{"payload":{"SALES_DATE":1,"ORDER_VALUE":"NaN"}}', readings.AMOUNT_RANGE),
+    ('{"payload":{"SALES_DATE":1,"ORDER_VALUE":"-Infinity"}}', readings.AMOUNT_RANGE),
+    ('{"payload":{"SALES_DATE":1,"ORDER_VALUE":1e17}}', (H1970, 1e17)),
+    ('{"schema":{},"payload":{"ID":1,"SALES_DATE":1,"ORDER_VALUE":0.1}}', (H1970, 0.1)),
+]
+
+CLICKS = [
+    (helpers.click(MS, "firstPage", eventAction="popup"), (H2017, 1)),
+    (helpers.click(MS, "FirstPage"), None),
+    (helpers.click(MS, "firstPage "), None),
+    (helpers.click(MS, "browseProduct"), None),
+    (helpers.click(MS, None), None),
+    (helpers.click(str(MS), "firstPage"), (H2017, 1)),
+    (helpers.click("no number", "firstPage"), (H1970, 1)),
+    (helpers.click(None, "firstPage"), (H1970, 1)),
+    (helpers.tweet('{"eventCategory":"firstPage"}'), readings.NO_TIME),
+    (helpers.tweet(f'{{"timestamp":{MS}}}'), readings.NO_FIELD),
+    (helpers.tweet("no json"), readings.NO_TIME),
+    (helpers.tweet(""), readings.NO_TIME),
+    # The payload has to be text: an object in its place is not read.
+    (json.dumps({"payload": {"timestamp": MS, "eventCategory": "firstPage"}}), readings.NO_TIME),
+    (helpers.tweet(f'{{"timestamp":{MS},"eventCategory":"firstPage"}} and more'), (H2017, 1)),
+]
+
+# payload of a message -> (hour, positive), or the reason it is set aside
+TWEETS = [
+    (f"{MS},so #cool", (H2017, 1)),
+    (f"{MS},Its really great.", (H2017, 1)),
+    (f"{MS},uncoolest", (H2017, 1)),
+    (f"{MS},Cool and Great", (H2017, 0)),
+    (f"{MS}", (H2017, 0)),
+    (f"{MS},", (H2017, 0)),
+    (f"{MS}cool", (H2017, 0)),  # the first letter takes the place of the separator
+    (f"{MS},a\nb,c\n{'x' * 5000}cool", (H2017, 1)),
+    ("+149676772000,great", ("1974-09-29 08:00:00", 1)),
+    ("-149676772000,great", ("1965-04-04 15:00:00", 1)),
+    ("12a4567890123,hello", readings.NO_TIME),
+    (" 149676772000,blank", readings.NO_TIME),
+    ("149676772000 ,blank", readings.NO_TIME),
+    ("149676772000\n,line end", readings.NO_TIME),
+    ("149676772", (("1970-01-02 17:00:00"), 0)),
+    ("", readings.NO_TIME),
+    ("great", readings.NO_TIME),
+]
+
+
+def _check(spark, cases, feed, measures, wrap=lambda v: v):
+    """Each case on its own: what its record adds, and to which hour."""
+    frame = helpers.records(spark, [wrap(value) for value, _ in cases], feed.topic)
+    read = readings.read_feeds(frame, [feed])
+    added = readings.contributions(read, [feed], "value", "problem").select(
+        "*", hours.hour_label(F.col("hour")).alias("label")
+    )
+    rows = [row.asDict() for row in added.collect()]
+    assert len(rows) == len(cases)
+    for (value, wanted), row in zip(cases, rows, strict=True):
+        raw = wrap(value)
+        assert row["value"] == (None if raw is None else bytearray(raw.encode())), "raw value kept"
+        got = [row[m] for m in measures]
+        if isinstance(wanted, str):
+            assert row["problem"] == wanted, value
+            assert row["label"] is None and not any(got), value
+        elif wanted is None:
+            assert row["problem"] is None and not any(got), value
+        else:
+            assert row["problem"] is None, value
+            assert row["label"] == wanted[0], value
+            assert float(got[-1] or 0) == float(wanted[1]), value
+
+
+def test_sales(spark):
+    _check(spark, SALES, feeds.GARMENT_SALES, ["sales"])
+
+
+def test_clicks(spark):
+    _check(spark, CLICKS, feeds.WEB_CLICKS, ["web_hits"])
+
+
+def test_tweets(spark):
+    _check(spark, TWEETS, feeds.TWEETS, ["tweets", "tweets_positive"], wrap=helpers.tweet)
+
+
+def test_payload_that_is_no_text_gives_no_message(spark):
+    values = ['{"payload":{"a":1}}', '{"payload":null}', "{}", '{"payload":[1]}', "x"]
+    frame = readings.read_feeds(helpers.records(spark, values, feeds.TWEETS.topic), [feeds.TWEETS])
+    assert frame.where(F.col("problem").isNull()).count() == 0
+
+
+def test_every_case_in_one_merged_feed(spark):
+    pairs = [(feeds.GARMENT_SALES.topic, v) for v, _ in SALES]
+    pairs += [(feeds.WEB_CLICKS.topic, v) for v, _ in CLICKS]
+    pairs += [(feeds.TWEETS.topic, helpers.tweet(v)) for v, _ in TWEETS]
+    pairs += [("another topic", "{}")]
+    read = readings.read_feeds(helpers.records(spark, pairs, None), feeds.ALL_FEEDS)
+    letters = readings.dead_letters(read)
+    cases = [*SALES, *CLICKS, *TWEETS]
+    assert read.count() == len(cases)
+    assert letters.count() == sum(isinstance(wanted, str) for _, wanted in cases)
+    total = rollup.grand_total(readings.contributions(read, feeds.ALL_FEEDS)).first()
+    wanted = [w for _, w in SALES if isinstance(w, tuple)]
+    assert float(total.sales) == pytest.approx(sum(w[1] for w in wanted))
+    assert total.web_hits == sum(isinstance(w, tuple) for _, w in CLICKS)
+    assert total.tweets == sum(isinstance(w, tuple) for _, w in TWEETS)
+    assert total.tweets_positive == sum(w[1] for _, w in TWEETS if isinstance(w, tuple))
+
+
+def test_conversion_rate_and_fields_are_parameters(spark):
+    frame = helpers.records(spark, [helpers.book(MS, 10.01), helpers.book(MS, 0.07)], feeds.BOOK_SALES.topic)
+    row = report.hourly_report(frame, [feeds.BOOK_SALES]).first()
+    assert (row.report_date, row.sales) == (H2017, 15.12)
+    other = feeds.BOOK_SALES.but(rate=2.0)
+    assert report.hourly_report(frame, [other]).first().sales == 20.16
+
+
+def test_unknown_kind_of_payload_is_refused(spark):
+    frame = helpers.records(spark, ["{}"], "t")
+    with pytest.raises(ValueError, match="kind of payload"):
+        readings.read_feeds(frame, [feeds.TWEETS.but(topic="t", payload="other")])
+
+
+def test_whole_payload(spark):
+    frame = helpers.records(spark, [helpers.sale(5, 1.5, ID=7), "{broken", None], "t")
+    schema = T.StructType.fromDDL("ID bigint, SALES_DATE bigint, ORDER_VALUE double")
+    rows = [tuple(r) for r in envelope.payload_of(frame, schema).collect()]
+    assert rows == [(7, 5, 1.5), (None, None, None), (None, None, None)]
+
+
+def test_absent_is_not_null(spark):
+    frame = spark.createDataFrame([('{"a":null}',), ("{}",), ("nonsense",)], "t string")
+    doc = variants.parse_json(F.col("t"))
+    got = frame.select(variants.is_present(doc, "$.a"), variants.lenient_text(doc, "$.a")).collect()
+    assert [tuple(r) for r in got] == [(True, "null"), (False, None), (False, None)]
+
+
+def test_no_keywords_match_nothing(spark):
+    row = spark.range(1).select(text.contains_any(F.lit("cool"), ()).alias("x")).first()
+    assert row.x is False
+
+
+def test_table_rows_travel_in_envelopes(spark):
+    table = spark.sql(
+        "SELECT 3 AS ID, CAST(NULL AS STRING) AS NAME, timestamp_millis(1496767720123) AS AT, "
+        "CAST(timestamp_millis(1496767720123) AS TIMESTAMP_NTZ) AS AT_NTZ"
+    )
+    frame = envelope.table_records(table, "topic-of-table", "ID")
+    assert helpers.record_columns(frame)
+    row = frame.select(F.col("key").cast("string").alias("key"), envelope.value_text().alias("v"), "topic").first()
+    payload = {"ID": 3, "NAME": None, "AT": 1496767720123, "AT_NTZ": 1496767720123}
+    assert (row.key, row.topic, json.loads(row.v)) == ("3", "topic-of-table", {"payload": payload})
