@@ -1,0 +1,252 @@
+"""Streams: equal to batch, resumable, safe to run again, open to late events."""
+
+from __future__ import annotations
+
+import pytest
+from pyspark.sql import functions as F
+
+from hourtally.operators import feeds, rollup
+from hourtally.plans import report
+from hourtally.sinks import ledger, preview
+from hourtally.sources import lines, topics
+from hourtally.streaming import jobs, state
+from tests import helpers
+
+MS = 1496767720000
+HOUR = 3_600_000
+H16 = "2017-06-06 16:00:00"
+SELLING = [feeds.GARMENT_SALES]
+
+
+def _sales(spark, *pairs):
+    return helpers.records(spark, [helpers.sale(ms, v) for ms, v in pairs], feeds.GARMENT_SALES.topic)
+
+
+def _publish(records, path):
+    """One file per call."""
+    topics.write_topic(records.coalesce(1), path)
+
+
+def _run(spark, scratch, feed_list=SELLING, **options):
+    records = topics.stream_topic(spark, f"{scratch}/topic", [f.topic for f in feed_list], **options)
+    query = jobs.start_feed_job(
+        records, feed_list, f"{scratch}/ledger", f"{scratch}/checkpoint", f"{scratch}/dead", interval=None
+    )
+    query.awaitTermination()
+    return query
+
+
+def _totals(spark, scratch):
+    return {r.report_date: float(r.sales) for r in ledger.totals(spark, f"{scratch}/ledger").collect()}
+
+
+def _batches(spark, scratch):
+    written = spark.read.parquet(f"{scratch}/ledger/deltas")
+    return sorted(r.batch_id for r in written.select("batch_id").distinct().collect())
+
+
+def test_many_small_batches_equal_one_batch(spark, scratch):
+    parts = [[(MS + (i % 3) * HOUR, i + 0.25), (MS + i * HOUR, 0.5)] for i in range(6)]
+    for part in parts:
+        _publish(_sales(spark, *part), f"{scratch}/topic")
+    _publish(helpers.records(spark, ["{broken", "{}"], feeds.GARMENT_SALES.topic), f"{scratch}/topic")
+    _run(spark, scratch, maxFilesPerTrigger="2")
+    whole = report.hourly_report(topics.read_topic(spark, f"{scratch}/topic"), SELLING)
+    assert _totals(spark, scratch) == {r.report_date: r.sales for r in whole.collect()}
+    assert len(_batches(spark, scratch)) >= 3
+    letters = spark.read.parquet(f"{scratch}/dead")
+    assert sorted(bytes(r.value) for r in letters.collect()) == [b"{broken", b"{}"]
+
+
+def test_restart_goes_on_and_late_events_count(spark, scratch):
+    _publish(_sales(spark, (MS, 1.0)), f"{scratch}/topic")
+    _run(spark, scratch)
+    _publish(_sales(spark, (MS + 500 * HOUR, 2.0)), f"{scratch}/topic")
+    _run(spark, scratch)
+    _publish(_sales(spark, (MS, 4.0)), f"{scratch}/topic")  # 500 hours late
+    _run(spark, scratch)
+    assert _totals(spark, scratch) == {H16: 5.0, "2017-06-27 12:00:00": 2.0}
+    _run(spark, scratch)
+    assert _totals(spark, scratch) == {H16: 5.0, "2017-06-27 12:00:00": 2.0}
+
+
+def test_batch_run_again_after_a_crash_counts_once(spark, scratch):
+    for i in range(3):
+        _publish(_sales(spark, (MS, 1.0), (MS + i * HOUR, 10.0)), f"{scratch}/topic")
+    records = topics.stream_topic(spark, f"{scratch}/topic", maxFilesPerTrigger="1")
+    crashed = []
+
+    def crash_once(batch, batch_id):
+        jobs.enter_batch(batch, batch_id, SELLING, f"{scratch}/ledger")
+        if batch_id == 1 and not crashed:
+            crashed.append(batch_id)
+            raise RuntimeError("lost after the entry was made")
+
+    query = jobs.each_batch(records, crash_once, f"{scratch}/checkpoint", None)
+    with pytest.raises(Exception, match="lost after the entry was made"):
+        query.awaitTermination()
+    assert _batches(spark, scratch) == [0, 1]
+    jobs.each_batch(records, crash_once, f"{scratch}/checkpoint", None).awaitTermination()
+    assert crashed == [1]
+    assert _batches(spark, scratch) == [0, 1, 2]
+    assert sum(_totals(spark, scratch).values()) == 33.0
+
+
+def test_batch_that_adds_nothing_makes_no_entry(spark, scratch):
+    clicks = helpers.records(spark, [helpers.click(MS, "browseProduct")], feeds.WEB_CLICKS.topic)
+    assert not jobs.enter_batch(clicks, 0, [feeds.WEB_CLICKS], f"{scratch}/ledger")
+    hits = helpers.records(spark, [helpers.click(MS, "firstPage")], feeds.WEB_CLICKS.topic)
+    assert jobs.enter_batch(hits, 1, [feeds.WEB_CLICKS], f"{scratch}/ledger")
+    assert _batches(spark, scratch) == [1]
+
+
+def test_all_feeds_in_one_job(spark, scratch):
+    pairs = [
+        (feeds.GARMENT_SALES.topic, helpers.sale(MS, 1.0)),
+        (feeds.BOOK_SALES.topic, helpers.book(MS, 2.0)),
+        (feeds.WEB_CLICKS.topic, helpers.click(MS, "firstPage")),
+        (feeds.TWEETS.topic, helpers.tweet(f"{MS},great")),
+        ("another", "{}"),
+    ]
+    _publish(helpers.records(spark, pairs, None), f"{scratch}/topic")
+    _run(spark, scratch, feeds.ALL_FEEDS)
+    rows = rollup.shown(ledger.totals(spark, f"{scratch}/ledger")).collect()
+    assert [tuple(r) for r in rows] == [(H16, 4.0, 1, 1, 1)]
+
+
+def test_several_ledgers_add_up(spark, scratch):
+    paths = [f"{scratch}/a", f"{scratch}/b", f"{scratch}/never-written"]
+    ledger.record(report.hourly_deltas(_sales(spark, (MS, 1.5)), SELLING), paths[0], 0)
+    ledger.record(report.hourly_deltas(_sales(spark, (MS, 2.5), (MS + HOUR, 1.0)), SELLING), paths[1], 0)
+    assert {r.report_date: float(r.sales) for r in ledger.totals(spark, paths).collect()} == {
+        H16: 4.0,
+        "2017-06-06 17:00:00": 1.0,
+    }
+    assert float(ledger.overall(spark, paths).first().sales) == 5.0
+    assert ledger.totals(spark, paths[2]).collect() == []
+
+
+def test_folding_keeps_totals_and_shortens_reads(spark, scratch):
+    path = f"{scratch}/ledger"
+
+    def enter(number, value, hour=0):
+        ledger.record(report.hourly_deltas(_sales(spark, (MS + hour * HOUR, value)), SELLING), path, number)
+
+    assert ledger.fold(spark, path) is None
+    enter(0, 1.0)
+    assert ledger.fold(spark, path) is None  # may still be run again
+    for number in range(1, 5):
+        enter(number, 2.0**number, hour=number % 2)
+    before = _totals(spark, scratch)
+    assert sum(before.values()) == 31.0
+    assert ledger.fold(spark, path) == 3
+    assert ledger.fold(spark, path) is None
+    assert _totals(spark, scratch) == before
+    enter(4, 16.0)  # the newest batch, run again
+    assert _totals(spark, scratch) == before
+    enter(5, 32.0)
+    enter(6, 64.0)
+    assert ledger.fold(spark, path) == 5
+    assert sum(_totals(spark, scratch).values()) == 127.0
+    read = ledger.entries(spark, path).select(F.input_file_name().alias("f")).distinct().collect()
+    assert all("batch_id=6" in r.f or "up_to=5" in r.f for r in read)
+    plan = ledger.entries(spark, path)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(batch_id" in plan and "PartitionFilters: [isnotnull(up_to" in plan
+
+
+def test_unfinished_fold_is_not_read(spark, scratch):
+    path = f"{scratch}/ledger"
+    for number in range(3):
+        ledger.record(report.hourly_deltas(_sales(spark, (MS, 1.0)), SELLING), path, number)
+    half_done = report.hourly_deltas(_sales(spark, (MS, 1.0)), SELLING)
+    rollup.stack(half_done).write.parquet(f"{path}/folded/up_to=1")  # no mark: the job died
+    assert _totals(spark, scratch) == {H16: 3.0}
+    assert ledger.fold(spark, path) == 1
+    assert _totals(spark, scratch) == {H16: 3.0}
+
+
+def test_running_state(spark, scratch):
+    for i in range(4):
+        _publish(_sales(spark, (MS, 1.0), (MS + i * HOUR, 10.0)), f"{scratch}/topic")
+
+    def run():
+        records = topics.stream_topic(spark, f"{scratch}/topic", maxFilesPerTrigger="1")
+        running = state.running_totals(records, SELLING)
+        state.start_state_job(running, f"{scratch}/totals", f"{scratch}/checkpoint", None).awaitTermination()
+        return {r.report_date: float(r.sales) for r in state.latest_totals(spark, f"{scratch}/totals").collect()}
+
+    assert sum(run().values()) == 44.0
+    _publish(_sales(spark, (MS, 100.0)), f"{scratch}/topic")
+    assert run()[H16] == 114.0
+
+
+def test_start_at_latest_skips_only_what_was_there(spark, scratch):
+    _publish(_sales(spark, (MS, 1.0)), f"{scratch}/topic")
+    start = {"starting": "largest", "marker": f"{scratch}/start"}
+    _run(spark, scratch, **start)
+    assert _totals(spark, scratch) == {}
+    _publish(_sales(spark, (MS, 2.0)), f"{scratch}/topic")
+    _run(spark, scratch, **start)
+    assert _totals(spark, scratch) == {H16: 2.0}
+
+
+def test_start_positions():
+    assert topics.start_option("smallest") == "earliest"
+    assert topics.start_option("latest") == "latest"
+    with pytest.raises(ValueError):
+        topics.start_option("middle")
+    assert topics.kafka_options("host:9092", ["a", "b"], "largest", 100) == {
+        "kafka.bootstrap.servers": "host:9092",
+        "subscribe": "a,b",
+        "startingOffsets": "latest",
+        "maxOffsetsPerTrigger": "100",
+    }
+    with pytest.raises(ValueError):
+        topics.kafka_options("host:9092", [], "earliest", None)
+
+
+def test_triggers():
+    assert jobs.trigger() == {"processingTime": "3 seconds"}
+    assert jobs.trigger(jobs.PREVIEW_INTERVAL) == {"processingTime": "5 seconds"}
+    assert jobs.trigger(None) == {"availableNow": True}
+
+
+def test_lines_become_records(spark, scratch):
+    texts = [f"{MS},so cool", f"{MS},meh", 'with "quotes", and \\', ""]
+    spark.createDataFrame([(t,) for t in texts], "value string").coalesce(1).write.text(f"{scratch}/lines")
+    assert sorted(r.value for r in lines.read_lines(spark, f"{scratch}/lines").collect()) == sorted(texts)
+    records = lines.stream_line_records(spark, f"{scratch}/lines", feeds.TWEETS.topic)
+    jobs.start_feed_job(
+        records, [feeds.TWEETS], f"{scratch}/ledger", f"{scratch}/checkpoint", f"{scratch}/dead", interval=None
+    ).awaitTermination()
+    row = ledger.totals(spark, f"{scratch}/ledger").first()
+    assert (row.report_date, row.tweets, row.tweets_positive) == (H16, 2, 1)
+    assert spark.read.parquet(f"{scratch}/dead").count() == 2
+
+
+def test_console_preview(spark, scratch):
+    spark.createDataFrame([("a line to see",)], "value string").write.text(f"{scratch}/lines")
+    stream = lines.stream_lines(spark, f"{scratch}/lines")
+    query = preview.console(stream, f"{scratch}/checkpoint", **jobs.trigger(None))
+    query.awaitTermination()
+    assert query.lastProgress["numInputRows"] == 1
+    assert "ConsoleTable" in query.lastProgress["sink"]["description"]
+
+
+def test_runs_at_an_interval(spark, scratch):
+    _publish(_sales(spark, (MS, 1.0)), f"{scratch}/topic")
+    records = topics.stream_topic(spark, f"{scratch}/topic")
+    query = jobs.start_feed_job(records, SELLING, f"{scratch}/ledger", f"{scratch}/checkpoint", interval="1 second")
+    try:
+        query.processAllAvailable()
+        _publish(_sales(spark, (MS, 2.0)), f"{scratch}/topic")
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    assert _totals(spark, scratch) == {H16: 3.0}
+
+
+def test_hours_of_a_stream_are_event_hours(spark, scratch):
+    _publish(_sales(spark, (MS, 1.0)), f"{scratch}/topic")
+    _run(spark, scratch)
+    assert ledger.totals(spark, f"{scratch}/ledger").where(F.col("report_date") == H16).count() == 1
