@@ -79,17 +79,15 @@ def add_up(rows: DataFrame) -> DataFrame:
 
 
 def hour_entry(hour: Column, value: Column) -> Column:
-    """A map of one entry: what one record adds."""
-    return F.create_map(hour, value)
+    """A map of one entry, what one record adds; NULL for a record without an hour."""
+    return F.when(hour.isNotNull(), F.create_map(hour, value))
 
 
 def add_entries(entries: DataFrame, column: str) -> DataFrame:
     """Sum maps key by key: ``(hour, value)`` rows."""
-    return (
-        entries.select(F.explode(column).alias("hour", "value"))
-        .groupBy("hour")
-        .agg(F.sum("value").alias("value"))
-    )
+    # The outer form keeps Spark from building each map a second time to test its size.
+    rows = entries.select(F.explode_outer(column).alias("hour", "value"))
+    return rows.where(F.col("hour").isNotNull()).groupBy("hour").agg(F.sum("value").alias("value"))
 
 
 def hour_value_maps(totals: DataFrame, value: str) -> DataFrame:

@@ -96,7 +96,9 @@ ORACLES = {
   FROM orders""",
     "preview": "SELECT event_id, props FROM events ORDER BY event_id LIMIT 10",
     "seed_defaults": """
-  SELECT n_nationkey AS id, 0.0::DOUBLE AS sales, 0 AS web_hits, 0 AS tweets, 0 AS tweets_positive FROM nation""",
+  SELECT n_nationkey AS id, 0.0::DOUBLE AS sales, 0::BIGINT AS web_hits, 0::BIGINT AS tweets,
+         0::BIGINT AS tweets_positive
+  FROM nation""",
     "unique_key_check": "SELECT o_custkey, count(*) AS n FROM orders GROUP BY 1 HAVING count(*) > 1",
     "null_check": f"""
   SELECT count(*) FILTER (WHERE report_date IS NULL) AS report_date, count(*) FILTER (WHERE sales IS NULL) AS sales,

@@ -210,11 +210,14 @@ def grand_total(spark, sf_dir):
 def hour_value_map(spark, sf_dir):
     """Each sale as a map of one entry, added up by key, shown as maps, and unpacked."""
     selling = [feeds.GARMENT_SALES]
-    read = readings.read_feeds(stand_ins.garment_records(_events(spark, sf_dir)), selling)
+    events = _events(spark, sf_dir)
+    records = stand_ins.garment_records(events).unionByName(stand_ins.broken_records(events))
+    read = readings.read_feeds(records, selling)
     added = readings.contributions(read, selling)
-    entries = added.select(rollup.hour_entry(hours.hour_label(F.col("hour")), F.col("sales")).alias("entry"))
-    summed = rollup.add_entries(entries, "entry").withColumnsRenamed({"hour": "report_date", "value": "sales"})
-    maps = rollup.hour_value_maps(rollup.shown(summed), "sales")
+    entries = added.select(rollup.hour_entry(F.col("hour"), F.col("sales")).alias("entry"))
+    summed = rollup.add_entries(entries, "entry")
+    labelled = summed.select(hours.hour_label(F.col("hour")).alias("report_date"), F.col("value").alias("sales"))
+    maps = rollup.hour_value_maps(rollup.shown(labelled), "sales")
     return maps.select(F.explode("hour_values").alias("hour", "sales"))
 
 
@@ -385,11 +388,11 @@ def batch_delta(spark, sf_dir):
     work = session.scratch(spark, "delta")
     events = _stream_table(spark, sf_dir, "events")
     hour = hours.hour_number(hours.event_time(hours.epoch_ms(F.col("ts"))))
-    values = events.select(F.col("event_type").alias("part"), hour.alias("hour"), F.col("value").cast(schemas.AMOUNT).alias("sales"))
+    sales = F.col("value").cast(schemas.AMOUNT)
+    values = events.select(F.col("event_type").alias("part"), hour.alias("hour"), sales.alias("sales"))
 
     def enter(batch: DataFrame, batch_id: int) -> None:
-        deltas = rollup.hourly(batch, "part")
-        deltas.write.mode("overwrite").parquet(f"{work}/deltas/batch_id={batch_id}")
+        ledger.write_batch(rollup.hourly(batch, "part"), f"{work}/deltas", batch_id)
 
     jobs.each_batch(values, enter, f"{work}/checkpoint", None).awaitTermination()
     written = spark.read.schema("report_date string, part string, sales decimal(38,6)").parquet(f"{work}/deltas")

@@ -12,6 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from hourtally import schemas
 from hourtally.operators import readings, rollup
 from hourtally.operators.feeds import Feed
+from hourtally.sinks import ledger
 from hourtally.streaming import jobs
 
 
@@ -30,7 +31,7 @@ def start_state_job(
     """Write the hours that changed, with their new totals, under each batch number."""
 
     def write(changed: DataFrame, batch_id: int) -> None:
-        rollup.stack(changed).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        ledger.write_batch(rollup.stack(changed), path, batch_id)
 
     writer = totals.writeStream.outputMode("update").foreachBatch(write)
     return (

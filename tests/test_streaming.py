@@ -94,9 +94,9 @@ def test_batch_run_again_after_a_crash_counts_once(spark, scratch):
 
 def test_batch_that_adds_nothing_makes_no_entry(spark, scratch):
     clicks = helpers.records(spark, [helpers.click(MS, "browseProduct")], feeds.WEB_CLICKS.topic)
-    assert not jobs.enter_batch(clicks, 0, [feeds.WEB_CLICKS], f"{scratch}/ledger")
+    jobs.enter_batch(clicks, 0, [feeds.WEB_CLICKS], f"{scratch}/ledger")
     hits = helpers.records(spark, [helpers.click(MS, "firstPage")], feeds.WEB_CLICKS.topic)
-    assert jobs.enter_batch(hits, 1, [feeds.WEB_CLICKS], f"{scratch}/ledger")
+    jobs.enter_batch(hits, 1, [feeds.WEB_CLICKS], f"{scratch}/ledger")
     assert _batches(spark, scratch) == [1]
 
 
