@@ -74,19 +74,20 @@ def test_batch_run_again_after_a_crash_counts_once(spark, scratch):
     for i in range(3):
         _publish(_sales(spark, (MS, 1.0), (MS + i * HOUR, 10.0)), f"{scratch}/topic")
     records = topics.stream_topic(spark, f"{scratch}/topic", maxFilesPerTrigger="1")
+    added = jobs.contributed(records, SELLING)
     crashed = []
 
     def crash_once(batch, batch_id):
-        jobs.enter_batch(batch, batch_id, SELLING, f"{scratch}/ledger")
+        jobs.enter_batch(batch, batch_id, f"{scratch}/ledger")
         if batch_id == 1 and not crashed:
             crashed.append(batch_id)
             raise RuntimeError("lost after the entry was made")
 
-    query = jobs.each_batch(records, crash_once, f"{scratch}/checkpoint", None)
+    query = jobs.each_batch(added, crash_once, f"{scratch}/checkpoint", None)
     with pytest.raises(Exception, match="lost after the entry was made"):
         query.awaitTermination()
     assert _batches(spark, scratch) == [0, 1]
-    jobs.each_batch(records, crash_once, f"{scratch}/checkpoint", None).awaitTermination()
+    jobs.each_batch(added, crash_once, f"{scratch}/checkpoint", None).awaitTermination()
     assert crashed == [1]
     assert _batches(spark, scratch) == [0, 1, 2]
     assert sum(_totals(spark, scratch).values()) == 33.0
@@ -94,9 +95,9 @@ def test_batch_run_again_after_a_crash_counts_once(spark, scratch):
 
 def test_batch_that_adds_nothing_makes_no_entry(spark, scratch):
     clicks = helpers.records(spark, [helpers.click(MS, "browseProduct")], feeds.WEB_CLICKS.topic)
-    jobs.enter_batch(clicks, 0, [feeds.WEB_CLICKS], f"{scratch}/ledger")
+    jobs.enter_batch(jobs.contributed(clicks, [feeds.WEB_CLICKS]), 0, f"{scratch}/ledger")
     hits = helpers.records(spark, [helpers.click(MS, "firstPage")], feeds.WEB_CLICKS.topic)
-    jobs.enter_batch(hits, 1, [feeds.WEB_CLICKS], f"{scratch}/ledger")
+    jobs.enter_batch(jobs.contributed(hits, [feeds.WEB_CLICKS]), 1, f"{scratch}/ledger")
     assert _batches(spark, scratch) == [1]
 
 
