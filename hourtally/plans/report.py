@@ -4,11 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from hourtally.operators import feeds as feed_specs
-from hourtally.operators import readings, rollup
+from hourtally.operators import readings, rollup, summary
 from hourtally.operators.feeds import Feed
+from hourtally.sinks import database as database_sink
+from hourtally.sources import tables
+from hourtally.sources.tables import Database
 
 
 def hourly_deltas(records: DataFrame, feeds: Sequence[Feed] = feed_specs.ALL_FEEDS) -> DataFrame:
@@ -30,3 +34,10 @@ def overall(records: DataFrame, feeds: Sequence[Feed] = feed_specs.ALL_FEEDS) ->
     """Records of any of the feeds to one row of totals."""
     read = readings.read_feeds(records, feeds)
     return rollup.grand_total(readings.contributions(read, feeds))
+
+
+def overwrite_sales(spark: SparkSession, database: Database, table: str, records: DataFrame) -> None:
+    """Set the sales of every row of a summary table to the total of the sales records."""
+    total = overall(records, [feed_specs.GARMENT_SALES]).select(F.col("sales").cast("double")).first()
+    loaded = tables.read_table(spark, database, table)
+    database_sink.overwrite(summary.constant_column(loaded, "SALES", total.sales), database, table, keep_definition=True)
