@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import argparse
 import time
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -62,6 +63,9 @@ def _arguments(argv) -> argparse.Namespace:
         command.add_argument("--url", required=True)
         command.add_argument("--driver", required=True)
         command.add_argument("--table", required=True)
+        command.add_argument("--user")
+        command.add_argument("--password-file", help="file that holds the password")
+        command.add_argument("--quote", default="", help="quote for column names, if the database needs one")
         return command
 
     command = with_database("publish")
@@ -105,14 +109,23 @@ def run(spark: SparkSession, argv=None) -> None:
         ledger.fold(spark, args.ledger)
     elif args.job == "publish":
         totals = rollup.shown(ledger.totals(spark, args.ledgers))
-        database = Database(args.url, args.driver)
+        database = _database(args)
         database_sink.publish_summary(totals, database, args.table, args.keep_definition)
     elif args.job == "poll":
         _poll(spark, args)
 
 
+def _database(args: argparse.Namespace) -> Database:
+    login = {}
+    if args.user:
+        login["user"] = args.user
+    if args.password_file:
+        login["password"] = Path(args.password_file).read_text().strip()
+    return Database(args.url, args.driver, login, args.quote)
+
+
 def _poll(spark: SparkSession, args: argparse.Namespace) -> None:
-    database = Database(args.url, args.driver)
+    database = _database(args)
     while True:
         polling.poll_and_publish(
             spark, database, args.table, args.key, args.prefix, args.topic_path, args.marks, args.partitions

@@ -5,7 +5,8 @@ An absent field gives NULL. A field that is present but holds no usable number
 ``true`` as 1, and a fraction is cut off when an integer is wanted.
 
 Each read asks the variant once in the usual case; the further look-ups run only
-when the first gave NULL.
+when the first gave NULL. Parse a record into a column first and read from that column,
+so that several reads share one parse.
 """
 
 from __future__ import annotations

@@ -137,6 +137,16 @@ def _add(by_measure: dict[str, Column], name: str, condition: Column, value: Col
     by_measure[name] = F.when(condition, value) if known is None else known.when(condition, value)
 
 
+def computed_once(frame: DataFrame) -> DataFrame:
+    """The same rows, with every column worked out before any filter behind this point.
+
+    Spark moves a filter below the columns it tests and repeats their expressions in
+    it, once per mention; on parsed columns that means parsing a record several times. It
+    does not move filters below a row generator, so the rows pass through one.
+    """
+    return frame.select(F.inline_outer(F.array(F.struct(*frame.columns))))
+
+
 def dead_letters(readings: DataFrame) -> DataFrame:
     """Records that could not be used, unchanged, with the reason."""
-    return readings.where(F.col("problem").isNotNull()).select("topic", "value", "problem")
+    return computed_once(readings.select("topic", "value", "problem")).where(F.col("problem").isNotNull())

@@ -23,7 +23,9 @@ def pin_report_settings(spark: SparkSession, zone: str = "UTC") -> SparkSession:
 
 
 def is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
+    """True when driver and executors are one process on one machine."""
+    master = spark.sparkContext.master
+    return master == "local" or master.startswith("local[")
 
 
 def shared_folder(spark: SparkSession) -> str:

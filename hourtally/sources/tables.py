@@ -14,11 +14,16 @@ from hourtally.operators import envelope
 
 @dataclass(frozen=True)
 class Database:
-    """Where a JDBC database is. User and password go into ``properties``."""
+    """Where a JDBC database is. User and password go into ``properties``.
+
+    ``quote`` is put around column names in the text sent to the database itself, for
+    databases that fold names written without it.
+    """
 
     url: str
     driver: str
     properties: Mapping[str, str] | None = None
+    quote: str = ""
 
     def options(self) -> dict[str, str]:
         return {"url": self.url, "driver": self.driver, **(self.properties or {})}
@@ -31,7 +36,7 @@ def read_table(spark: SparkSession, database: Database, table: str) -> DataFrame
 
 def key_range(spark: SparkSession, database: Database, table: str, key: str) -> tuple[int, int] | None:
     """Smallest and largest key, computed by the database."""
-    name = f'"{key}"' if "derby" in database.url or "postgresql" in database.url else key
+    name = f"{database.quote}{key}{database.quote}"
     ask = f"(SELECT MIN({name}) AS LO, MAX({name}) AS HI FROM {table}) KEYS"
     row = read_table(spark, database, ask).first()
     return None if row is None or row[0] is None else (int(row[0]), int(row[1]))

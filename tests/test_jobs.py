@@ -6,9 +6,12 @@ import uuid
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from hourtally import __main__ as main
-from hourtally.operators import feeds
+from hourtally import schemas
+from hourtally.functions import hours
+from hourtally.operators import envelope, feeds
 from hourtally.plans import embedded, report
 from hourtally.sinks import database as sink
 from hourtally.sources import literals, polling, tables, topics
@@ -24,9 +27,9 @@ def _name():
     return "T_" + uuid.uuid4().hex[:12].upper()
 
 
-def test_from_sales_table_to_summary_table(spark, scratch, database, monkeypatch):
+def test_from_sales_table_to_summary_table(spark, scratch, database):
     source, target = "garment_sales", _name()
-    at = ["--url", database.url, "--driver", database.driver]
+    at = ["--url", database.url, "--driver", database.driver, "--quote", database.quote]
     sink.overwrite(literals.garment_seed(spark), database, source)
     poll = ["poll", *at, "--table", source, "--key", "ID", "--topic-path", f"{scratch}/topic"]
     poll += ["--marks", f"{scratch}/marks", "--once"]
@@ -75,3 +78,14 @@ def test_sales_of_every_row_set_to_the_total(spark, database):
     report.overwrite_sales(spark, database, table, records)
     rows = tables.read_table(spark, database, table).collect()
     assert sorted((r.ID, r.SALES) for r in rows) == [(1, 75.98), (2, 75.98)]
+
+
+def test_pings_as_a_topic(spark, scratch):
+    pings = literals.ping_seed(spark)
+    found = tables.poll(pings, "TEST_ID")
+    polling.publish_poll(spark, found, "TEST_ID", "jdbc_source", "jdbc-source-", f"{scratch}/topic", f"{scratch}/marks")
+    records = topics.read_topic(spark, f"{scratch}/topic", ["jdbc-source-jdbc_source"])
+    wire = T.StructType.fromDDL("TEST_ID int, TEST_TIMESTAMP bigint")
+    rows = envelope.payload_of(records, wire).withColumn("at", hours.event_time(F.col("TEST_TIMESTAMP")))
+    assert pings.schema.fieldNames() == schemas.PING.fieldNames()
+    assert sorted(r.TEST_ID for r in rows.where("at <= current_timestamp()").collect()) == [1, 2, 3, 4]
