@@ -57,6 +57,7 @@ def _arguments(argv) -> argparse.Namespace:
 
     command = commands.add_parser("fold")
     command.add_argument("--ledger", required=True)
+    command.add_argument("--drop", action="store_true", help="delete the files of earlier folds")
 
     def with_database(name: str) -> argparse.ArgumentParser:
         command = commands.add_parser(name)
@@ -107,6 +108,8 @@ def run(spark: SparkSession, argv=None) -> None:
         preview.console(shown, args.checkpoint, **jobs.trigger(interval)).awaitTermination()
     elif args.job == "fold":
         ledger.fold(spark, args.ledger)
+        if args.drop:
+            ledger.drop_folded(spark, args.ledger)
     elif args.job == "publish":
         totals = rollup.shown(ledger.totals(spark, args.ledgers))
         database = _database(args)

@@ -12,7 +12,6 @@ from pyspark.sql.streaming import StreamingQuery
 from hourtally import schemas
 from hourtally.operators import readings, rollup
 from hourtally.operators.feeds import Feed
-from hourtally.sinks import ledger
 from hourtally.streaming import jobs
 
 
@@ -28,15 +27,20 @@ def running_totals(records: DataFrame, feeds: Sequence[Feed]) -> DataFrame:
 def start_state_job(
     totals: DataFrame, path: str, checkpoint: str, interval: str | None = jobs.FEED_INTERVAL
 ) -> StreamingQuery:
-    """Write the hours that changed, with their new totals, under each batch number."""
+    """Write the totals of all hours with every batch, into one of two slots by turns.
 
-    def write(changed: DataFrame, batch_id: int) -> None:
-        ledger.write_batch(rollup.stack(changed), path, batch_id)
+    A batch run again rewrites its own slot, and the other one holds the totals before it.
+    The output is one row per hour and slot, however long the job runs.
+    """
+
+    def write(current: DataFrame, batch_id: int) -> None:
+        rows = rollup.stack(current).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+        rows = rows.withColumn("slot", F.lit(batch_id % 2))
+        writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy("slot").parquet(path)
 
-    writer = totals.writeStream.outputMode("update").foreachBatch(write)
-    return (
-        writer.option("checkpointLocation", checkpoint).trigger(**jobs.trigger(interval)).start()
-    )
+    writer = totals.writeStream.outputMode("complete").foreachBatch(write)
+    return writer.option("checkpointLocation", checkpoint).trigger(**jobs.trigger(interval)).start()
 
 
 def latest_totals(spark: SparkSession, path: str) -> DataFrame:

@@ -57,3 +57,20 @@ def test_query_equals_sql(spark, sql, name):
 
 def test_entry(spark):
     assert entry_points.entry(spark).columns == ["report_date", "sales", "web_hits", "tweets", "tweets_positive"]
+
+
+@pytest.fixture(scope="module")
+def folders(spark, tmp_path_factory):
+    """The same tables as folders of several files."""
+    home = tmp_path_factory.mktemp("folders")
+    for name in ("events", "orders", "documents", "region"):
+        spark.read.parquet(f"{SF_DIR}/{name}.parquet").repartition(3).write.parquet(f"{home}/{name}.parquet")
+    return str(home)
+
+
+@pytest.mark.parametrize("name", ["exec_summary_hourly", "stream_hourly_sales", "stream_running_state", "batch_delta"])
+def test_tables_may_be_folders(spark, sql, folders, name):
+    frame = entry_points.queries()[name](spark, folders)
+    got = _comparable(frame.columns, [tuple(row) for row in frame.collect()])
+    asked = sql.execute(entry_points.oracle_sql()[name])
+    assert got == _comparable([c[0] for c in asked.description], asked.fetchall())

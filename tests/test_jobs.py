@@ -15,6 +15,7 @@ from hourtally.operators import envelope, feeds
 from hourtally.plans import embedded, report
 from hourtally.sinks import database as sink
 from hourtally.sources import literals, polling, tables, topics
+from hourtally.streaming import state
 from tests import helpers
 
 
@@ -41,7 +42,7 @@ def test_from_sales_table_to_summary_table(spark, scratch, database):
     sink.append(literals.garment_seed(spark).withColumn("ID", F.col("ID") + 2), database, source)
     main.run(spark, poll)
     main.run(spark, feed)
-    main.run(spark, ["fold", "--ledger", f"{scratch}/ledger"])
+    main.run(spark, ["fold", "--ledger", f"{scratch}/ledger", "--drop"])
     main.run(spark, ["publish", *at, "--table", target, "--ledgers", f"{scratch}/ledger"])
     rows = tables.read_table(spark, database, target).collect()
     assert sum(r.SALES for r in rows) == pytest.approx(151.96)
@@ -67,7 +68,7 @@ def test_state_and_preview_jobs(spark, scratch):
     topics.write_topic(helpers.records(spark, values, feeds.GARMENT_SALES.topic), f"{scratch}/topic")
     common = ["--topic-path", f"{scratch}/topic", "--once", "--checkpoint"]
     main.run(spark, ["state", *common, f"{scratch}/c1", "--feeds", "garment_sales", "--out", f"{scratch}/totals"])
-    assert float(spark.read.parquet(f"{scratch}/totals").first().sales) == 3.5
+    assert float(state.latest_totals(spark, f"{scratch}/totals").first().sales) == 3.5
     main.run(spark, ["preview", *common, f"{scratch}/c2", "--topics", feeds.GARMENT_SALES.topic])
 
 

@@ -145,12 +145,15 @@ def test_folding_keeps_totals_and_shortens_reads(spark, scratch):
     assert _totals(spark, scratch) == before
     enter(4, 16.0)  # the newest batch, run again
     assert _totals(spark, scratch) == before
+    assert ledger.drop_folded(spark, path) is None  # there is only one fold
     enter(5, 32.0)
     enter(6, 64.0)
     assert ledger.fold(spark, path) == 5
+    assert ledger.drop_folded(spark, path) == 3
+    assert _batches(spark, scratch) == [4, 5, 6]
     assert sum(_totals(spark, scratch).values()) == 127.0
     read = ledger.entries(spark, path).select(F.input_file_name().alias("f")).distinct().collect()
-    assert all("batch_id=6" in r.f or "up_to=5" in r.f for r in read)
+    assert read and all("batch_id=6" in r.f or "up_to=5" in r.f for r in read)
     plan = ledger.entries(spark, path)._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(batch_id" in plan and "PartitionFilters: [isnotnull(up_to" in plan
 
@@ -178,7 +181,10 @@ def test_running_state(spark, scratch):
 
     assert sum(run().values()) == 44.0
     _publish(_sales(spark, (MS, 100.0)), f"{scratch}/topic")
-    assert run()[H16] == 114.0
+    totals = run()
+    assert totals[H16] == 114.0 and sum(totals.values()) == 144.0
+    written = spark.read.parquet(f"{scratch}/totals").groupBy("slot").agg(F.countDistinct("batch_id").alias("n"))
+    assert sorted(tuple(r) for r in written.collect()) == [(0, 1), (1, 1)]
 
 
 def test_start_at_latest_skips_only_what_was_there(spark, scratch):
