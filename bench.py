@@ -57,6 +57,7 @@ def _session() -> SparkSession:
         .config("spark.driver.memory", os.environ.get("BENCH_MEMORY", "16g"))
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        .config(map=session.BUILDER_SETTINGS)
     )
     if "BENCH_SHARED_DIR" in os.environ:
         builder = builder.config("spark.checkpoint.dir", os.environ["BENCH_SHARED_DIR"])

@@ -139,4 +139,4 @@ def _poll(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 if __name__ == "__main__":
-    run(SparkSession.builder.appName("hourtally").getOrCreate())
+    run(SparkSession.builder.appName("hourtally").config(map=session.BUILDER_SETTINGS).getOrCreate())

@@ -42,7 +42,8 @@ class Feed:
         return replace(self, **changes)
 
 
-# Topic, field and category names as the publishers write them.
+# Topic, field and category names as the publishers write them, and the
+# rate from book sales to the currency of the report.
 TOPIC_PREFIX = "use-case-"
 
 GARMENT_SALES = Feed(

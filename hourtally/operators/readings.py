@@ -26,7 +26,7 @@ AMOUNT_RANGE = "amount out of range"
 
 
 def _parts(feed: Feed, document: Column) -> dict[str, Column]:
-    """Event time, amount and category or text of one kind of payload."""
+    """Event time, converted amount and category or text of one kind of payload."""
     if feed.payload == OBJECT:
         parts = {"ms": variants.lenient_long(document, f"$.payload.{feed.time_field}")}
         root = "$.payload"
@@ -40,7 +40,8 @@ def _parts(feed: Feed, document: Column) -> dict[str, Column]:
     else:
         raise ValueError(f"unknown kind of payload: {feed.payload}")
     if feed.amount_field:
-        parts["amount"] = variants.lenient_double(document, f"{root}.{feed.amount_field}")
+        amount = variants.lenient_double(document, f"{root}.{feed.amount_field}")
+        parts["amount"] = amount if feed.rate == 1.0 else amount * F.lit(feed.rate)
     if feed.match_field:
         parts["category"] = variants.lenient_text(document, f"{root}.{feed.match_field}")
     return parts
@@ -84,8 +85,8 @@ def _any_of(conditions: Sequence[Column]) -> Column:
 def read_feeds(records: DataFrame, feeds: Sequence[Feed]) -> DataFrame:
     """One reading per record of the given feeds.
 
-    Columns: topic, value (raw), ms, amount, category, text, problem. ``problem`` is
-    NULL for a record that can be used.
+    Columns: topic, value (raw), ms, amount (converted), category, text, problem.
+    ``problem`` is NULL for a record that can be used.
     """
     part = F.col("part")
     priced = [f.topic for f in feeds if f.amount_field]
@@ -114,8 +115,7 @@ def contributions(readings: DataFrame, feeds: Sequence[Feed], *keep: str) -> Dat
     for feed in feeds:
         mine = usable & (F.col("topic") == feed.topic)
         if feed.amount_field:
-            amount = F.col("amount") if feed.rate == 1.0 else F.col("amount") * F.lit(feed.rate)
-            _add(by_measure, feed.adds_to, mine, amount.cast(schemas.AMOUNT))
+            _add(by_measure, feed.adds_to, mine, F.col("amount").cast(schemas.AMOUNT))
             continue
         counted = mine
         if feed.match_field:

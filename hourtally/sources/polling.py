@@ -23,11 +23,14 @@ def last_mark(spark: SparkSession, marks: str) -> int | None:
         return None
 
 
-def publish_poll(spark: SparkSession, found: tables.Poll, key: str, table: str, prefix: str, path: str, marks: str) -> int | None:
+def publish_poll(
+    spark: SparkSession, found: tables.Poll, key: str, table: str, prefix: str, path: str, marks: str
+) -> int | None:
     """Publish what a poll found to topic ``prefix + table``, then move the mark.
 
     A poll that failed before its mark was written is done again from the old mark and
-    replaces its own files, so a batch reader sees each row once. Returns the new mark.
+    replaces its own files, so a batch reader sees each row once. A stream that read the
+    files in between sees them again. Returns the new mark.
     """
     before = last_mark(spark, marks)
     if found.mark is None or found.mark == before:

@@ -148,6 +148,10 @@ def test_every_case_in_one_merged_feed(spark):
     assert read.count() == len(cases)
     assert letters.count() == sum(isinstance(wanted, str) for _, wanted in cases)
     total = rollup.grand_total(readings.contributions(read, feeds.ALL_FEEDS)).first()
+    by_hour = report.hourly_report(helpers.records(spark, pairs, None)).collect()
+    assert sum(r.web_hits for r in by_hour) == total.web_hits
+    assert sum(r.tweets for r in by_hour) == total.tweets
+    assert H2017 in {r.report_date for r in by_hour}
     wanted = [w for _, w in SALES if isinstance(w, tuple)]
     assert float(total.sales) == pytest.approx(sum(w[1] for w in wanted))
     assert total.web_hits == sum(isinstance(w, tuple) for _, w in CLICKS)
@@ -163,6 +167,14 @@ def test_conversion_rate_and_fields_are_parameters(spark):
     assert report.hourly_report(frame, [other]).first().sales == 20.16
 
 
+def test_amount_too_large_after_conversion(spark):
+    values = [helpers.book(MS, 9e17), helpers.book(MS, 1e308), helpers.book(MS, -9e17), helpers.book(MS, 6e17)]
+    read = readings.read_feeds(helpers.records(spark, values, feeds.BOOK_SALES.topic), [feeds.BOOK_SALES])
+    assert [r.problem for r in read.collect()] == [readings.AMOUNT_RANGE] * 3 + [None]
+    total = rollup.grand_total(readings.contributions(read, [feeds.BOOK_SALES])).first()
+    assert float(total.sales) == 9e17
+
+
 def test_unknown_kind_of_payload_is_refused(spark):
     frame = helpers.records(spark, ["{}"], "t")
     with pytest.raises(ValueError, match="kind of payload"):

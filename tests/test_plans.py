@@ -90,9 +90,9 @@ def test_poll_filters_in_the_scan(spark):
 
 def test_hot_hour_is_summed_before_the_shuffle(spark):
     """Nearly all rows in one hour: what is shuffled stays one row per hour and task."""
-    rows = spark.range(0, 20000, 1, 4).select(
-        F.concat(F.lit('{"payload":{"ORDER_VALUE":1,"SALES_DATE":'), F.when(F.col("id") % 100 == 0, F.col("id") * 3600000).otherwise(0).cast("string"), F.lit("}}")).alias("text")
-    )
+    moment = F.when(F.col("id") % 100 == 0, F.col("id") * 3600000).otherwise(0).cast("string")
+    text = F.concat(F.lit('{"payload":{"ORDER_VALUE":1,"SALES_DATE":'), moment, F.lit("}}"))
+    rows = spark.range(0, 20000, 1, 4).select(text.alias("text"))
     records = envelope.to_records(rows, feeds.GARMENT_SALES.topic, F.lit("k"), F.col("text"))
     result = report.hourly_report(records, [feeds.GARMENT_SALES])
     assert sum(r.sales for r in result.collect()) == 20000

@@ -23,7 +23,14 @@ HOUR = 3_600_000
 MS = 1496767720000
 
 # Sample inputs: six clicks and five messages, all within one hour.
-CLICKS = [(0, "firstPage"), (10, "browseProduct"), (10, "firstPage"), (20, "browseProduct"), (30, "ViewReviews"), (20, "firstPage")]
+CLICKS = [
+    (0, "firstPage"),
+    (10, "browseProduct"),
+    (10, "firstPage"),
+    (20, "browseProduct"),
+    (30, "ViewReviews"),
+    (20, "firstPage"),
+]
 TWEETS = [
     f"{MS},Your product is awesome.#cool. I really like it",
     f"{MS + 10000},I had a bad experience. Wont buy again. #sorry",
@@ -142,7 +149,8 @@ def test_update_every_row(spark):
 
 
 def test_upsert_by_hour(spark):
-    base = summary.with_defaults(spark.createDataFrame([(H16, 10.0), ("2017-06-06 15:00:00", 1.0)], "report_date string, sales double"))
+    known = [(H16, 10.0), ("2017-06-06 15:00:00", 1.0)]
+    base = summary.with_defaults(spark.createDataFrame(known, "report_date string, sales double"))
     rows = rollup.shown(summary.upsert_by_hour(base, report.hourly_deltas(_sample(spark))))
     assert sorted(tuple(r) for r in rows.collect()) == [
         ("2017-06-06 15:00:00", 1.0, 0, 0, 0),
