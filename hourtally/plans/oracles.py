@@ -45,9 +45,9 @@ ORACLES = {
     "lenient_numbers": """
   SELECT event_id, event_type <> 'error' AS present,
          CASE WHEN event_type IN ('purchase', 'signup') THEN value
-              WHEN event_type IN ('view', 'click') THEN 0.0::DOUBLE END AS as_double,
+              WHEN event_type IN ('view', 'click') THEN 0.0::DOUBLE ELSE -1.0::DOUBLE END AS as_double,
          CASE WHEN event_type IN ('purchase', 'signup') THEN CAST(trunc(value) AS BIGINT)
-              WHEN event_type IN ('view', 'click') THEN 0 END AS as_long
+              WHEN event_type IN ('view', 'click') THEN 0 ELSE -1 END AS as_long
   FROM events""",
     "epoch_to_timestamp": "SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS t FROM events",
     "hour_bucket": f"""

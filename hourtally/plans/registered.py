@@ -86,7 +86,7 @@ def tweet_slice(spark, sf_dir):
 
 
 def lenient_numbers(spark, sf_dir):
-    """The same number written five ways, one per kind of event."""
+    """The same number written five ways, one per kind of event; absent ones show as -1."""
     value = F.col("value")
     kind = F.col("event_type")
     as_number = F.to_json(F.struct(value.alias("X")))
@@ -105,8 +105,8 @@ def lenient_numbers(spark, sf_dir):
     return read.select(
         "event_id",
         variants.is_present(F.col("doc"), path).alias("present"),
-        variants.lenient_double(F.col("doc"), path).alias("as_double"),
-        variants.lenient_long(F.col("doc"), path).alias("as_long"),
+        F.coalesce(variants.lenient_double(F.col("doc"), path), F.lit(-1.0)).alias("as_double"),
+        F.coalesce(variants.lenient_long(F.col("doc"), path), F.lit(-1)).alias("as_long"),
     )
 
 

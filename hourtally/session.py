@@ -5,7 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings a job of this package should run with. The report zone is part of the
 # result, because hour labels follow it. Repeated JSON keys keep the last value.
@@ -54,9 +55,19 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/hourtally/{name}-{uuid.uuid4().hex}"
 
 
-def cut_lineage(frame):
+def read_if_there(spark: SparkSession, schema, path: str) -> DataFrame | None:
+    """A written table, or None when nothing was ever written to the path."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
+def cut_lineage(frame: DataFrame) -> DataFrame:
     """Materialise a frame in the shared folder (survives lost executors)."""
-    shared_folder(frame.sparkSession)
+    folder = shared_folder(frame.sparkSession)
     if frame.sparkSession.sparkContext.getCheckpointDir() is None:
-        frame.sparkSession.sparkContext.setCheckpointDir(shared_folder(frame.sparkSession))
+        frame.sparkSession.sparkContext.setCheckpointDir(folder)
     return frame.checkpoint()

@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hourtally import schemas
+from hourtally import schemas, session
 from hourtally.operators import envelope
 from hourtally.sources import tables
 from hourtally.sources.tables import Database
@@ -17,10 +16,8 @@ POLL_INTERVAL_SECONDS = 2
 
 def last_mark(spark: SparkSession, marks: str) -> int | None:
     """The largest key published so far, or None at the start."""
-    try:
-        return spark.read.schema("mark bigint").parquet(marks).agg(F.max("mark")).first()[0]
-    except AnalysisException:
-        return None
+    written = session.read_if_there(spark, "mark bigint", marks)
+    return None if written is None else written.agg(F.max("mark")).first()[0]
 
 
 def publish_poll(

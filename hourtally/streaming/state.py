@@ -14,6 +14,10 @@ from hourtally.operators import readings, rollup
 from hourtally.operators.feeds import Feed
 from hourtally.streaming import jobs
 
+# State is one row per hour, so a few stores hold it, whatever the size of the stream.
+STATE_STORES = 8
+_PARTITIONS = "spark.sql.shuffle.partitions"
+
 
 def running_totals(records: DataFrame, feeds: Sequence[Feed]) -> DataFrame:
     """Totals per hour over the whole stream so far: a stateful aggregate.
@@ -25,12 +29,17 @@ def running_totals(records: DataFrame, feeds: Sequence[Feed]) -> DataFrame:
 
 
 def start_state_job(
-    totals: DataFrame, path: str, checkpoint: str, interval: str | None = jobs.FEED_INTERVAL
+    totals: DataFrame,
+    path: str,
+    checkpoint: str,
+    interval: str | None = jobs.FEED_INTERVAL,
+    stores: int = STATE_STORES,
 ) -> StreamingQuery:
     """Write the totals of all hours with every batch, into one of two slots by turns.
 
     A batch run again rewrites its own slot, and the other one holds the totals before it.
-    The output is one row per hour and slot, however long the job runs.
+    The output is one row per hour and slot, however long the job runs. ``stores`` counts
+    only when the checkpoint is new.
     """
 
     def write(current: DataFrame, batch_id: int) -> None:
@@ -40,7 +49,15 @@ def start_state_job(
         writer.partitionBy("slot").parquet(path)
 
     writer = totals.writeStream.outputMode("complete").foreachBatch(write)
-    return writer.option("checkpointLocation", checkpoint).trigger(**jobs.trigger(interval)).start()
+    writer = writer.option("checkpointLocation", checkpoint).trigger(**jobs.trigger(interval))
+    # A query takes its settings from the session when it starts.
+    settings = totals.sparkSession.conf
+    before = settings.get(_PARTITIONS)
+    settings.set(_PARTITIONS, stores)
+    try:
+        return writer.start()
+    finally:
+        settings.set(_PARTITIONS, before)
 
 
 def latest_totals(spark: SparkSession, path: str) -> DataFrame:

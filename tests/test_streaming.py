@@ -176,10 +176,14 @@ def test_running_state(spark, scratch):
     def run():
         records = topics.stream_topic(spark, f"{scratch}/topic", maxFilesPerTrigger="1")
         running = state.running_totals(records, SELLING)
-        state.start_state_job(running, f"{scratch}/totals", f"{scratch}/checkpoint", None).awaitTermination()
+        query = state.start_state_job(running, f"{scratch}/totals", f"{scratch}/checkpoint", None, stores=3)
+        query.awaitTermination()
+        assert query.lastProgress["stateOperators"][0]["numShufflePartitions"] == 3
         return {r.report_date: float(r.sales) for r in state.latest_totals(spark, f"{scratch}/totals").collect()}
 
+    partitions = spark.conf.get("spark.sql.shuffle.partitions")
     assert sum(run().values()) == 44.0
+    assert spark.conf.get("spark.sql.shuffle.partitions") == partitions
     _publish(_sales(spark, (MS, 100.0)), f"{scratch}/topic")
     totals = run()
     assert totals[H16] == 114.0 and sum(totals.values()) == 144.0
