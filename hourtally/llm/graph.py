@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hourtally import session
+from hourtally.llm import stored
 
 
 def _pointed(links: DataFrame) -> DataFrame:
@@ -26,7 +26,7 @@ def components(links: DataFrame) -> DataFrame:
     are few (about the logarithm of the longest path), and every step is written to the
     shared folder. Nothing but a count and a sum comes to the driver.
     """
-    links = session.cut_lineage(_pointed(links))
+    links = stored.written(_pointed(links), "graph")
     mark = _print_of(links)
     while True:
         both = links.unionAll(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -36,7 +36,7 @@ def components(links: DataFrame) -> DataFrame:
         links = _pointed(hung)
         least = links.groupBy("a").agg(F.min("b").alias("low"))
         small = links.join(least, "a").select(F.col("b").alias("a"), F.col("low").alias("b"))
-        links = session.cut_lineage(_pointed(small.unionAll(least.select("a", F.col("low").alias("b")))))
+        links = stored.written(_pointed(small.unionAll(least.select("a", F.col("low").alias("b")))), "graph")
         now = _print_of(links)
         if now == mark:
             break

@@ -20,8 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hourtally import session
-from hourtally.llm import graph, textbytes
+from hourtally.llm import graph, stored, textbytes
 
 BANDS = 32
 ROWS = 4
@@ -95,13 +94,6 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def keyed(docs: DataFrame) -> DataFrame:
-    """``row_key, doc_id, text``: rows by a key that differs when id or text do."""
-    doc_id = F.col("doc_id").cast("long")
-    key = F.xxhash64(F.coalesce(doc_id, F.lit(-1)), doc_id.isNull(), F.coalesce("text", F.lit("")))
-    return docs.select(key.alias("row_key"), doc_id.alias("doc_id"), F.col("text").cast("string").alias("text"))
-
-
 def _forest(coords: np.ndarray) -> Iterator[tuple[int, int, float]]:
     """Candidate links in a bucket: those that span it at the greatest similarities, and
     each member's best partners. Their number is in proportion to the members."""
@@ -199,7 +191,7 @@ def candidate_pairs(signed: DataFrame) -> DataFrame:
     """
     sets = signed.where("n_shingles > 0").groupBy("set_1", "set_2", "n_shingles")
     shown = sets.agg(F.min("row_key").alias("node"), F.first("bands").alias("bands"), F.first("coords").alias("coords"))
-    shown = session.cut_lineage(shown.select("node", "bands", "coords"))
+    shown = stored.written(shown.select("node", "bands", "coords"), "sets")
     bands = shown.select("node", F.explode("bands").alias("key"))
     sizes = bands.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
     parts = F.ceil(F.col("size") / TOGETHER)
@@ -218,13 +210,13 @@ def links(signed: DataFrame, texts: DataFrame) -> DataFrame:
     First every node's best candidate is confirmed. Of the rest, only pairs that are not
     connected by then need to be.
     """
-    pairs = session.cut_lineage(candidate_pairs(signed))
+    pairs = stored.written(candidate_pairs(signed), "pairs")
     ends = pairs.select("a", "b", "seen", F.col("a").alias("node")).unionAll(
         pairs.select("a", "b", "seen", F.col("b").alias("node"))
     )
     best = ends.groupBy("node").agg(F.max(F.struct("seen", "a", "b")).alias("top"))
     first = best.select("top.a", "top.b").distinct()
-    sure = session.cut_lineage(confirmed(first, texts))
+    sure = stored.written(confirmed(first, texts), "links")
     classes = graph.components(sure)
     of_a = classes.select(F.col("node").alias("a"), F.col("component").alias("class_a"))
     of_b = classes.select(F.col("node").alias("b"), F.col("component").alias("class_b"))
@@ -239,12 +231,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     The component is the smallest id reachable by links; a null id is never the smallest
     unless all are null.
     """
-    spark = docs.sparkSession
-    texts = keyed(docs)
-    path = session.scratch(spark, "minhash")
-    texts.mapInArrow(_sign, SIGNED).write.parquet(path)
-    signed = spark.read.schema(SIGNED).parquet(path)
-    classes = graph.components(session.cut_lineage(links(signed, texts.select("row_key", "text"))))
+    texts = stored.keyed(docs)
+    signed = stored.written(texts.mapInArrow(_sign, SIGNED), "signatures")
+    classes = graph.components(stored.written(links(signed, texts.select("row_key", "text")), "links"))
     sets = signed.where("n_shingles > 0").groupBy("set_1", "set_2", "n_shingles")
     sets = sets.agg(F.min("row_key").alias("node"), F.min("doc_id").alias("least"))
     sets = sets.join(classes, "node", "left").withColumn("class", F.coalesce("component", "node"))

@@ -11,13 +11,24 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hourtally.llm import minhash
+from hourtally.llm import minhash, suffixes
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffixes.without_repeats(_table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        "n_bytes",
+        (F.col("n_bytes") - F.length("kept")).alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = minhash.near_duplicates(_table(spark, sf_dir, "documents"))
     kept = F.col("doc_id").eqNullSafe(F.col("component_id"))
@@ -25,6 +36,7 @@ def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_suffix_array_dedup": op3_suffix_array_dedup,
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
 }
 
