@@ -11,13 +11,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hourtally.llm import minhash, suffixes
+from hourtally.llm import language, minhash, suffixes
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_cross_parsing_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = language.fitted(docs)
+    found = language.identify(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", language.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
 def op3_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = suffixes.without_repeats(_table(spark, sf_dir, "documents"))
     return found.select(
@@ -36,6 +43,7 @@ def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_cross_parsing_language": op1_cross_parsing_language,
     "op3_suffix_array_dedup": op3_suffix_array_dedup,
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
 }
