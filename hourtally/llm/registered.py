@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hourtally.llm import language, minhash, suffixes
+from hourtally.llm import language, minhash, quality, suffixes
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -36,6 +36,18 @@ def op3_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_random_indexing_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    table, network = quality.fit(docs, _table(spark, sf_dir, "labels"))
+    found = quality.scored(docs, table, network)
+    return found.select(
+        "doc_id",
+        quality.held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
 def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = minhash.near_duplicates(_table(spark, sf_dir, "documents"))
     kept = F.col("doc_id").eqNullSafe(F.col("component_id"))
@@ -45,6 +57,7 @@ def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_cross_parsing_language": op1_cross_parsing_language,
     "op3_suffix_array_dedup": op3_suffix_array_dedup,
+    "op7_random_indexing_quality": op7_random_indexing_quality,
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
 }
 
