@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hourtally.llm import language, minhash, quality, suffixes
+from hourtally.llm import decontaminate, language, minhash, quality, suffixes
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -36,6 +36,10 @@ def op3_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_pigeonhole_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op7_random_indexing_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     table, network = quality.fit(docs, _table(spark, sf_dir, "labels"))
@@ -57,6 +61,7 @@ def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_cross_parsing_language": op1_cross_parsing_language,
     "op3_suffix_array_dedup": op3_suffix_array_dedup,
+    "op6_pigeonhole_decontamination": op6_pigeonhole_decontamination,
     "op7_random_indexing_quality": op7_random_indexing_quality,
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
 }
