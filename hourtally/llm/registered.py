@@ -11,7 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hourtally.llm import decontaminate, language, minhash, quality, suffixes
+from hourtally import session
+from hourtally.llm import decontaminate, language, minhash, mixing, oracles, quality, suffixes, tokens
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,6 +26,11 @@ def op1_cross_parsing_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", language.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
+def op2_pfair_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "source")
+    return mixing.mixed(docs)
+
+
 def op3_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = suffixes.without_repeats(_table(spark, sf_dir, "documents"))
     return found.select(
@@ -36,6 +42,19 @@ def op3_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def tokenizer_path() -> str:
+    """The vocabulary file of the queries; the operator takes any."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op4_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = session.scratch(spark, "tokens")
+    tokens.write_tokens(_table(spark, sf_dir, "documents"), path, tokenizer_path())
+    return tokens.digests(spark, path)
+
+
 def op6_pigeonhole_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
@@ -60,13 +79,15 @@ def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_cross_parsing_language": op1_cross_parsing_language,
+    "op2_pfair_mixing": op2_pfair_mixing,
     "op3_suffix_array_dedup": op3_suffix_array_dedup,
+    "op4_token_output": op4_token_output,
     "op6_pigeonhole_decontamination": op6_pigeonhole_decontamination,
     "op7_random_indexing_quality": op7_random_indexing_quality,
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = dict(oracles.ORACLES)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
