@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from hourtally.llm import mixing
+from hourtally.llm import licences, mixing
 
 OP2 = f"""
 WITH RECURSIVE d AS (
@@ -47,4 +47,77 @@ SELECT doc_id, source, rank // {mixing.BLOCK_DOCS} AS mix_block,
 FROM ranked JOIN period USING (k) WHERE turn = (rank // {mixing.BLOCK_DOCS}) % q
 """
 
-ORACLES = {"op2_pfair_mixing": OP2}
+_SCHEME = "^[a-zA-Z][a-zA-Z0-9+.-]*://"
+OP5 = f"""
+WITH p AS (
+  SELECT page_id, url, TIMESTAMP '2024-01-01' + to_hours((page_id % 8784)::INTEGER) AS t,
+         regexp_replace(regexp_replace(lower(regexp_extract(coalesce(url, ''), '{_SCHEME}([^/?#]*)', 1)), '^.*@', ''),
+                        '[.]?(:[0-9]*)?$', '') AS host,
+         regexp_extract(coalesce(url, ''), '{_SCHEME}[^/?#]*([^?#]*)', 1) AS path
+  FROM pages
+),
+s AS (
+  SELECT *, string_split(host, '.') AS labels, list_filter(string_split(path, '/'), lambda x: x <> '') AS segs,
+         string_split(path, '/')[2] AS folder
+  FROM p
+),
+named AS (
+  SELECT 'hosts' AS list_id, host AS pattern FROM s WHERE host <> ''
+  UNION SELECT 'domains', array_to_string(labels[2:], '.') FROM s WHERE host <> '' AND len(labels) > 3
+  UNION SELECT 'folders', concat_ws('/', host, folder) FROM s WHERE host <> ''
+),
+days AS (
+  SELECT *, ('0x' || md5(pattern)[1:2])::INTEGER AS a, ('0x' || md5(pattern)[3:4])::INTEGER AS b,
+         ('0x' || md5(pattern)[5:6])::INTEGER AS c
+  FROM named
+),
+spans AS (
+  SELECT list_id, pattern, DATE '2024-01-01' + a AS since, DATE '2024-01-01' + (a + 1 + b) AS until FROM days
+  UNION ALL
+  SELECT list_id, pattern, DATE '2024-01-01' + (a + 2 + b + c), DATE '9999-12-31' FROM days
+),
+keys AS (
+  SELECT page_id, url, t, unnest(list_distinct(list_concat(
+      list_transform(range(1, len(labels) + 1), lambda i: array_to_string(labels[i:], '.')),
+      list_transform(range(1, len(segs) + 1), lambda i: host || '/' || array_to_string(segs[1:i], '/'))))) AS key
+  FROM s WHERE host <> ''
+),
+met AS (
+  SELECT page_id, url, t, list_id, pattern, since,
+         row_number() OVER (PARTITION BY page_id ORDER BY length(pattern) DESC, list_id, pattern, since) AS n
+  FROM keys JOIN spans ON key = pattern AND t >= since AND t < until
+)
+SELECT p.page_id, p.url, met.n IS NOT NULL AS blocked, list_id, pattern,
+       strftime(p.t, '%Y-%m-%d %H:%M:%S') AS fetched_at, strftime(since, '%Y-%m-%d %H:%M:%S') AS since
+FROM p LEFT JOIN met ON p.page_id = met.page_id AND met.n = 1
+"""
+
+_KNOWN = ", ".join(f"({number}, '{plain}')" for number, plain in licences.SENTENCES.items())
+_RULES = ", ".join(
+    f"('{name}', '%{'%'.join(f'<{i}>' for i in ids)}%')" for name, ids in licences.RULES
+)
+OP10 = f"""
+WITH known(number, plain) AS (VALUES {_KNOWN}),
+rules(licence, shape) AS (VALUES {_RULES}),
+parts AS (
+  SELECT doc_id, unnest(string_split_regex(
+      regexp_replace(lower(coalesce(text, '')), '[.!?;:]+[ \t\r\n]+', chr(10), 'g'), '[\r\n]')) AS part,
+    generate_subscripts(string_split_regex(
+      regexp_replace(lower(coalesce(text, '')), '[.!?;:]+[ \t\r\n]+', chr(10), 'g'), '[\r\n]'), 1) AS place
+  FROM documents
+),
+met AS (SELECT doc_id, place, number FROM parts JOIN known ON trim(regexp_replace(part, '[^a-z0-9]+', ' ', 'g')) = plain),
+lines AS (
+  SELECT doc_id, string_agg('<' || number || '>', '' ORDER BY place) AS line,
+         string_agg(number::VARCHAR, ',' ORDER BY place) AS numbers
+  FROM met GROUP BY doc_id
+),
+named AS (
+  SELECT doc_id, string_agg(DISTINCT licence, ',' ORDER BY licence) AS licences
+  FROM lines JOIN rules ON line LIKE shape GROUP BY doc_id
+)
+SELECT d.doc_id, coalesce(licences, '') AS licences, coalesce(numbers, '') AS sentences
+FROM documents d LEFT JOIN lines USING (doc_id) LEFT JOIN named USING (doc_id)
+"""
+
+ORACLES = {"op2_pfair_mixing": OP2, "op5_temporal_url_filter": OP5, "op10_licence_sentences": OP10}

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hourtally import session
-from hourtally.llm import decontaminate, language, minhash, mixing, oracles, quality, suffixes, tokens
+from hourtally.llm import decontaminate, language, licences, minhash, mixing, oracles, quality, suffixes, tokens, urls
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -55,6 +55,42 @@ def op4_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.digests(spark, path)
 
 
+def list_changes(pages: DataFrame) -> DataFrame:
+    """Stand-in for dated lists, from the hosts of the pages themselves: when a host, a domain or
+    a folder of a host was listed, taken off and listed again follows from its name's md5."""
+    url = F.col("url")
+    host = urls.host_of(url)
+    labels = F.split(host, "[.]")
+    domain = F.when(F.size(labels) > 3, F.array_join(F.slice(labels, F.lit(2), F.size(labels)), "."))
+    folder = F.concat_ws("/", host, F.split(F.regexp_extract(url, urls.PATH, 1), "/")[1])
+    named = F.array(
+        F.struct(F.lit("hosts").alias("list_id"), host.alias("pattern")),
+        F.struct(F.lit("domains").alias("list_id"), domain.alias("pattern")),
+        F.struct(F.lit("folders").alias("list_id"), folder.alias("pattern")),
+    )
+    entries = pages.where(host != "").select(F.explode(named).alias("e")).select("e.*").dropna().distinct()
+    byte = [F.conv(F.substring(F.md5(F.col("pattern").cast("binary")), 2 * i + 1, 2), 16, 10).cast("int") for i in range(3)]
+    changes = F.array(
+        F.struct(F.lit(True).alias("listed"), (byte[0]).alias("day")),
+        F.struct(F.lit(False).alias("listed"), (byte[0] + 1 + byte[1]).alias("day")),
+        F.struct(F.lit(True).alias("listed"), (byte[0] + 2 + byte[1] + byte[2]).alias("day")),
+    )
+    dated = entries.select("list_id", "pattern", F.explode(changes).alias("c"))
+    start = F.lit("2024-01-01").cast("date")
+    return dated.select("list_id", "pattern", "c.listed", F.date_add(start, F.col("c.day")).cast("timestamp").alias("changed_at"))
+
+
+def op5_temporal_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages carry no fetch time: page n stands for a capture n hours after the start of 2024,
+    going round after a year."""
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url")
+    hours = F.make_interval(hours=(F.col("page_id") % 8784).cast("int"))
+    captures = pages.withColumn("fetched_at", F.lit("2024-01-01 00:00:00").cast("timestamp") + hours)
+    found = urls.checked(captures, list_changes(pages))
+    shown = [F.date_format(c, "yyyy-MM-dd HH:mm:ss").alias(c) for c in ("fetched_at", "since")]
+    return found.select("page_id", "url", "blocked", "list_id", "pattern", *shown)
+
+
 def op6_pigeonhole_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
@@ -77,14 +113,22 @@ def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", kept.alias("kept"))
 
 
+def op10_licence_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licences.recognised(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    numbers = F.array_join(F.col("sentences").cast("array<string>"), ",")
+    return found.select("doc_id", F.array_join("licences", ",").alias("licences"), numbers.alias("sentences"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_cross_parsing_language": op1_cross_parsing_language,
     "op2_pfair_mixing": op2_pfair_mixing,
     "op3_suffix_array_dedup": op3_suffix_array_dedup,
     "op4_token_output": op4_token_output,
+    "op5_temporal_url_filter": op5_temporal_url_filter,
     "op6_pigeonhole_decontamination": op6_pigeonhole_decontamination,
     "op7_random_indexing_quality": op7_random_indexing_quality,
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
+    "op10_licence_sentences": op10_licence_sentences,
 }
 
 ORACLES: dict[str, str] = dict(oracles.ORACLES)
