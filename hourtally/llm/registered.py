@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hourtally import session
-from hourtally.llm import decontaminate, language, licences, minhash, mixing, oracles, quality, suffixes, tokens, urls
+from hourtally.llm import decontaminate, language, licences, minhash, mixing, oracles, quality, suffixes, tokens, urls, vectors
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -113,6 +113,11 @@ def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", kept.alias("kept"))
 
 
+def op9_product_quantised_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = vectors.near_duplicates(_table(spark, sf_dir, "embeddings"))
+    return found.withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
+
+
 def op10_licence_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = licences.recognised(_table(spark, sf_dir, "documents").select("doc_id", "text"))
     numbers = F.array_join(F.col("sentences").cast("array<string>"), ",")
@@ -128,6 +133,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_pigeonhole_decontamination": op6_pigeonhole_decontamination,
     "op7_random_indexing_quality": op7_random_indexing_quality,
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
+    "op9_product_quantised_dedup": op9_product_quantised_dedup,
     "op10_licence_sentences": op10_licence_sentences,
 }
 
