@@ -19,6 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from hourtally.llm import graph, stored, textbytes
 
@@ -193,7 +194,7 @@ def candidate_pairs(signed: DataFrame) -> DataFrame:
     shown = sets.agg(F.min("row_key").alias("node"), F.first("bands").alias("bands"), F.first("coords").alias("coords"))
     shown = stored.written(shown.select("node", "bands", "coords"), "sets")
     bands = shown.select("node", F.explode("bands").alias("key"))
-    sizes = bands.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
+    sizes = stored.written(bands.groupBy("key").agg(F.count("*").alias("size")).where("size > 1"), "buckets")
     parts = F.ceil(F.col("size") / TOGETHER)
     part = F.pmod(F.xxhash64("key", "node"), parts).cast("int")
     members = bands.join(sizes, "key").select("key", part.alias("part"), "node")
@@ -226,19 +227,38 @@ def links(signed: DataFrame, texts: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
-    """Per row of ``docs`` (``doc_id, text``): ``row_key, doc_id, n_shingles, component_id``.
+    """Per row of ``docs`` (``doc_id, text``): ``row_key, doc_id, n_shingles, component_id, class``.
 
     The component is the smallest id reachable by links; a null id is never the smallest
-    unless all are null.
+    unless all are null. The class numbers groups; it is null for rows without words.
     """
     texts = stored.keyed(docs)
     signed = stored.written(texts.mapInArrow(_sign, SIGNED), "signatures")
-    classes = graph.components(stored.written(links(signed, texts.select("row_key", "text")), "links"))
+    found = stored.written(links(signed, texts.select("row_key", "text")), "links")
+    classes = graph.components(found)
     sets = signed.where("n_shingles > 0").groupBy("set_1", "set_2", "n_shingles")
     sets = sets.agg(F.min("row_key").alias("node"), F.min("doc_id").alias("least"))
     sets = sets.join(classes, "node", "left").withColumn("class", F.coalesce("component", "node"))
+    sets = stored.written(sets.select("set_1", "set_2", "n_shingles", "class", "least"), "sets")
     lowest = sets.groupBy("class").agg(F.min("least").alias("component_id"))
-    named = sets.join(lowest, "class").select("set_1", "set_2", "n_shingles", "component_id")
+    # Written, so that Spark may split a join with very many rows of one set.
+    named = stored.written(sets.join(lowest, "class").drop("least"), "classes")
     rows = signed.select("row_key", "doc_id", "n_shingles", "set_1", "set_2")
     joined = rows.join(named, ["set_1", "set_2", "n_shingles"], "left")
-    return joined.select("row_key", "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+    component = F.coalesce("component_id", "doc_id").alias("component_id")
+    return joined.select("row_key", "doc_id", "n_shingles", component, "class")
+
+
+def deduplicated(docs: DataFrame) -> DataFrame:
+    """The rows with all their columns, but one of each group: the one of smallest id.
+
+    Rows without words are in no group and all stay.
+    """
+    found = stored.written(near_duplicates(docs).select("row_key", "doc_id", "class"), "groups")
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row_key")).alias("first")
+    best = found.where("class IS NOT NULL").groupBy("class").agg(first).select("first.row_key", F.lit(False).alias("all"))
+    loose = found.where("class IS NULL").select("row_key", F.lit(True).alias("all")).distinct()
+    rows = docs.select(F.struct("*").alias("row")).withColumn("row_key", stored.key_of("row.doc_id", "row.text"))
+    kept = rows.join(best.unionAll(loose), "row_key")
+    again = F.row_number().over(Window.partitionBy("row_key").orderBy("row_key"))
+    return kept.withColumn("again", again).where("all OR again = 1").select("row.*")

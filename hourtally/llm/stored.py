@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hourtally import session
@@ -26,8 +26,13 @@ def written(frame: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
+def key_of(doc_id: str, text: str) -> Column:
+    """A key of a row that differs when its id or its text does."""
+    number = F.col(doc_id).cast("long")
+    return F.xxhash64(F.coalesce(number, F.lit(-1)), number.isNull(), F.coalesce(text, F.lit("")))
+
+
 def keyed(docs: DataFrame) -> DataFrame:
-    """``row_key, doc_id, text``: rows by a key that differs when id or text do."""
-    doc_id = F.col("doc_id").cast("long")
-    key = F.xxhash64(F.coalesce(doc_id, F.lit(-1)), doc_id.isNull(), F.coalesce("text", F.lit("")))
-    return docs.select(key.alias("row_key"), doc_id.alias("doc_id"), F.col("text").cast("string").alias("text"))
+    """``row_key, doc_id, text`` of documents."""
+    doc_id = F.col("doc_id").cast("long").alias("doc_id")
+    return docs.select(key_of("doc_id", "text").alias("row_key"), doc_id, F.col("text").cast("string").alias("text"))

@@ -257,11 +257,14 @@ def repeated_windows(texts: DataFrame) -> DataFrame:
         ),
         "contexts",
     )
-    often = every.groupBy("span").agg(F.count("*").alias("n")).where("n > 1").select("span")
+    # Counts are written before they are joined, so that Spark may split a join with very many
+    # rows of one span.
+    often = stored.written(every.groupBy("span").agg(F.count("*").alias("n")).where("n > 1").select("span"), "spans")
     places = stored.written(every.join(often, "span", "left_semi"), "repeats")
     one = F.min(F.struct("row_key", "first", "last")).alias("one")
     distinct = stored.written(places.groupBy("span", "context").agg(F.count("*").alias("times"), one), "distinct")
     others = distinct.groupBy("span").agg(F.count("*").alias("others")).where("others > 1")
+    others = stored.written(others, "others")
     wanted = distinct.join(others, "span").select(
         F.col("one.row_key").alias("row_key"),
         F.struct("span", "context", "times", "others", "one.first", "one.last").alias("it"),
@@ -276,13 +279,14 @@ def repeated_windows(texts: DataFrame) -> DataFrame:
     many = cut.where(F.col("others") > TOGETHER).select("span", "context", "bytes")
     windows = many.mapInArrow(_window_hashes, "window long, span long, context long, at long")
     again = windows.groupBy("window").agg(F.count("*").alias("n")).where("n > 1").select("window")
+    again = stored.written(again, "windows")
     split_marks = windows.join(again, "window", "left_semi").select(
         "span", "context", F.col("at").alias("first"), F.col("at").alias("last")
     )
     whole = distinct.where("times > 1").select(
         "span", "context", F.lit(0).cast("long").alias("first"), (F.col("one.last") - F.col("one.first")).alias("last")
     )
-    marks = sorted_marks.unionAll(split_marks).unionAll(whole)
+    marks = stored.written(sorted_marks.unionAll(split_marks).unionAll(whole), "marks")
     marks = marks.withColumnsRenamed({"first": "from", "last": "upto"})
     return places.join(marks, ["span", "context"]).select(
         "row_key", (F.col("first") + F.col("from")).alias("first"), (F.col("first") + F.col("upto")).alias("last")

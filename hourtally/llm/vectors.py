@@ -282,7 +282,8 @@ def near_duplicates(vectors: DataFrame, least: float = LEAST_COSINE) -> DataFram
     named = named.withColumn("class", F.coalesce("component", "node"))
     lowest = named.groupBy("class").agg(F.min("least").alias("component_id"))
     links = F.col("times") - 1 + F.coalesce("n", F.lit(0))
-    named = named.join(lowest, "class").select("node", links.alias("n_links"), "component_id")
+    # Written, so that Spark may split a join with very many equal vectors.
+    named = stored.written(named.join(lowest, "class").select("node", links.alias("n_links"), "component_id"), "classes")
     shown = rows.select("vec_id", "node").join(named, "node", "left")
     return shown.select(
         "vec_id",
