@@ -69,7 +69,7 @@ def symbols(texts: list[str | None]) -> Symbols:
 
 
 class Model(NamedTuple):
-    """``steps[state * width + symbol]``: the next state, plus BREAK where a phrase ends."""
+    """``steps[state * width + symbol]``: the next state, plus BREAK where a phrase begins."""
 
     languages: list[str]
     roots: np.ndarray
@@ -133,7 +133,8 @@ def learn(labelled: dict[str, list[str]], most: int = SAMPLE_SYMBOLS) -> Model:
         table = np.tile(fresh | BREAK, (len(states), 1))
         table[:, -1] = np.arange(base, base + len(states))
         for at, follow in enumerate(states):
-            table[at, list(follow)] = [base + to for to in follow.values()]
+            begins = BREAK if at == 0 else 0
+            table[at, list(follow)] = [base + to | begins for to in follow.values()]
         tables.append(table.reshape(-1))
         base += len(states)
     steps = np.concatenate(tables) if tables else np.zeros(0, np.int32)
@@ -159,7 +160,7 @@ def entropies(model: Model, texts: list[str | None]) -> tuple[np.ndarray, np.nda
         order = np.argsort(-size[some], kind="stable")
         begin, length = first[some][order], size[some][order]
         state = np.repeat(model.roots[:, None], len(begin), axis=1)
-        breaks = np.ones(state.shape, np.int64)
+        breaks = np.zeros(state.shape, np.int64)
         active = np.searchsorted(-length, -np.arange(1, RUN + 1), "right")
         for k in range(int(length[0])):
             upto = active[k]
