@@ -233,16 +233,16 @@ def _found(shipped, texts: list[str | None]) -> Iterator[Match]:
                 yield match._replace(text=at + match.text)
 
 
-def item_blocks(benchmark: DataFrame, size: int = ITEM_BLOCK) -> list:
-    """The items (``item_id, text``) as broadcasts of about ``size`` characters each."""
+def item_blocks(benchmark: DataFrame) -> list:
+    """The items (``item_id, text``) as broadcasts of about ``ITEM_BLOCK`` characters each."""
     spark = benchmark.sparkSession
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.coalesce("text", F.lit("")).alias("text"))
     total = items.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
-    number = -(-total // size)
+    number = -(-total // ITEM_BLOCK)
     block = F.pmod(F.xxhash64("item_id", "text"), F.lit(max(1, number)))
     out = []
     for k in range(number):
-        rows = items.where(block == k).collect()  # about ``size`` characters
+        rows = items.where(block == k).collect()  # about ITEM_BLOCK characters
         out.append(spark.sparkContext.broadcast(sorted((-1 if r[0] is None else r[0], r[1]) for r in rows)))
     return out
 

@@ -6,6 +6,11 @@ shifted around by one place more for every coordinate. Bands of four coordinates
 candidates together (at the least similarity that links, 0.75, all 32 bands fail for
 about 5 pairs in a million), and every link is confirmed on the full sets.
 
+Members of a band's bucket are compared by their signatures. Buckets too large for one task
+are dealt out first; then, for what is not connected yet, each member outside the bucket's
+largest class is held against every member, block by block. What leaves a task is in
+proportion to the members in it, never all their pairs.
+
 Nulls and empty texts have no set and link with nothing. Rows with equal sets are one
 class before any comparison, however many they are. Repeated rows and repeated ids are
 rows of their own. Extra columns are ignored.
@@ -32,7 +37,7 @@ TOGETHER = 512
 # the least similarity that links.
 LEAST_SEEN = 0.52
 # Best partners that a member proposes besides the links that span the bucket.
-BEST = 3
+BEST = 8
 
 SIGNED = "row_key long, doc_id long, n_shingles long, set_1 long, set_2 long, bands array<long>, coords binary"
 
@@ -184,25 +189,86 @@ def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return both.mapInArrow(_confirm, "a long, b long")
 
 
-def candidate_pairs(signed: DataFrame) -> DataFrame:
-    """``a, b, seen`` between representatives of different sets, ``a < b``.
+def _held_against(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows come sorted by bucket, block and role: first a block's members, then queries."""
+    place, parts, members = None, [], None
+    for whole in batches:
+        for lo in range(0, whole.num_rows, 256):
+            batch = whole.slice(lo, 256)
+            keys, blocks, roles, nodes, classes = (
+                batch.column(n).to_numpy() for n in ("key", "block", "role", "node", "class")
+            )
+            coords = np.frombuffer(b"".join(batch.column("coords").to_pylist()), np.uint8).reshape(-1, COORDINATES)
+            spot = np.stack([keys, blocks, roles], axis=1)
+            edges = np.flatnonzero((spot[1:] != spot[:-1]).any(axis=1)) + 1
+            a, b, shares = [], [], []
+            for at, upto in zip([0, *edges.tolist()], [*edges.tolist(), len(keys)], strict=True):
+                here = (int(keys[at]), int(blocks[at]))
+                if here != place:
+                    place, parts, members = here, [], None
+                if roles[at] == 0:
+                    parts.append((nodes[at:upto], classes[at:upto], coords[at:upto]))
+                    continue
+                if not parts:
+                    continue
+                if members is None:
+                    members = [np.concatenate(x) for x in zip(*parts, strict=True)]
+                for q in range(at, upto):
+                    seen = (members[2] == coords[q]).mean(axis=1)
+                    near = np.flatnonzero((seen >= LEAST_SEEN) & (members[1] != classes[q]))
+                    taken: dict[int, int] = {}
+                    for i in near[np.argsort(-seen[near], kind="stable")].tolist():
+                        other = int(members[1][i])
+                        taken[other] = taken.get(other, 0) + 1
+                        if taken[other] <= BEST:
+                            a.append(int(nodes[q]))
+                            b.append(int(members[0][i]))
+                            shares.append(float(seen[i]))
+            columns = [pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(shares, pa.float32())]
+            yield pa.RecordBatch.from_arrays(columns, names=["a", "b", "seen"])
+
+
+def _ordered(found: DataFrame) -> DataFrame:
+    ends = found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "seen")
+    return ends.groupBy("a", "b").agg(F.max("seen").alias("seen"))
 
-    A bucket of many members is dealt out by a hash that differs from band to band, so
-    members meet in other bands whom one band's deal keeps apart.
-    """
+
+def buckets(signed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """One representative of each set (``node, coords``), and the buckets of two or more
+    (``key, node, size``)."""
     sets = signed.where("n_shingles > 0").groupBy("set_1", "set_2", "n_shingles")
     shown = sets.agg(F.min("row_key").alias("node"), F.first("bands").alias("bands"), F.first("coords").alias("coords"))
     shown = stored.written(shown.select("node", "bands", "coords"), "sets")
     bands = shown.select("node", F.explode("bands").alias("key"))
     sizes = stored.written(bands.groupBy("key").agg(F.count("*").alias("size")).where("size > 1"), "buckets")
-    parts = F.ceil(F.col("size") / TOGETHER)
-    part = F.pmod(F.xxhash64("key", "node"), parts).cast("int")
-    members = bands.join(sizes, "key").select("key", part.alias("part"), "node")
-    members = members.join(shown.select("node", "coords"), "node")
-    dealt = members.repartition("key", "part").sortWithinPartitions("key", "part", "node")
-    found = dealt.mapInArrow(_candidates, "a long, b long, seen float")
-    ends = found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "seen")
-    return ends.groupBy("a", "b").agg(F.max("seen").alias("seen"))
+    members = stored.written(bands.join(sizes, "key").select("key", "node", "size"), "members")
+    return shown.select("node", "coords"), members
+
+
+def candidate_pairs(shown: DataFrame, members: DataFrame) -> DataFrame:
+    """``a, b, seen`` between representatives, ``a < b``; a large bucket is dealt out."""
+    part = F.pmod(F.xxhash64("key", "node"), F.ceil(F.col("size") / TOGETHER)).cast("int")
+    parts = members.select("key", part.alias("part"), "node").join(shown, "node")
+    dealt = parts.repartition("key", "part").sortWithinPartitions("key", "part", "node")
+    return _ordered(dealt.mapInArrow(_candidates, "a long, b long, seen float"))
+
+
+def missed_pairs(shown: DataFrame, members: DataFrame, classes: DataFrame) -> DataFrame:
+    """Candidates of different classes in the buckets that were dealt out."""
+    large = members.where(F.col("size") > TOGETHER).join(classes, "node", "left")
+    large = large.withColumn("class", F.coalesce("component", "node")).drop("component")
+    large = stored.written(large.join(shown, "node"), "large")
+    counts = large.groupBy("key", "class").agg(F.count("*").alias("n"))
+    main = counts.groupBy("key").agg(F.max(F.struct("n", "class")).alias("top"))
+    main = stored.written(main.select("key", F.col("top.class").alias("main")), "main")
+    blocks = F.ceil(F.col("size") / TOGETHER).cast("int")
+    own = F.pmod(F.xxhash64("key", "node"), blocks).cast("int")
+    as_member = large.select("key", own.alias("block"), F.lit(0).alias("role"), "node", "class", "coords")
+    outside = large.join(main, "key").where(F.col("class") != F.col("main"))
+    every = F.explode(F.sequence(F.lit(0), blocks - 1))
+    as_query = outside.select("key", every.alias("block"), F.lit(1).alias("role"), "node", "class", "coords")
+    met = as_member.unionAll(as_query).repartition("key", "block").sortWithinPartitions("key", "block", "role")
+    return _ordered(met.mapInArrow(_held_against, "a long, b long, seen float"))
 
 
 def links(signed: DataFrame, texts: DataFrame) -> DataFrame:
@@ -211,7 +277,8 @@ def links(signed: DataFrame, texts: DataFrame) -> DataFrame:
     First every node's best candidate is confirmed. Of the rest, only pairs that are not
     connected by then need to be.
     """
-    pairs = stored.written(candidate_pairs(signed), "pairs")
+    shown, members = buckets(signed)
+    pairs = stored.written(candidate_pairs(shown, members), "pairs")
     ends = pairs.select("a", "b", "seen", F.col("a").alias("node")).unionAll(
         pairs.select("a", "b", "seen", F.col("b").alias("node"))
     )
@@ -223,7 +290,11 @@ def links(signed: DataFrame, texts: DataFrame) -> DataFrame:
     of_b = classes.select(F.col("node").alias("b"), F.col("component").alias("class_b"))
     rest = pairs.join(first, ["a", "b"], "left_anti").join(of_a, "a", "left").join(of_b, "b", "left")
     apart = F.coalesce("class_a", "a") != F.coalesce("class_b", "b")
-    return sure.unionAll(confirmed(rest.where(apart).select("a", "b"), texts))
+    found = stored.written(sure.unionAll(confirmed(rest.where(apart).select("a", "b"), texts)), "links")
+    if members.where(F.col("size") > TOGETHER).isEmpty():
+        return found
+    missed = stored.written(missed_pairs(shown, members, graph.components(found)), "pairs")
+    return found.unionAll(confirmed(missed.select("a", "b").join(pairs, ["a", "b"], "left_anti"), texts))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
