@@ -1,6 +1,7 @@
 """Licences by their sentences.
 
-Sentences end with a line, or with a sign that ends or parts sentences and white space. Written
+Sentences end with a line, or with a full stop, question or exclamation mark or semicolon and
+white space. Written
 plainly (lower case, one blank for each run of anything but letters and digits), a
 sentence that is known has a number; a document becomes the sequence of its numbers. A
 rule is an ordered list of numbers: it holds if they occur in this order, with anything in
@@ -81,7 +82,7 @@ RULES = (
 # Every known sentence holds one of these, so others need not be written plainly.
 MARKS = ("licen", "software", "copyright", "redistribut")
 
-PARTING = "[.!?;:]+[ \t\r\n]+"
+PARTING = "[.!?;]+[ \t\r\n]+"
 OTHER = "[^a-z0-9]+"
 
 
@@ -105,7 +106,7 @@ def recognised(docs: DataFrame, sentences: dict[int, str] | None = None, rules=R
     Columns that had these names are replaced.
     """
     numbers = sentence_ids(F.col("row.text"), SENTENCES if sentences is None else sentences)
-    found = docs.select(F.struct("*").alias("row"), numbers.alias("ids"))
+    found = docs.select(F.struct("*").alias("row")).withColumn("ids", numbers)
     found = found.withColumn("line", F.array_join(F.transform("ids", lambda i: F.concat(F.lit("<"), i.cast("string"), F.lit(">"))), ""))
     hits = [F.when(F.col("line").like("%" + "%".join(f"<{i}>" for i in ids) + "%"), name) for name, ids in rules]
     named = F.array_sort(F.array_distinct(F.array_compact(F.array(*hits)))) if hits else F.array().cast("array<string>")

@@ -101,9 +101,9 @@ WITH known(number, plain) AS (VALUES {_KNOWN}),
 rules(licence, shape) AS (VALUES {_RULES}),
 parts AS (
   SELECT doc_id, unnest(string_split_regex(
-      regexp_replace(lower(coalesce(text, '')), '[.!?;:]+[ \t\r\n]+', chr(10), 'g'), '[\r\n]')) AS part,
+      regexp_replace(lower(coalesce(text, '')), '[.!?;]+[ \t\r\n]+', chr(10), 'g'), '[\r\n]')) AS part,
     generate_subscripts(string_split_regex(
-      regexp_replace(lower(coalesce(text, '')), '[.!?;:]+[ \t\r\n]+', chr(10), 'g'), '[\r\n]'), 1) AS place
+      regexp_replace(lower(coalesce(text, '')), '[.!?;]+[ \t\r\n]+', chr(10), 'g'), '[\r\n]'), 1) AS place
   FROM documents
 ),
 met AS (SELECT doc_id, place, number FROM parts JOIN known ON trim(regexp_replace(part, '[^a-z0-9]+', ' ', 'g')) = plain),
