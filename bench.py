@@ -89,7 +89,7 @@ def _stream(spark: SparkSession) -> dict:
     work = session.scratch(spark, "bench")
     topics.write_topic(stand_ins.merged_records(spark, SF_DIR).repartition(FILES), f"{work}/topic")
     records = topics.stream_topic(spark, f"{work}/topic", maxFilesPerTrigger="1")
-    query = jobs.start_feed_job(records, feeds.ALL_FEEDS, f"{work}/ledger", f"{work}/checkpoint", interval=None)
+    query = jobs.start_feed_job(records, feeds.ALL_FEEDS, f"{work}/ledger", f"{work}/checkpoint", f"{work}/dead", interval=None)
     took = _seconds(query.awaitTermination)
     batches = [p for p in query.recentProgress if p["numInputRows"]]
     rows = sum(p["numInputRows"] for p in batches)

@@ -43,6 +43,8 @@ def _arguments(argv) -> argparse.Namespace:
         command.add_argument("--starting", default=topics.EARLIEST, choices=["earliest", "latest", "largest", "smallest"])
         command.add_argument("--checkpoint", required=True)
         command.add_argument("--once", action="store_true", help="work off what is there and stop")
+        command.add_argument("--max-offsets", type=int, default=1_000_000, help="records of a batch, from Kafka")
+        command.add_argument("--max-files", type=int, default=1000, help="files of a batch, from files")
         return command
 
     names = [feed.name for feed in feeds.ALL_FEEDS]
@@ -50,8 +52,9 @@ def _arguments(argv) -> argparse.Namespace:
         command = streaming(name)
         command.add_argument("--feeds", nargs="+", choices=names, default=names)
         command.add_argument("--out", required=True, help="folder of the ledger or totals")
+        command.add_argument("--dead-letters", required=True, help="folder of records that could not be used")
         if name == "feed":
-            command.add_argument("--dead-letters", help="folder of records that could not be used")
+            command.add_argument("--fold-every", type=int, default=jobs.FOLD_EVERY, help="batches between folds")
     command = streaming("preview")
     command.add_argument("--topics", nargs="+", required=True)
 
@@ -77,15 +80,20 @@ def _arguments(argv) -> argparse.Namespace:
     command.add_argument("--prefix", default=feeds.TOPIC_PREFIX)
     command.add_argument("--topic-path", required=True)
     command.add_argument("--marks", required=True, help="folder of the marks reached")
-    command.add_argument("--partitions", type=int, default=1)
+    command.add_argument("--partitions", type=int, help="tasks of a poll; by its range of keys if not given")
     command.add_argument("--once", action="store_true")
     return parser.parse_args(argv)
 
 
 def _records(spark: SparkSession, args: argparse.Namespace, wanted: list[str]) -> DataFrame:
     if args.servers:
-        return topics.kafka_stream(spark, args.servers, wanted, args.starting)
-    return topics.stream_topic(spark, args.topic_path, wanted, args.starting, f"{args.checkpoint}-start")
+        return topics.kafka_stream(spark, args.servers, wanted, args.starting, args.max_offsets)
+    return topics.stream_topic(spark, args.topic_path, wanted, maxFilesPerTrigger=str(args.max_files))
+
+
+def _skips(args: argparse.Namespace) -> bool:
+    """Must the job skip what is there? Kafka does that itself."""
+    return not args.servers and topics.start_option(args.starting) == topics.LATEST
 
 
 def run(spark: SparkSession, argv=None) -> None:
@@ -96,15 +104,24 @@ def run(spark: SparkSession, argv=None) -> None:
         records = _records(spark, args, [feed.topic for feed in chosen])
         interval = None if args.once else jobs.FEED_INTERVAL
         if args.job == "feed":
-            query = jobs.start_feed_job(records, chosen, args.out, args.checkpoint, args.dead_letters, interval)
+            started = [
+                jobs.start_feed_job(
+                    records, chosen, args.out, args.checkpoint, args.dead_letters, interval, args.fold_every, _skips(args)
+                )
+            ]
+        elif _skips(args):
+            raise ValueError("the state job starts at earliest with a file-backed topic")
         else:
-            query = state.start_state_job(state.running_totals(records, chosen), args.out, args.checkpoint, interval)
-        query.awaitTermination()
+            started = state.start_state_jobs(records, chosen, args.out, args.checkpoint, args.dead_letters, interval)
+        for query in started:
+            query.awaitTermination()
     elif args.job == "preview":
         document = variants.parse_json(envelope.value_text())
         payload = F.try_variant_get(document, "$.payload", "string").alias("payload")
         interval = None if args.once else jobs.PREVIEW_INTERVAL
         shown = _records(spark, args, args.topics).select("topic", payload)
+        if _skips(args):
+            jobs.skip_present(shown, args.checkpoint)
         preview.console(shown, args.checkpoint, **jobs.trigger(interval)).awaitTermination()
     elif args.job == "fold":
         ledger.fold(spark, args.ledger)

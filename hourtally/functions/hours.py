@@ -7,10 +7,9 @@ from pyspark.sql import functions as F
 
 HOUR_FORMAT = "yyyy-MM-dd HH:00:00"
 
-# Event times a summary can hold: from the start of the Gregorian calendar to the
-# last day of year 9999.
-EARLIEST_MS = -12_219_292_800_000
-LATEST_MS = 253_402_214_400_000
+# Event times a timestamp can hold, about 292,000 years either way.
+LATEST_MS = 9_223_372_036_854_000
+EARLIEST_MS = -LATEST_MS
 
 
 def in_range(ms: Column) -> Column:
@@ -39,11 +38,19 @@ def hour_number(time: Column) -> Column:
     clocks go back has one label and one number. Grouping on this integer and
     labelling the few result rows is cheaper than formatting every record.
     """
-    return (F.unix_date(time.cast("date")) * 24 + F.hour(time)).cast("int")
+    return F.unix_date(time.cast("date")).cast("bigint") * 24 + F.hour(time)
 
 
 def hour_label(number: Column) -> Column:
-    """The label of an hour number: ``hour_label(hour_number(t)) = hour_bucket(t)``."""
+    """The label of an hour number: ``hour_label(hour_number(t)) = hour_bucket(t)`` for the
+    years 1 to 9999. Other years are written with a sign, and at least four digits.
+    """
     day = F.date_from_unix_date(F.floor(number / 24).cast("int"))
-    hour = F.lpad(F.pmod(number, F.lit(24)).cast("string"), 2, "0")
-    return F.concat(F.date_format(day, "yyyy-MM-dd"), F.lit(" "), hour, F.lit(":00:00"))
+    month, date, hour = (
+        F.lpad(n.cast("string"), 2, "0") for n in (F.month(day), F.dayofmonth(day), F.pmod(number, F.lit(24)))
+    )
+    year = F.year(day)
+    sign = F.when(year < 1, "-").when(year > 9999, "+").otherwise("")
+    digits = F.abs(year).cast("string")
+    shown = F.concat(sign, F.lpad(digits, F.greatest(F.length(digits), F.lit(4)), F.lit("0")))
+    return F.concat(shown, F.lit("-"), month, F.lit("-"), date, F.lit(" "), hour, F.lit(":00:00"))

@@ -14,7 +14,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Beyond every valid event time, within the range of a long.
+# Within the range of a long, and beyond every event time a timestamp can hold: a larger
+# number becomes this one, which is refused as a time like the number itself.
 _LONG_EDGE = 9.2e18
 
 

@@ -22,7 +22,6 @@ NOT_READABLE = "payload not readable"
 NO_TIME = "event time missing"
 TIME_RANGE = "event time out of range"
 NO_FIELD = "field missing"
-AMOUNT_RANGE = "amount out of range"
 
 
 def _parts(feed: Feed, document: Column) -> dict[str, Column]:
@@ -99,7 +98,6 @@ def read_feeds(records: DataFrame, feeds: Sequence[Feed]) -> DataFrame:
         .when(~hours.in_range(part.ms), TIME_RANGE)
         .when(needs_amount & part.amount.isNull(), NO_FIELD)
         .when(needs_category & part.category.isNull(), NO_FIELD)
-        .when(needs_amount & ~(F.abs(part.amount) < schemas.AMOUNT_LIMIT), AMOUNT_RANGE)
     )
     wanted = envelope.only_topics(records, [f.topic for f in feeds])
     return _parse(wanted, feeds).select("topic", "value", "part.*", problem.alias("problem"))
@@ -115,7 +113,9 @@ def contributions(readings: DataFrame, feeds: Sequence[Feed], *keep: str) -> Dat
     for feed in feeds:
         mine = usable & (F.col("topic") == feed.topic)
         if feed.amount_field:
-            _add(by_measure, feed.adds_to, mine, F.col("amount").cast(schemas.AMOUNT))
+            exact, rest = split_amount(F.col("amount"))
+            _add(by_measure, feed.adds_to, mine, exact)
+            _add(by_measure, schemas.SALES_REST, mine, rest)
             continue
         counted = mine
         if feed.match_field:
@@ -127,10 +127,19 @@ def contributions(readings: DataFrame, feeds: Sequence[Feed], *keep: str) -> Dat
     return readings.select(
         *keep,
         F.when(usable, hours.hour_number(hours.event_time(F.col("ms")))).alias("hour"),
-        *(by_measure[name].alias(name) for name in schemas.MEASURES if name in by_measure),
+        *(by_measure[name].alias(name) for name in schemas.ADDED if name in by_measure),
     )
 
 
+def split_amount(amount: Column) -> tuple[Column, Column]:
+    """An amount as a decimal and, as a double, what the decimal cannot hold of it."""
+    fits = F.abs(amount) < schemas.DECIMAL_LIMIT
+    exact = F.when(fits, amount).otherwise(F.lit(0.0)).cast(schemas.AMOUNT)
+    left = amount - exact.cast("double")
+    counts = F.abs(left) > F.abs(amount) * schemas.LEAST_SHARE_LEFT
+    return exact, F.when(~fits, amount).when(counts, left).otherwise(F.lit(0.0))
+
+
 def _add(by_measure: dict[str, Column], name: str, condition: Column, value: Column) -> None:
     # Topics are disjoint, so feeds that share a measure extend one CASE.
     known = by_measure.get(name)

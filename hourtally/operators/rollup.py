@@ -8,20 +8,21 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from hourtally import schemas
 from hourtally.functions import hours
+from hourtally.operators import readings
 
 
 def _measures(frame: DataFrame) -> list[str]:
-    return [name for name in schemas.MEASURES if name in frame.columns]
+    return [name for name in schemas.ADDED if name in frame.columns]
 
 
 def _sums(frame: DataFrame) -> list[Column]:
     sums = []
     for name in _measures(frame):
-        kind = schemas.AMOUNT_TOTAL if name == "sales" else "bigint"
-        sums.append(F.coalesce(F.sum(name), F.lit(0)).cast(kind).alias(name))
+        sums.append(F.coalesce(F.sum(name), F.lit(0)).cast(schemas.KINDS[name]).alias(name))
     return sums
 
 
@@ -41,10 +42,13 @@ def hourly(contributed: DataFrame, *keys: str) -> DataFrame:
 
 
 def shown(totals: DataFrame) -> DataFrame:
-    """Totals as they are reported: money as double."""
+    """Totals as they are reported: money as one double."""
     if "sales" not in totals.columns:
         return totals
-    return totals.withColumn("sales", F.col("sales").cast("double"))
+    sales = F.col("sales").cast("double")
+    if schemas.SALES_REST in totals.columns:
+        sales = sales + F.col(schemas.SALES_REST)
+    return totals.withColumn("sales", sales).drop(schemas.SALES_REST)
 
 
 def grand_total(contributed: DataFrame) -> DataFrame:
@@ -61,14 +65,12 @@ def stack(*frames: DataFrame) -> DataFrame:
     """Frames with different measures on top of each other; absent measures are 0."""
     stacked = None
     for frame in frames:
+        values = {n: F.col(n) for n in frame.columns}
+        if "sales" in values and frame.schema["sales"].dataType == T.DoubleType():
+            exact, rest = readings.split_amount(F.col("sales"))
+            values |= {"sales": exact, schemas.SALES_REST: rest + values.get(schemas.SALES_REST, F.lit(0.0))}
         full = frame.select(
-            "report_date",
-            *(
-                (F.col(n) if n in frame.columns else F.lit(0))
-                .cast(schemas.AMOUNT_TOTAL if n == "sales" else "bigint")
-                .alias(n)
-                for n in schemas.MEASURES
-            ),
+            "report_date", *(values.get(n, F.lit(0)).cast(schemas.KINDS[n]).alias(n) for n in schemas.ADDED)
         )
         stacked = full if stacked is None else stacked.unionByName(full)
     return stacked

@@ -110,6 +110,28 @@ ORACLES = {
     "stream_topics": f"""
   SELECT t.*, (SELECT count(*) FROM events WHERE event_type = 'error') AS dead_letters FROM ({_TOTALS}) t""",
     "stream_running_state": _US_SALES,
+    "stream_from_latest": f"""
+  SELECT strftime(ts, {_LABEL}) AS hour, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS sales
+  FROM events WHERE event_type = 'purchase' AND event_id > (SELECT max(event_id) // 2 FROM events) GROUP BY 1""",
+    "table_to_summary": f"""
+  SELECT strftime(o_orderdate, {_LABEL}) AS hour,
+         CAST(sum(CAST(o_totalprice * 1.5::DOUBLE AS DECIMAL(18,3))) AS DOUBLE) AS sales
+  FROM orders GROUP BY 1""",
+    "wide_amounts": """
+  SELECT CAST(year(ts + to_days(365 * CASE event_type WHEN 'click' THEN -500 WHEN 'signup' THEN 9000 ELSE 0 END)) AS INTEGER) AS year,
+         CAST(sum(CASE WHEN event_type IN ('purchase', 'view') THEN 0 ELSE CAST(value AS DECIMAL(18,2)) END) AS DOUBLE) AS sales,
+         printf('%.9e', sum(CASE event_type WHEN 'purchase' THEN value * 1e20::DOUBLE WHEN 'view' THEN value * 1e-10::DOUBLE
+                            ELSE 0::DOUBLE END)) AS rest
+  FROM events GROUP BY 1""",
+    "literal_append": """
+  SELECT s_name AS name, s_acctbal AS value FROM supplier
+  UNION ALL VALUES ('Mens Pants', 45.99::DOUBLE), ('Womens Tops', 29.99::DOUBLE)""",
+    "current_hour_check": "SELECT n_nationkey, true AS is_current FROM nation",
+    "first_row": "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_orderkey LIMIT 1",
+    "empty_delta": f"SELECT 1::BIGINT AS batch_id, count(DISTINCT hour) AS hours FROM ({_US_SALES}) s",
+    "null_count": """
+  SELECT count(*) FILTER (WHERE event_id IS NULL) AS event_id, count(*) FILTER (WHERE event_type <> 'purchase') AS value
+  FROM events""",
     "upsert_summary": _SUMMARY,
     "upsert_by_hour": _SUMMARY,
     "batch_delta": f"""

@@ -16,13 +16,19 @@ from hourtally.operators import envelope, feeds, readings, rollup, summary
 from hourtally.plans import embedded, report, stand_ins
 from hourtally.sinks import database as database_sink
 from hourtally.sinks import ledger, preview
-from hourtally.sources import lines, tables, topics
+from hourtally.sources import lines, literals, polling, tables, topics
 from hourtally.streaming import jobs, state
 
 # Syllables that occur in the documents, for a keyword list other than
 # the default one.
 OTHER_WORDS = ("heon", "blees")
 
+# A year of 365 days; by such steps the times of wide_amounts are shifted.
+YEAR_MS = 31_536_000_000
+
+# Files, so micro-batches, of a registered stream.
+FILES = 5
+
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return stand_ins.table(spark, sf_dir, name)
@@ -216,7 +222,11 @@ def hour_value_map(spark, sf_dir):
     added = readings.contributions(read, selling)
     entries = added.select(rollup.hour_entry(F.col("hour"), F.col("sales")).alias("entry"))
     summed = rollup.add_entries(entries, "entry")
-    labelled = summed.select(hours.hour_label(F.col("hour")).alias("report_date"), F.col("value").alias("sales"))
+    rests = added.select(rollup.hour_entry(F.col("hour"), F.col(schemas.SALES_REST)).alias("entry"))
+    left = rollup.add_entries(rests, "entry").withColumnRenamed("value", schemas.SALES_REST)
+    both = summed.join(left, "hour")
+    label = hours.hour_label(F.col("hour")).alias("report_date")
+    labelled = both.select(label, F.col("value").alias("sales"), schemas.SALES_REST)
     maps = rollup.hour_value_maps(rollup.shown(labelled), "sales")
     return maps.select(F.explode("hour_values").alias("hour", "sales"))
 
@@ -301,17 +311,53 @@ def null_check(spark, sf_dir):
     return summary.null_counts(exec_summary_hourly(spark, sf_dir), ["report_date", *schemas.MEASURES])
 
 
-# -- streams ---------------------------------------------------------------------------
+def literal_append(spark, sf_dir):
+    """Rows of a given table, the literal rows put in after them, and read back."""
+    place = session.scratch(spark, "seeded")
+    rows = _table(spark, sf_dir, "supplier").select(F.col("s_name").alias("name"), F.col("s_acctbal").alias("value"))
+    rows.write.parquet(place)
+    seed = literals.garment_seed(spark).select(F.col("GARMENT_NAME").alias("name"), F.col("ORDER_VALUE").alias("value"))
+    seed.write.mode("append").parquet(place)
+    return spark.read.schema(rows.schema).parquet(place)
 
 
-def _stream_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A given table as a stream of its files.
+def current_hour_check(spark, sf_dir):
+    """The label of the current hour, set on every row, lies within an hour of now."""
+    rows = summary.constant_column(_table(spark, sf_dir, "nation"), "report_date", summary.current_hour())
+    passed = F.unix_timestamp(F.current_timestamp()) - F.unix_timestamp(F.to_timestamp("report_date"))
+    return rows.select("n_nationkey", ((passed >= 0) & (passed < 3600)).alias("is_current"))
+
+
+def first_row(spark, sf_dir):
+    return preview.first_row(_table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice"), "o_orderkey")
+
+
+def empty_delta(spark, sf_dir):
+    """By kind of event: do such events, taken as a batch of sales, add anything?"""
+    work = session.scratch(spark, "empty")
+    events = _events(spark, sf_dir)
+    batches = {0: events.where(F.lit(False)), 1: events}
+    for number, batch in batches.items():
+        deltas = report.hourly_deltas(stand_ins.garment_records(batch), [feeds.GARMENT_SALES])
+        ledger.record(deltas, f"{work}/ledger", number)
+    kept = spark.read.parquet(f"{work}/ledger/deltas")
+    return kept.groupBy(F.col("batch_id").cast("bigint").alias("batch_id")).agg(F.countDistinct("report_date").alias("hours"))
 
-    The table may be one file or a folder. A streaming source wants a folder or a
-    pattern, so the name is given as a pattern with one alternative.
-    """
-    schema = spark.read.parquet(f"{sf_dir}/{name}.parquet").schema
-    return spark.readStream.schema(schema).parquet(f"{sf_dir}/{{{name}}}.parquet")
+
+def null_count(spark, sf_dir):
+    """NULLs are counted where there are some: values of events that are no purchases are made NULL."""
+    bought = F.col("event_type") == "purchase"
+    rows = _events(spark, sf_dir).select("event_id", F.when(bought, F.col("value")).alias("value"))
+    return summary.null_counts(rows, ["event_id", "value"])
+
+
+# -- streams ---------------------------------------------------------------------------
+
+
+def _stream(spark: SparkSession, rows: DataFrame, path: str) -> DataFrame:
+    """Rows published as files, streamed one file per micro-batch."""
+    rows.repartition(FILES).write.parquet(path)
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", "1").parquet(path)
 
 
 def text_stream(spark, sf_dir):
@@ -330,12 +376,17 @@ def text_stream(spark, sf_dir):
 
 
 def stream_hourly_sales(spark, sf_dir):
-    """Sales streamed into a ledger."""
+    """Sales streamed into a ledger, with a stop half-way: the job is started again for the
+    files that came meanwhile."""
     work = session.scratch(spark, "sales")
-    records = stand_ins.garment_records(_stream_table(spark, sf_dir, "events"))
-    selling = [feeds.GARMENT_SALES]
-    query = jobs.start_feed_job(records, selling, f"{work}/ledger", f"{work}/checkpoint", interval=None)
-    query.awaitTermination()
+    events = _events(spark, sf_dir)
+    late = F.col("event_id") % 2 == 0
+    published = stand_ins.garment_records(events.where(~late))
+    records = _stream(spark, published, f"{work}/topic")
+    place = (f"{work}/ledger", f"{work}/checkpoint", f"{work}/dead")
+    jobs.start_feed_job(records, [feeds.GARMENT_SALES], *place, interval=None).awaitTermination()
+    topics.write_topic(stand_ins.garment_records(events.where(late)).repartition(FILES), f"{work}/topic")
+    jobs.start_feed_job(records, [feeds.GARMENT_SALES], *place, interval=None).awaitTermination()
     totals = rollup.shown(ledger.totals(spark, f"{work}/ledger"))
     return totals.select(F.col("report_date").alias("hour"), "sales")
 
@@ -343,8 +394,9 @@ def stream_hourly_sales(spark, sf_dir):
 def stream_topics(spark, sf_dir):
     """All feeds published to one file-backed topic, streamed in one job, dead letters aside."""
     work = session.scratch(spark, "topics")
-    topics.write_topic(stand_ins.merged_records(spark, sf_dir), f"{work}/topic")
-    records = topics.stream_topic(spark, f"{work}/topic", [f.topic for f in feeds.ALL_FEEDS])
+    topics.write_topic(stand_ins.merged_records(spark, sf_dir).repartition(FILES), f"{work}/topic")
+    names = [f.topic for f in feeds.ALL_FEEDS]
+    records = topics.stream_topic(spark, f"{work}/topic", names, maxFilesPerTrigger="1")
     query = jobs.start_feed_job(
         records, feeds.ALL_FEEDS, f"{work}/ledger", f"{work}/checkpoint", f"{work}/dead", interval=None
     )
@@ -358,13 +410,79 @@ def stream_topics(spark, sf_dir):
 def stream_running_state(spark, sf_dir):
     """Sales streamed into Spark's state store; the last total of every hour."""
     work = session.scratch(spark, "state")
-    records = stand_ins.garment_records(_stream_table(spark, sf_dir, "events"))
-    running = state.running_totals(records, [feeds.GARMENT_SALES])
-    state.start_state_job(running, f"{work}/totals", f"{work}/checkpoint", interval=None).awaitTermination()
+    records = _stream(spark, stand_ins.garment_records(_events(spark, sf_dir)), f"{work}/topic")
+    place = (f"{work}/totals", f"{work}/checkpoint", f"{work}/dead")
+    for query in state.start_state_jobs(records, [feeds.GARMENT_SALES], *place, interval=None):
+        query.awaitTermination()
     totals = rollup.shown(state.latest_totals(spark, f"{work}/totals"))
     return totals.select(F.col("report_date").alias("hour"), "sales")
 
 
+def stream_from_latest(spark, sf_dir):
+    """Sales of the later half of the events: the earlier half was there at the first start.
+
+    One file of the later half carries time stamps from before the start.
+    """
+    work = session.scratch(spark, "latest")
+    events = _events(spark, sf_dir)
+    sales = stand_ins.garment_records(events)
+    number = F.get_json_object(F.col("value").cast("string"), "$.payload.ID").cast("bigint")
+    middle = tables.poll(events, "event_id").mark // 2
+    topics.write_topic(sales.where(number <= middle), f"{work}/topic")
+    records = topics.stream_topic(spark, f"{work}/topic", maxFilesPerTrigger="1")
+    place = (f"{work}/ledger", f"{work}/checkpoint", f"{work}/dead")
+    selling = [feeds.GARMENT_SALES]
+    jobs.start_feed_job(records, selling, *place, interval=None, from_latest=True).awaitTermination()
+    later = sales.where(number > middle)
+    topics.write_topic(later.where(number % 2 == 0), f"{work}/topic")
+    early = later.where(number % 2 == 1).withColumn("timestamp", F.lit("2000-01-01").cast("timestamp"))
+    topics.write_topic(early, f"{work}/topic")
+    jobs.start_feed_job(records, selling, *place, interval=None, from_latest=True).awaitTermination()
+    totals = rollup.shown(ledger.totals(spark, f"{work}/ledger"))
+    return totals.select(F.col("report_date").alias("hour"), "sales")
+
+
+def table_to_summary(spark, sf_dir):
+    """From a growing table to hourly sales: two polls, the first done again as after a crash
+    before its mark was moved, a topic, the feed job, and the totals."""
+    work = session.scratch(spark, "chain")
+    date = hours.epoch_ms(F.col("o_orderdate")).alias("SALES_DATE")
+    amount = F.col("o_totalprice").alias("ORDER_AMOUNT")
+    orders = _table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("ID"), date, amount)
+    middle = tables.poll(orders, "ID").mark // 2
+    published = ("ID", "book_sales", feeds.TOPIC_PREFIX, f"{work}/topic")
+    grown = orders.where(F.col("ID") <= middle)
+    polling.publish_poll(spark, tables.poll(grown, "ID"), *published, f"{work}/marks")
+    session.delete(spark, f"{work}/marks/done")
+    for table in (grown, orders):
+        mark = polling.last_mark(spark, f"{work}/marks")
+        polling.publish_poll(spark, tables.poll(table, "ID", mark), *published, f"{work}/marks")
+    records = topics.stream_topic(spark, f"{work}/topic", maxFilesPerTrigger="1")
+    place = (f"{work}/ledger", f"{work}/checkpoint", f"{work}/dead")
+    jobs.start_feed_job(records, [feeds.BOOK_SALES], *place, interval=None).awaitTermination()
+    totals = rollup.shown(ledger.totals(spark, f"{work}/ledger"))
+    return totals.select(F.col("report_date").alias("hour"), "sales")
+
+
+def wide_amounts(spark, sf_dir):
+    """All events as sales, with amounts far larger and smaller, and times far earlier and
+    later, than usual, by kind of event."""
+    kind = F.col("event_type")
+    scale = F.when(kind == "purchase", 1e20).when(kind == "view", 1e-10).otherwise(1.0)
+    years = F.when(kind == "click", -500).when(kind == "signup", 9000).otherwise(0)
+    events = _events(spark, sf_dir)
+    shift = years.cast("bigint") * F.lit(YEAR_MS)
+    payload = F.struct(
+        (hours.epoch_ms(F.col("ts")) + shift).alias("SALES_DATE"), (F.col("value") * scale).alias("ORDER_VALUE")
+    )
+    records = envelope.to_records(events, feeds.GARMENT_SALES.topic, F.col("event_id"), envelope.envelope(payload))
+    deltas = report.hourly_deltas(records, [feeds.GARMENT_SALES])
+    year = F.split("report_date", "(?<=.)-")[0].cast("int").alias("year")
+    by_year = deltas.groupBy(year).agg(F.sum("sales").alias("sales"), F.sum(schemas.SALES_REST).alias("rest"))
+    # Sums of doubles depend on their order in the last digits, so ten digits are compared.
+    return by_year.select("year", F.col("sales").cast("double").alias("sales"), F.format_string("%.9e", "rest").alias("rest"))
+
+
 def upsert_summary(spark, sf_dir):
     """One batch entered twice, as after a failure, and read once."""
     work = session.scratch(spark, "upsert")
@@ -385,7 +503,7 @@ def upsert_by_hour(spark, sf_dir):
 def batch_delta(spark, sf_dir):
     """Per micro-batch deltas by kind of event, entered batch by batch and added up."""
     work = session.scratch(spark, "delta")
-    events = _stream_table(spark, sf_dir, "events")
+    events = _stream(spark, _events(spark, sf_dir).select("event_type", "ts", "value"), f"{work}/topic")
     hour = hours.hour_number(hours.event_time(hours.epoch_ms(F.col("ts"))))
     sales = F.col("value").cast(schemas.AMOUNT)
     values = events.select(F.col("event_type").alias("part"), hour.alias("hour"), sales.alias("sales"))
@@ -436,6 +554,14 @@ QUERIES = {
     "stream_hourly_sales": stream_hourly_sales,
     "stream_topics": stream_topics,
     "stream_running_state": stream_running_state,
+    "stream_from_latest": stream_from_latest,
+    "table_to_summary": table_to_summary,
+    "wide_amounts": wide_amounts,
+    "literal_append": literal_append,
+    "current_hour_check": current_hour_check,
+    "first_row": first_row,
+    "empty_delta": empty_delta,
+    "null_count": null_count,
     "upsert_summary": upsert_summary,
     "upsert_by_hour": upsert_by_hour,
     "batch_delta": batch_delta,

@@ -30,6 +30,11 @@ def hourly_report(records: DataFrame, feeds: Sequence[Feed] = feed_specs.ALL_FEE
     return rollup.shown(hourly_deltas(records, feeds))
 
 
+def unreadable(records: DataFrame, feeds: Sequence[Feed] = feed_specs.ALL_FEEDS) -> DataFrame:
+    """What the reports above leave out, with raw values and reasons: read it next to them."""
+    return readings.dead_letters(readings.read_feeds(records, feeds))
+
+
 def overall(records: DataFrame, feeds: Sequence[Feed] = feed_specs.ALL_FEEDS) -> DataFrame:
     """Records of any of the feeds to one row of totals."""
     read = readings.read_feeds(records, feeds)
@@ -38,6 +43,6 @@ def overall(records: DataFrame, feeds: Sequence[Feed] = feed_specs.ALL_FEEDS) ->
 
 def overwrite_sales(spark: SparkSession, database: Database, table: str, records: DataFrame) -> None:
     """Set the sales of every row of a summary table to the total of the sales records."""
-    total = overall(records, [feed_specs.GARMENT_SALES]).select(F.col("sales").cast("double")).first()
+    total = overall(records, [feed_specs.GARMENT_SALES]).transform(rollup.shown).first()
     loaded = tables.read_table(spark, database, table)
     database_sink.overwrite(summary.constant_column(loaded, "SALES", total.sales), database, table, keep_definition=True)

@@ -52,19 +52,26 @@ EXEC_SUMMARY = T.StructType(
 )
 
 # Money is added up as decimals, so that totals do not depend on the order of
-# addition, and shown as doubles.
+# addition, and shown as doubles. What decimals cannot hold, an amount from DECIMAL_LIMIT on,
+# one that is not finite, or what is left of one with more decimals, is added up as a double
+# beside them.
 AMOUNT = T.DecimalType(24, 6)
-AMOUNT_LIMIT = 1e18
+DECIMAL_LIMIT = 1e18
 AMOUNT_TOTAL = T.DecimalType(38, 6)
+# What is left counts if it is more than the last digits of a double.
+LEAST_SHARE_LEFT = 1e-12
 
 COUNTERS = ("web_hits", "tweets", "tweets_positive")
 MEASURES = ("sales", *COUNTERS)
+# Measures as they are added up: sales in two parts.
+SALES_REST = "sales_rest"
+ADDED = ("sales", SALES_REST, *COUNTERS)
+KINDS = {"sales": AMOUNT_TOTAL, SALES_REST: T.DoubleType(), **dict.fromkeys(COUNTERS, T.LongType())}
 
 # What one micro-batch adds to the summary.
 DELTA = T.StructType(
     [
         T.StructField("report_date", T.StringType()),
-        T.StructField("sales", AMOUNT_TOTAL),
-        *(T.StructField(name, T.LongType()) for name in COUNTERS),
+        *(T.StructField(name, KINDS[name]) for name in ADDED),
     ]
 )

@@ -55,16 +55,40 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/hourtally/{name}-{uuid.uuid4().hex}"
 
 
-def read_if_there(spark: SparkSession, schema, path: str) -> DataFrame | None:
+def read_if_there(spark: SparkSession, schema, path: str, kind: str = "parquet") -> DataFrame | None:
     """A written table, or None when nothing was ever written to the path."""
     try:
-        return spark.read.schema(schema).parquet(path)
+        return spark.read.schema(schema).format(kind).load(path)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return None
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a folder, if it is there."""
+    folder, files = _folder(spark, path)
+    files.delete(folder, True)
+
+
+def rename(spark: SparkSession, source: str, target: str) -> None:
+    """Make a finished folder visible under its name, at once."""
+    folder, files = _folder(spark, source)
+    if not files.rename(folder, _folder(spark, target)[0]):
+        raise RuntimeError(f"{source} could not become {target}")
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    folder, files = _folder(spark, path)
+    return files.exists(folder)
+
+
+def _folder(spark: SparkSession, path: str):
+    context = spark.sparkContext
+    folder = context._jvm.org.apache.hadoop.fs.Path(path)
+    return folder, folder.getFileSystem(context._jsc.hadoopConfiguration())
+
+
 def cut_lineage(frame: DataFrame) -> DataFrame:
     """Materialise a frame in the shared folder (survives lost executors)."""
     folder = shared_folder(frame.sparkSession)

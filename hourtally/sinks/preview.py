@@ -19,6 +19,11 @@ def head(frame: DataFrame):
     return frame.head()
 
 
+def first_row(frame: DataFrame, order_by: str) -> DataFrame:
+    """The first row by a column, as a frame."""
+    return preview(frame, order_by, rows=1)
+
+
 def console(stream: DataFrame, checkpoint: str, rows: int = PREVIEW_ROWS, **trigger) -> StreamingQuery:
     """Print the first rows of every micro-batch."""
     return (

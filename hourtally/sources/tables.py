@@ -12,6 +12,11 @@ from pyspark.sql import functions as F
 from hourtally.operators import envelope
 
 
+# Keys of a range that one task of a poll reads, and rows a database hands over at a time.
+KEYS_PER_TASK = 1_000_000
+FETCH_ROWS = "10000"
+
+
 @dataclass(frozen=True)
 class Database:
     """Where a JDBC database is. User and password go into ``properties``.
@@ -26,7 +31,7 @@ class Database:
     quote: str = ""
 
     def options(self) -> dict[str, str]:
-        return {"url": self.url, "driver": self.driver, **(self.properties or {})}
+        return {"url": self.url, "driver": self.driver, "fetchsize": FETCH_ROWS, **(self.properties or {})}
 
 
 def read_table(spark: SparkSession, database: Database, table: str) -> DataFrame:
@@ -90,13 +95,15 @@ def poll_table(
     table: str,
     key: str,
     mark: int | None = None,
-    partitions: int = 1,
+    partitions: int | None = None,
 ) -> Poll:
     """``poll`` of a JDBC table. The database finds the bounds; the read is parallel."""
     found = key_range(spark, database, table, key)
     if found is None or (mark is not None and found[1] <= mark):
         return Poll(read_table(spark, database, table).where(F.lit(False)), mark)
     low = found[0] if mark is None else mark + 1
+    if partitions is None:
+        partitions = max(1, -(-(found[1] - low + 1) // KEYS_PER_TASK))
     options = {
         "partitionColumn": key,
         "lowerBound": str(low),

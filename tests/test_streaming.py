@@ -5,6 +5,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
+from hourtally import session
 from hourtally.operators import feeds, rollup
 from hourtally.plans import report
 from hourtally.sinks import ledger, preview
@@ -78,7 +79,7 @@ def test_batch_run_again_after_a_crash_counts_once(spark, scratch):
     crashed = []
 
     def crash_once(batch, batch_id):
-        jobs.enter_batch(batch, batch_id, f"{scratch}/ledger")
+        jobs.enter_batch(batch, batch_id, f"{scratch}/ledger", f"{scratch}/dead")
         if batch_id == 1 and not crashed:
             crashed.append(batch_id)
             raise RuntimeError("lost after the entry was made")
@@ -95,9 +96,9 @@ def test_batch_run_again_after_a_crash_counts_once(spark, scratch):
 
 def test_batch_that_adds_nothing_makes_no_entry(spark, scratch):
     clicks = helpers.records(spark, [helpers.click(MS, "browseProduct")], feeds.WEB_CLICKS.topic)
-    jobs.enter_batch(jobs.contributed(clicks, [feeds.WEB_CLICKS]), 0, f"{scratch}/ledger")
+    jobs.enter_batch(jobs.contributed(clicks, [feeds.WEB_CLICKS]), 0, f"{scratch}/ledger", f"{scratch}/dead")
     hits = helpers.records(spark, [helpers.click(MS, "firstPage")], feeds.WEB_CLICKS.topic)
-    jobs.enter_batch(jobs.contributed(hits, [feeds.WEB_CLICKS]), 1, f"{scratch}/ledger")
+    jobs.enter_batch(jobs.contributed(hits, [feeds.WEB_CLICKS]), 1, f"{scratch}/ledger", f"{scratch}/dead")
     assert _batches(spark, scratch) == [1]
 
 
@@ -193,12 +194,60 @@ def test_running_state(spark, scratch):
 
 def test_start_at_latest_skips_only_what_was_there(spark, scratch):
     _publish(_sales(spark, (MS, 1.0)), f"{scratch}/topic")
-    start = {"starting": "largest", "marker": f"{scratch}/start"}
-    _run(spark, scratch, **start)
+    stale = _sales(spark, (MS, 2.0)).withColumn("timestamp", F.lit("2001-01-01").cast("timestamp"))
+
+    def run():
+        records = topics.stream_topic(spark, f"{scratch}/topic")
+        place = (f"{scratch}/ledger", f"{scratch}/checkpoint", f"{scratch}/dead")
+        jobs.start_feed_job(records, SELLING, *place, interval=None, from_latest=True).awaitTermination()
+
+    run()
     assert _totals(spark, scratch) == {}
-    _publish(_sales(spark, (MS, 2.0)), f"{scratch}/topic")
-    _run(spark, scratch, **start)
+    _publish(stale, f"{scratch}/topic")  # stamped before the start, there after it
+    run()
     assert _totals(spark, scratch) == {H16: 2.0}
+    _publish(_sales(spark, (MS, 4.0)), f"{scratch}/topic")
+    run()
+    assert _totals(spark, scratch) == {H16: 6.0}
+
+
+def test_batch_run_again_without_rows_replaces_its_entry(spark, scratch):
+    place = (0, f"{scratch}/ledger", f"{scratch}/dead")
+    broken = helpers.records(spark, ["{"], feeds.GARMENT_SALES.topic)
+    jobs.enter_batch(jobs.contributed(_sales(spark, (MS, 1.0)).unionByName(broken), SELLING), *place)
+    assert _totals(spark, scratch) == {H16: 1.0} and spark.read.parquet(f"{scratch}/dead").count() == 1
+    jobs.enter_batch(jobs.contributed(_sales(spark, (MS, 2.0)), SELLING), *place)
+    assert _totals(spark, scratch) == {H16: 2.0} and not session.exists(spark, f"{scratch}/dead/batch_id=0")
+    jobs.enter_batch(jobs.contributed(broken, SELLING), *place)
+    assert _totals(spark, scratch) == {} and spark.read.parquet(f"{scratch}/dead").count() == 1
+
+
+def test_a_ledger_belongs_to_one_job(spark, scratch):
+    _publish(_sales(spark, (MS, 1.0)), f"{scratch}/topic")
+    _run(spark, scratch)
+    records = topics.stream_topic(spark, f"{scratch}/topic")
+    with pytest.raises(ledger.LedgerTaken):
+        jobs.start_feed_job(records, SELLING, f"{scratch}/ledger", f"{scratch}/other", f"{scratch}/dead", interval=None)
+    jobs.start_feed_job(
+        records, SELLING, f"{scratch}/second", f"{scratch}/other", f"{scratch}/dead-2", interval=None
+    ).awaitTermination()
+    both = ledger.totals(spark, [f"{scratch}/ledger", f"{scratch}/second"])
+    assert float(both.first().sales) == 2.0
+    with pytest.raises(ledger.LedgerTaken):
+        ledger.claim(spark, f"{scratch}/ledger", "another")
+    with pytest.raises(ValueError, match="cannot be used"):
+        jobs.start_feed_job(records, SELLING, f"{scratch}/l", f"{scratch}/c", "", interval=None)
+
+
+def test_the_job_folds_its_ledger(spark, scratch):
+    for i in range(9):
+        _publish(_sales(spark, (MS + i * HOUR, 1.0)), f"{scratch}/topic")
+    records = topics.stream_topic(spark, f"{scratch}/topic", maxFilesPerTrigger="1")
+    place = (f"{scratch}/ledger", f"{scratch}/checkpoint", f"{scratch}/dead")
+    query = jobs.start_feed_job(records, SELLING, *place, interval=None, fold_every=2)
+    query.awaitTermination()
+    assert sum(_totals(spark, scratch).values()) == 9.0
+    assert len(_batches(spark, scratch)) <= 5
 
 
 def test_start_positions():
@@ -247,7 +296,7 @@ def test_console_preview(spark, scratch):
 def test_runs_at_an_interval(spark, scratch):
     _publish(_sales(spark, (MS, 1.0)), f"{scratch}/topic")
     records = topics.stream_topic(spark, f"{scratch}/topic")
-    query = jobs.start_feed_job(records, SELLING, f"{scratch}/ledger", f"{scratch}/checkpoint", interval="1 second")
+    query = jobs.start_feed_job(records, SELLING, f"{scratch}/ledger", f"{scratch}/checkpoint", f"{scratch}/dead", "1 second")
     try:
         query.processAllAvailable()
         _publish(_sales(spark, (MS, 2.0)), f"{scratch}/topic")
