@@ -38,6 +38,7 @@ def test_word_by_word_gives_the_ids_of_the_whole(monkeypatch, kept):
     texts = [
         "It's we'll THE'RE don't", "a b c\x1cd\te\r\nf\x0bg", "<|endoftext|> x<|startoftext|>y", "é ́e 하",
         "ΑΣ ΣΑΣ. ΟΔΟΣ", "İstanbul ﬀ ½ 12345", "  two  blanks\n\n", "", None, "😀 😀👍🏽", "日本語 テスト", "x" * 500, "'s 's's",
+        "Übergröße! ÉLÈVE,%%% naïve## don't. a.b re: <| [x] O'REILLY x_y Ðe Þú ÿ. ÷x ×y µm 3rd v2 été--été é́.",
     ]
     texts = [t if t is None else t.encode("utf-8", "ignore").decode() for t in texts]
     path = registered.tokenizer_path()
@@ -46,6 +47,15 @@ def test_word_by_word_gives_the_ids_of_the_whole(monkeypatch, kept):
         assert found == [whole_ids(t) for t in texts]
 
 
+def test_tokenizer_that_keeps_white_space():
+    import public_tokenizers
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    texts = ["It is  so, é\n here", "", "word"]
+    whole = tokenizers.Tokenizer.from_file(path).encode_batch(texts, add_special_tokens=False)
+    assert [np.frombuffer(x, "<u4").tolist() for x in tokens.encode(path, texts)] == [x.ids for x in whole]
+
+
 def test_layout_and_selective_reading(spark, sf_dir, scratch):
     import pyarrow.parquet as pq
 
