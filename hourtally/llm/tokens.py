@@ -17,7 +17,6 @@ tokenizer's own model gives the ids of a run that is new.
 from __future__ import annotations
 
 import os
-import re
 import zlib
 from array import array
 from collections.abc import Iterator, Sequence
@@ -32,7 +31,7 @@ from pyspark.sql.window import Window
 
 END_ID = 2
 # Words kept with their ids; longer ones are encoded each time.
-KEPT_WORDS = 700_000
+KEPT_WORDS = 500_000
 LONGEST_KEPT = 48
 # Ids of a batch of rows on their way to the file.
 BATCH_IDS = 1 << 20
@@ -48,87 +47,75 @@ LAYOUT = {
 FILES = "part int, place long, doc_id long, start long, n_tokens long, tokens array<int>"
 
 
-# A word of plain letters and any signs after it but an apostrophe: the letters are one piece to
-# the tokenizer and the signs another.
-PLAIN = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([!-&(-/:-@\\[-`{-~]*)")
+# Signs that are one piece to the tokenizer when they follow letters: all of ASCII but the apostrophe.
+SIGNS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
-class _Encoder:
-    """A tokenizer of this layout, and the words it has met: words with an end, in lower case,
-    each run of letters by itself."""
+class _Words(dict):
+    """The ids of words, by word; those of a new word are found when it is asked for."""
 
     def __init__(self, path: str):
+        super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         from tokenizers.pre_tokenizers import ByteLevel
 
         self.tokenizer = Tokenizer.from_file(path)
         self.pieces: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}
         spell = ByteLevel(add_prefix_space=False, use_regex=False)
-        letters = [chr(c) for c in (*range(0x61, 0x7B), *range(0xDF, 0xF7), *range(0xF8, 0x100))]
+        letters = [chr(c) for c in range(256) if chr(c).isalpha() and not chr(c).isupper()]
         self.spelling = str.maketrans({x: spell.pre_tokenize_str(x)[0][0] for x in letters})
-        sample = ["word", "Übergrößen", "a", "élève", "zzyzx"]
-        apart = [b"".join(self._whole(x.split())) for x in ("a b", "One,\nTwo three")]
-        self.by_words = apart == self._whole(["a b", "One,\nTwo three"])
-        self.by_pieces = self.by_words and all(self._piece(x.lower()) == self._whole([x])[0] for x in sample)
+        apart = [b"".join(self.whole(x.split())) for x in ("a b", "One,\nTwo three")]
+        self.by_words = apart == self.whole(["a b", "One,\nTwo three"])
+        sample = ["word", "Übergrößen", "a", "élève", "zzyzx", "µªº"]
+        self.by_pieces = self.by_words and all(self.piece(x.lower()) == self.whole([x])[0] for x in sample)
 
-    def _whole(self, texts: list[str]) -> list[bytes]:
+    def whole(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [array("I", x.ids).tobytes() for x in found]
 
-    def _piece(self, letters: str) -> bytes:
+    def piece(self, letters: str) -> bytes:
+        """The ids of a run of letters in lower case, by the tokenizer's model alone."""
         return array("I", [x.id for x in self.tokenizer.model.tokenize(letters.translate(self.spelling))]).tobytes()
 
-    def _meet(self, new: list[str]) -> dict[str, bytes]:
-        """The ids of words not met before."""
-        ids, parts, others = {}, {}, []
-        for word in new:
-            plain = PLAIN.fullmatch(word) if self.by_pieces else None
-            if plain is None:
-                others.append(word)
-            else:
-                parts[word] = (plain[1].lower(), plain[2])
-        signs = list({tail for _, tail in parts.values() if tail})
-        tails = dict(zip(signs, self._whole(signs), strict=True))
-        tails[""] = b""
-        if len(self.pieces) + len(parts) > KEPT_WORDS:
-            self.pieces.clear()
-        for word, (letters, tail) in parts.items():
-            found = self.pieces.get(letters)
-            if found is None:
-                found = self.pieces[letters] = self._piece(letters)
-            ids[word] = found + tails[tail]
-        ids.update(zip(others, self._whole(others), strict=True))
+    def __missing__(self, word: str) -> bytes:
+        letters = word.rstrip(SIGNS)
+        if self.by_pieces and letters.isalpha() and (letters.isascii() or max(letters) <= "\u00ff"):
+            signs = word[len(letters) :]
+            letters = letters.lower()
+            ids = self.pieces.get(letters)
+            if ids is None:
+                ids = self.piece(letters)
+                if len(letters) <= LONGEST_KEPT:
+                    self.pieces[letters] = ids
+            if signs:
+                ids += self[signs]
+        else:
+            ids = self.whole([word])[0]
+        if len(word) <= LONGEST_KEPT:
+            self[word] = ids
         return ids
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         if not self.by_words:
-            return self._whole([t or "" for t in texts])
-        split = [(t or "").replace("\n", " ").split(" ") for t in texts]
-        every = set().union(*split)
-        new = list(every.difference(self.words))
-        if len(self.words) + len(new) > KEPT_WORDS:
-            self.words.clear()
-            new = list(every)
-        ids = self._meet(new)
-        if len(new) <= KEPT_WORDS:
-            self.words.update(ids)
-            ids = self.words
-        found = [b"".join(map(ids.__getitem__, some)) for some in split]
-        for word in [w for w in new if len(w) > LONGEST_KEPT]:
-            self.words.pop(word, None)
+            return self.whole([t or "" for t in texts])
+        found = []
+        for text in texts:
+            found.append(b"".join(map(self.__getitem__, (text or "").replace("\n", " ").split(" "))))
+            if len(self) > KEPT_WORDS:
+                self.clear()
+                self.pieces.clear()
         return found
 
 
 @cache
-def _encoder(path: str) -> _Encoder:
-    return _Encoder(path)
+def _words(path: str) -> _Words:
+    return _Words(path)
 
 
 def encode(path: str, texts: list[str | None]) -> list[bytes]:
     """The ids of each text, four bytes each, the end id not included."""
-    return _encoder(path).encode(texts)
+    return _words(path).encode(texts)
 
 
 def _runs(texts: list[str | None], size: int) -> Iterator[tuple[int, int]]:
