@@ -4,7 +4,8 @@ feed      keep the ledger of one or more feeds up to date
 state     the same totals in Spark's state store
 preview   print the payloads of a topic as they arrive
 fold      shorten a ledger
-publish   write the totals of ledgers to a database table
+publish   write the totals of ledgers to a database table, or add them to every row
+overwrite-sales   set the sales of every row of a table to the total of a topic
 poll      publish the new rows of a database table to a file-backed topic
 
 The report zone is that of ``--zone``. Topics come from Kafka (``--servers``, needs the
@@ -23,6 +24,7 @@ from pyspark.sql import functions as F
 from hourtally import session
 from hourtally.functions import variants
 from hourtally.operators import envelope, feeds, rollup
+from hourtally.plans import report
 from hourtally.sinks import database as database_sink
 from hourtally.sinks import ledger, preview
 from hourtally.sources import polling, topics
@@ -74,7 +76,10 @@ def _arguments(argv) -> argparse.Namespace:
 
     command = with_database("publish")
     command.add_argument("--ledgers", nargs="+", required=True)
-    command.add_argument("--keep-definition", action="store_true")
+    command.add_argument("--scope", choices=["hour", "all"], default="hour", help="rows by hour, or totals added to every row")
+    command.add_argument("--new-definition", action="store_true", help="create the table anew, without its keys and defaults")
+    command = with_database("overwrite-sales")
+    command.add_argument("--topic-path", required=True, help="folder of a file-backed topic")
     command = with_database("poll")
     command.add_argument("--key", required=True)
     command.add_argument("--prefix", default=feeds.TOPIC_PREFIX)
@@ -128,9 +133,14 @@ def run(spark: SparkSession, argv=None) -> None:
         if args.drop:
             ledger.drop_folded(spark, args.ledger)
     elif args.job == "publish":
-        totals = rollup.shown(ledger.totals(spark, args.ledgers))
-        database = _database(args)
-        database_sink.publish_summary(totals, database, args.table, args.keep_definition)
+        if args.scope == "all":
+            report.add_to_every_row(spark, _database(args), args.table, args.ledgers)
+        else:
+            totals = rollup.shown(ledger.totals(spark, args.ledgers))
+            database_sink.publish_summary(totals, _database(args), args.table, not args.new_definition)
+    elif args.job == "overwrite-sales":
+        records = topics.read_topic(spark, args.topic_path, [feeds.GARMENT_SALES.topic])
+        report.overwrite_sales(spark, _database(args), args.table, records)
     elif args.job == "poll":
         _poll(spark, args)
 

@@ -85,11 +85,12 @@ def hour_entry(hour: Column, value: Column) -> Column:
     return F.when(hour.isNotNull(), F.create_map(hour, value))
 
 
-def add_entries(entries: DataFrame, column: str) -> DataFrame:
-    """Sum maps key by key: ``(hour, value)`` rows."""
+def add_entries(entries: DataFrame, column: str, *parts: str) -> DataFrame:
+    """Sum maps key by key: ``(hour, value)`` rows, or one column for each part of a value."""
     # The outer form keeps Spark from building each map a second time to test its size.
     rows = entries.select(F.explode_outer(column).alias("hour", "value"))
-    return rows.where(F.col("hour").isNotNull()).groupBy("hour").agg(F.sum("value").alias("value"))
+    sums = [F.sum(f"value.{part}").alias(part) for part in parts] or [F.sum("value").alias("value")]
+    return rows.where(F.col("hour").isNotNull()).groupBy("hour").agg(*sums)
 
 
 def hour_value_maps(totals: DataFrame, value: str) -> DataFrame:

@@ -94,6 +94,10 @@ ORACLES = {
   SELECT o_orderkey, o_totalprice,
          CASE WHEN o_orderkey > (SELECT max(o_orderkey) // 2 FROM orders) THEN 2 ELSE 1 END AS poll
   FROM orders""",
+    "update_all_in_database": f"""
+  SELECT r_regionkey::INTEGER AS id, t.sales, t.web_hits::INTEGER AS web_hits, t.tweets::INTEGER AS tweets,
+         t.tweets_positive::INTEGER AS tweets_positive
+  FROM region CROSS JOIN ({_TOTALS}) t""",
     "preview": "SELECT event_id, props FROM events ORDER BY event_id LIMIT 10",
     "seed_defaults": """
   SELECT n_nationkey AS id, 0.0::DOUBLE AS sales, 0::BIGINT AS web_hits, 0::BIGINT AS tweets,

@@ -220,13 +220,10 @@ def hour_value_map(spark, sf_dir):
     records = stand_ins.garment_records(events).unionByName(stand_ins.broken_records(events))
     read = readings.read_feeds(records, selling)
     added = readings.contributions(read, selling)
-    entries = added.select(rollup.hour_entry(F.col("hour"), F.col("sales")).alias("entry"))
-    summed = rollup.add_entries(entries, "entry")
-    rests = added.select(rollup.hour_entry(F.col("hour"), F.col(schemas.SALES_REST)).alias("entry"))
-    left = rollup.add_entries(rests, "entry").withColumnRenamed("value", schemas.SALES_REST)
-    both = summed.join(left, "hour")
-    label = hours.hour_label(F.col("hour")).alias("report_date")
-    labelled = both.select(label, F.col("value").alias("sales"), schemas.SALES_REST)
+    parts = ("sales", schemas.SALES_REST)
+    entries = added.select(rollup.hour_entry(F.col("hour"), F.struct(*parts)).alias("entry"))
+    summed = rollup.add_entries(entries, "entry", *parts)
+    labelled = summed.select(hours.hour_label(F.col("hour")).alias("report_date"), *parts)
     maps = rollup.hour_value_maps(rollup.shown(labelled), "sales")
     return maps.select(F.explode("hour_values").alias("hour", "sales"))
 
@@ -275,9 +272,24 @@ def jdbc_overwrite(spark, sf_dir):
     database = embedded.database(spark)
     suppliers = _table(spark, sf_dir, "supplier").select("s_suppkey", F.lit(1.0).alias("sales"))
     database_sink.overwrite(suppliers, database, "HT_SUPPLIER")
-    loaded = tables.read_table(spark, database, "HT_SUPPLIER")
-    database_sink.overwrite(summary.constant_column(loaded, "sales", 9.0), database, "HT_SUPPLIER")
-    return tables.read_table(spark, database, "HT_SUPPLIER")
+    loaded = tables.read_table_by_key(spark, database, "HT_SUPPLIER", "s_suppkey", partitions=4)
+    changed = summary.constant_column(loaded, "sales", 9.0)
+    database_sink.overwrite(changed, database, "HT_SUPPLIER", keep_definition=True)
+    return tables.read_table_by_key(spark, database, "HT_SUPPLIER", "s_suppkey", partitions=4)
+
+
+def update_all_in_database(spark, sf_dir):
+    """Every row of a summary table in the database gets the overall totals of a ledger added."""
+    database = embedded.database(spark)
+    work = session.scratch(spark, "all")
+    rows = _table(spark, sf_dir, "region").select(F.col("r_regionkey").cast("int").alias("ID"))
+    kinds = {"SALES": "double", "WEB_HITS": "int", "TWEETS": "int", "TWEETS_POSITIVE": "int"}
+    zero = rows.select("ID", *(F.lit(0).cast(kind).alias(name) for name, kind in kinds.items()))
+    database_sink.overwrite(zero, database, "HT_SUMMARY")
+    ledger.record(report.hourly_deltas(stand_ins.merged_records(spark, sf_dir)), f"{work}/ledger", 0)
+    report.add_to_every_row(spark, database, "HT_SUMMARY", [f"{work}/ledger"])
+    stored = tables.read_table(spark, database, "HT_SUMMARY")
+    return stored.select(*(F.col(c).alias(c.lower()) for c in stored.columns))
 
 
 def jdbc_incremental(spark, sf_dir):
@@ -546,6 +558,7 @@ QUERIES = {
     "jdbc_read": jdbc_read,
     "jdbc_overwrite": jdbc_overwrite,
     "jdbc_incremental": jdbc_incremental,
+    "update_all_in_database": update_all_in_database,
     "preview": preview_first_rows,
     "seed_defaults": seed_defaults,
     "unique_key_check": unique_key_check,

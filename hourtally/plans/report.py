@@ -11,6 +11,7 @@ from hourtally.operators import feeds as feed_specs
 from hourtally.operators import readings, rollup, summary
 from hourtally.operators.feeds import Feed
 from hourtally.sinks import database as database_sink
+from hourtally.sinks import ledger
 from hourtally.sources import tables
 from hourtally.sources.tables import Database
 
@@ -46,3 +47,11 @@ def overwrite_sales(spark: SparkSession, database: Database, table: str, records
     total = overall(records, [feed_specs.GARMENT_SALES]).transform(rollup.shown).first()
     loaded = tables.read_table(spark, database, table)
     database_sink.overwrite(summary.constant_column(loaded, "SALES", total.sales), database, table, keep_definition=True)
+
+
+def add_to_every_row(spark: SparkSession, database: Database, table: str, ledgers: Sequence[str]) -> None:
+    """Add the overall totals of ledgers to every row of a summary table (its names in capitals)."""
+    loaded = tables.read_table(spark, database, table)
+    lower = loaded.toDF(*(name.lower() for name in loaded.columns))
+    updated = summary.update_every_row(lower, ledger.overall(spark, ledgers)).toDF(*loaded.columns)
+    database_sink.overwrite(updated, database, table, keep_definition=True)

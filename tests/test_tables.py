@@ -107,13 +107,27 @@ def test_publish_summary(spark, database, name):
     assert tables.read_table(spark, database, name).columns == schemas.EXEC_SUMMARY.fieldNames()[1:]
 
 
+def test_a_failed_write_leaves_the_old_rows(spark, database, name):
+    old = spark.sql("SELECT 1 AS ID, 2D AS SALES")
+    sink.overwrite(old, database, name)
+    broken = spark.sql("SELECT 3 AS ID, IF(rand() < 2, raise_error('lost'), 0D) AS SALES")
+    with pytest.raises(Exception, match="lost"):
+        sink.overwrite(broken, database, name, keep_definition=True)
+    unknown = spark.sql("SELECT 3 AS ID, 4 AS OTHER")  # written beside, but the table cannot take it
+    with pytest.raises(Exception, match="OTHER"):
+        sink.overwrite(unknown, database, name, keep_definition=True)
+    assert [tuple(r) for r in tables.read_table(spark, database, name).collect()] == [(1, 2.0)]
+    sink.overwrite(spark.sql("SELECT 5 AS ID, 6D AS SALES"), database, name, keep_definition=True)
+    assert [tuple(r) for r in tables.read_table(spark, database, name).collect()] == [(5, 6.0)]
+
+
 def test_database_named_by_the_session(spark):
     spark.conf.set("spark.hourtally.jdbc.url", "jdbc:some://host/db")
     spark.conf.set("spark.hourtally.jdbc.driver", "some.Driver")
     spark.conf.set("spark.hourtally.jdbc.user", "me")
     try:
         options = embedded.database(spark).options()
-        assert options == {"url": "jdbc:some://host/db", "driver": "some.Driver", "user": "me"}
+        assert options == {"url": "jdbc:some://host/db", "driver": "some.Driver", "user": "me", "fetchsize": tables.FETCH_ROWS}
     finally:
         for part in ("url", "driver", "user"):
             spark.conf.unset(f"spark.hourtally.jdbc.{part}")
