@@ -37,7 +37,7 @@ TOGETHER = 512
 # the least similarity that links.
 LEAST_SEEN = 0.52
 # Best partners that a member proposes besides the links that span the bucket.
-BEST = 8
+BEST = 4
 
 SIGNED = "row_key long, doc_id long, n_shingles long, set_1 long, set_2 long, bands array<long>, coords binary"
 
@@ -241,7 +241,8 @@ def buckets(signed: DataFrame) -> tuple[DataFrame, DataFrame]:
     shown = stored.written(shown.select("node", "bands", "coords"), "sets")
     bands = shown.select("node", F.explode("bands").alias("key"))
     sizes = stored.written(bands.groupBy("key").agg(F.count("*").alias("size")).where("size > 1"), "buckets")
-    members = stored.written(bands.join(sizes, "key").select("key", "node", "size"), "members")
+    # Both sides grow with the documents, so neither is broadcast at any size.
+    members = stored.written(bands.join(sizes.hint("merge"), "key").select("key", "node", "size"), "members")
     return shown.select("node", "coords"), members
 
 
