@@ -251,8 +251,11 @@ def table_list_scan(spark, sf_dir):
     keys = {"nation": "n_nationkey", "region": "r_regionkey", "customer": "c_custkey", "orders": "o_orderkey"}
     feed = tables.tables_to_topics(keys, lambda name: _table(spark, sf_dir, name), feeds.TOPIC_PREFIX)
     parsed = feed.select("topic", "key", variants.parse_json(envelope.value_text()).alias("doc"))
-    gets = [F.try_variant_get("doc", f"$.payload.{field}", "bigint") for field in keys.values()]
-    rows = parsed.select("topic", _key().alias("key"), F.coalesce(*gets).alias("in_payload"))
+    in_payload = F.lit(None).cast("bigint")
+    for name, field in keys.items():
+        mine = F.col("topic") == feeds.TOPIC_PREFIX + name
+        in_payload = F.when(mine, F.try_variant_get("doc", f"$.payload.{field}", "bigint")).otherwise(in_payload)
+    rows = parsed.select("topic", _key().alias("key"), in_payload.alias("in_payload"))
     return rows.groupBy("topic").agg(
         F.count("*").alias("n"),
         F.sum("key").cast("bigint").alias("keys"),
