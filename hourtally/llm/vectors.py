@@ -35,6 +35,8 @@ LEAST_COSINE = 0.95
 SAMPLE = 20_000
 LIST_SIZE = 1000
 MOST_LISTS = 4096
+# Centres whose planes are looked at for each vector.
+PLANES = 16
 SUBSPACES = 8
 CODES = 256
 # Vectors of a block, and queries held against it at a time.
@@ -90,12 +92,22 @@ def coded(index: Index, points: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.
 
 
 def probed(index: Index, points: np.ndarray, own: np.ndarray, reach: float) -> np.ndarray:
-    """By vector and list: can the list hold a vector within reach?"""
-    squares = (index.centres**2).sum(axis=1)
-    beyond = squares[None, :] - 2 * points @ index.centres.T
-    beyond -= beyond[np.arange(len(points)), own][:, None]
-    apart = np.sqrt(np.maximum(0, squares[None, :] + squares[own][:, None] - 2 * index.centres[own] @ index.centres.T))
-    return beyond <= 2 * apart * reach + 1e-9
+    """By vector and list: can the list hold a vector within reach?
+
+    The planes half-way to the centres nearest to the vector are looked at.
+    """
+    centres = index.centres
+    squares = (centres**2).sum(axis=1)
+    far = squares[None, :] - 2 * points @ centres.T
+    near = np.argpartition(far, min(PLANES, len(centres)) - 1, axis=1)[:, :PLANES]
+    apart = np.sqrt(np.maximum(0, squares[None, :] + squares[:, None] - 2 * centres @ centres.T))
+    out = np.ones(far.shape, bool)
+    for k in range(near.shape[1]):
+        other = near[:, k]
+        beyond = far - far[np.arange(len(points)), other][:, None]
+        out &= beyond <= 2 * apart[other] * reach + 1e-9
+    out[np.arange(len(points)), own] = True
+    return out
 
 
 def _unit(column: pa.Array, rows: int) -> np.ndarray:
@@ -169,13 +181,16 @@ class _Block:
             return
         m_nodes, m_times, m_points, m_codes, m_left = self._members()
         rest = points - self.index.centres[self.which]
-        far = np.zeros((len(points), len(m_nodes)))
+        # A row for each code or member, so that whole rows are read; single precision, with room.
+        far = np.zeros((len(m_nodes), len(points)), np.float32)
+        read = np.empty_like(far)
         for m, book in enumerate(self.index.books):
             part = rest[:, self.index.cuts[m] : self.index.cuts[m + 1]]
-            table = (part * part).sum(axis=1)[:, None] + (book * book).sum(axis=1)[None, :] - 2 * part @ book.T
-            far += table[:, m_codes[:, m]]
-        reach = np.sqrt(2 - 2 * self.least) + 1e-6
-        q, x = np.nonzero(far <= (reach + m_left[None, :]) ** 2 + 1e-9)
+            table = (part * part).sum(axis=1)[None, :] + (book * book).sum(axis=1)[:, None] - 2 * book @ part.T
+            np.take(table.astype(np.float32), m_codes[:, m], axis=0, out=read, mode="clip")
+            far += read
+        reach = np.sqrt(2 - 2 * self.least) + 1e-4
+        x, q = np.nonzero(far <= ((reach + m_left) ** 2 + 1e-4).astype(np.float32)[:, None])
         once = (home[q] != self.which) | (nodes[q] < m_nodes[x])
         q, x = q[once], x[once]
         cosine = np.concatenate(
