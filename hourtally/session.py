@@ -67,23 +67,24 @@ def read_if_there(spark: SparkSession, schema, path: str, kind: str = "parquet")
 
 def delete(spark: SparkSession, path: str) -> None:
     """Delete a folder, if it is there."""
-    folder, files = _folder(spark, path)
+    folder, files = folder_of(spark, path)
     files.delete(folder, True)
 
 
 def rename(spark: SparkSession, source: str, target: str) -> None:
     """Make a finished folder visible under its name, at once."""
-    folder, files = _folder(spark, source)
-    if not files.rename(folder, _folder(spark, target)[0]):
+    folder, files = folder_of(spark, source)
+    if not files.rename(folder, folder_of(spark, target)[0]):
         raise RuntimeError(f"{source} could not become {target}")
 
 
 def exists(spark: SparkSession, path: str) -> bool:
-    folder, files = _folder(spark, path)
+    folder, files = folder_of(spark, path)
     return files.exists(folder)
 
 
-def _folder(spark: SparkSession, path: str):
+def folder_of(spark: SparkSession, path: str):
+    """A path and its file system, as Hadoop has them."""
     context = spark.sparkContext
     folder = context._jvm.org.apache.hadoop.fs.Path(path)
     return folder, folder.getFileSystem(context._jsc.hadoopConfiguration())
