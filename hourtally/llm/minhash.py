@@ -182,7 +182,8 @@ def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """Of pairs of row keys ``a, b`` those whose full sets link. Texts are ``row_key, text``."""
     nodes = pairs.select(F.explode(F.array("a", "b")).alias("row_key")).distinct()
-    wanted = texts.join(nodes, "row_key", "left_semi").dropDuplicates(["row_key"])
+    # The nodes grow with the documents, so they are not broadcast at any size.
+    wanted = texts.join(nodes.hint("merge"), "row_key", "left_semi").dropDuplicates(["row_key"])
     side_a = wanted.select(F.col("row_key").alias("a"), F.col("text").alias("text_a"))
     side_b = wanted.select(F.col("row_key").alias("b"), F.col("text").alias("text_b"))
     both = pairs.select("a", "b").join(side_a, "a").join(side_b, "b").select("a", "b", "text_a", "text_b")
