@@ -7,9 +7,10 @@ candidates together (at the least similarity that links, 0.75, all 32 bands fail
 about 5 pairs in a million), and every link is confirmed on the full sets.
 
 Members of a band's bucket are compared by their signatures. Buckets too large for one task
-are dealt out first; then, for what is not connected yet, each member outside the bucket's
-largest class is held against every member, block by block. What leaves a task is in
-proportion to the members in it, never all their pairs.
+are dealt out first, and only the best partners are proposed; then, for what is not connected
+yet, each member outside the bucket's largest class is held against every member, block by
+block, in rounds that propose more partners in each other class every time, until no pair of
+different classes that may link is left unconfirmed. What is connected is never compared again.
 
 Nulls and empty texts have no set and link with nothing. Rows with equal sets are one
 class before any comparison, however many they are. Repeated rows and repeated ids are
@@ -36,8 +37,10 @@ TOGETHER = 512
 # A link shows at least this share of equal coordinates: six standard deviations below
 # the least similarity that links.
 LEAST_SEEN = 0.52
-# Best partners that a member proposes besides the links that span the bucket.
+# Best partners that a member proposes besides the links that span the bucket, and then in
+# each other class in the first of the rounds; and how fast they grow from round to round.
 BEST = 4
+GROWTH = 8
 
 SIGNED = "row_key long, doc_id long, n_shingles long, set_1 long, set_2 long, bands array<long>, coords binary"
 
@@ -168,10 +171,11 @@ def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         sides = []
         for name in ("text_a", "text_b"):
-            sets = []
-            for block in textbytes.blocks(batch.column(name)):
+            # A text is in many pairs; it is taken apart once.
+            coded, sets = batch.column(name).dictionary_encode(), []
+            for block in textbytes.blocks(coded.dictionary):
                 sets.extend(textbytes.shingle_sets(block))
-            sides.append(sets)
+            sides.append([sets[k] for k in coded.indices.to_pylist()])
         linked = []
         for x, y in zip(*sides, strict=True):
             common = len(x) + len(y) - len(np.union1d(x, y))
@@ -190,43 +194,49 @@ def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return both.mapInArrow(_confirm, "a long, b long")
 
 
-def _held_against(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows come sorted by bucket, block and role: first a block's members, then queries."""
-    place, parts, members = None, [], None
-    for whole in batches:
-        for lo in range(0, whole.num_rows, 256):
-            batch = whole.slice(lo, 256)
-            keys, blocks, roles, nodes, classes = (
-                batch.column(n).to_numpy() for n in ("key", "block", "role", "node", "class")
-            )
-            coords = np.frombuffer(b"".join(batch.column("coords").to_pylist()), np.uint8).reshape(-1, COORDINATES)
-            spot = np.stack([keys, blocks, roles], axis=1)
-            edges = np.flatnonzero((spot[1:] != spot[:-1]).any(axis=1)) + 1
-            a, b, shares = [], [], []
-            for at, upto in zip([0, *edges.tolist()], [*edges.tolist(), len(keys)], strict=True):
-                here = (int(keys[at]), int(blocks[at]))
-                if here != place:
-                    place, parts, members = here, [], None
-                if roles[at] == 0:
-                    parts.append((nodes[at:upto], classes[at:upto], coords[at:upto]))
-                    continue
-                if not parts:
-                    continue
-                if members is None:
-                    members = [np.concatenate(x) for x in zip(*parts, strict=True)]
-                for q in range(at, upto):
-                    seen = (members[2] == coords[q]).mean(axis=1)
-                    near = np.flatnonzero((seen >= LEAST_SEEN) & (members[1] != classes[q]))
-                    taken: dict[int, int] = {}
-                    for i in near[np.argsort(-seen[near], kind="stable")].tolist():
-                        other = int(members[1][i])
-                        taken[other] = taken.get(other, 0) + 1
-                        if taken[other] <= BEST:
-                            a.append(int(nodes[q]))
-                            b.append(int(members[0][i]))
-                            shares.append(float(seen[i]))
-            columns = [pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(shares, pa.float32())]
-            yield pa.RecordBatch.from_arrays(columns, names=["a", "b", "seen"])
+def _held_against(most: int):
+    """Rows come sorted by bucket, block and role: first a block's members, then queries. A
+    query proposes its ``most`` best partners in each other class; ``more`` says that there are others."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place, parts, members = None, [], None
+        for whole in batches:
+            for lo in range(0, whole.num_rows, 256):
+                batch = whole.slice(lo, 256)
+                keys, blocks, roles, nodes, classes = (
+                    batch.column(n).to_numpy() for n in ("key", "block", "role", "node", "class")
+                )
+                coords = np.frombuffer(b"".join(batch.column("coords").to_pylist()), np.uint8).reshape(-1, COORDINATES)
+                spot = np.stack([keys, blocks, roles], axis=1)
+                edges = np.flatnonzero((spot[1:] != spot[:-1]).any(axis=1)) + 1
+                a, b, shares, more = [], [], [], []
+                for at, upto in zip([0, *edges.tolist()], [*edges.tolist(), len(keys)], strict=True):
+                    here = (int(keys[at]), int(blocks[at]))
+                    if here != place:
+                        place, parts, members = here, [], None
+                    if roles[at] == 0:
+                        parts.append((nodes[at:upto], classes[at:upto], coords[at:upto]))
+                        continue
+                    if not parts:
+                        continue
+                    if members is None:
+                        members = [np.concatenate(x) for x in zip(*parts, strict=True)]
+                    for q in range(at, upto):
+                        seen = (members[2] == coords[q]).mean(axis=1)
+                        near = np.flatnonzero((seen >= LEAST_SEEN) & (members[1] != classes[q]))
+                        taken: dict[int, list[int]] = {}
+                        for i in near[np.argsort(-seen[near], kind="stable")].tolist():
+                            taken.setdefault(int(members[1][i]), []).append(i)
+                        for others in taken.values():
+                            for i in others[:most]:
+                                a.append(int(nodes[q]))
+                                b.append(int(members[0][i]))
+                                shares.append(float(seen[i]))
+                                more.append(len(others) > most)
+                columns = [pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(shares, pa.float32()), pa.array(more, pa.bool_())]
+                yield pa.RecordBatch.from_arrays(columns, names=["a", "b", "seen", "more"])
+
+    return run
 
 
 def _ordered(found: DataFrame) -> DataFrame:
@@ -255,29 +265,37 @@ def candidate_pairs(shown: DataFrame, members: DataFrame) -> DataFrame:
     return _ordered(dealt.mapInArrow(_candidates, "a long, b long, seen float"))
 
 
-def missed_pairs(shown: DataFrame, members: DataFrame, classes: DataFrame) -> DataFrame:
-    """Candidates of different classes in the buckets that were dealt out."""
-    large = members.where(F.col("size") > TOGETHER).join(classes, "node", "left")
-    large = large.withColumn("class", F.coalesce("component", "node")).drop("component")
-    large = stored.written(large.join(shown, "node"), "large")
-    counts = large.groupBy("key", "class").agg(F.count("*").alias("n"))
-    main = counts.groupBy("key").agg(F.max(F.struct("n", "class")).alias("top"))
-    main = stored.written(main.select("key", F.col("top.class").alias("main")), "main")
+def missed_pairs(shown: DataFrame, members: DataFrame, classes: DataFrame, most: int) -> DataFrame:
+    """``a, b, more``: candidates of different classes, ``most`` partners of a member in each
+    other class of a block; ``more`` says that there are others."""
+    # In smaller buckets every pair has been proposed at once.
+    open_ = members.where(F.col("size") > BEST + 1)
+    labels = classes.hint("merge")
+    counts = open_.join(labels, "node", "left").groupBy("key", F.coalesce("component", "node").alias("class")).agg(F.count("*").alias("n"))
+    main = counts.groupBy("key").agg(F.max(F.struct("n", "class")).alias("top"), F.count("*").alias("classes"))
+    # Only buckets of several classes can hold a pair that is not connected.
+    main = stored.written(main.where("classes > 1").select("key", F.col("top.class").alias("main")), "main")
+    several = open_.join(main.hint("merge"), "key").join(labels, "node", "left")
+    several = several.withColumn("class", F.coalesce("component", "node")).drop("component")
+    several = stored.written(several.join(shown, "node"), "several")
     blocks = F.ceil(F.col("size") / TOGETHER).cast("int")
     own = F.pmod(F.xxhash64("key", "node"), blocks).cast("int")
-    as_member = large.select("key", own.alias("block"), F.lit(0).alias("role"), "node", "class", "coords")
-    outside = large.join(main, "key").where(F.col("class") != F.col("main"))
+    as_member = several.select("key", own.alias("block"), F.lit(0).alias("role"), "node", "class", "coords")
+    outside = several.where(F.col("class") != F.col("main"))
     every = F.explode(F.sequence(F.lit(0), blocks - 1))
     as_query = outside.select("key", every.alias("block"), F.lit(1).alias("role"), "node", "class", "coords")
     met = as_member.unionAll(as_query).repartition("key", "block").sortWithinPartitions("key", "block", "role")
-    return _ordered(met.mapInArrow(_held_against, "a long, b long, seen float"))
+    held = met.mapInArrow(_held_against(most), "a long, b long, seen float, more boolean")
+    ends = held.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "more")
+    return ends.groupBy("a", "b").agg(F.max("more").alias("more"))
 
 
 def links(signed: DataFrame, texts: DataFrame) -> DataFrame:
     """Confirmed links ``a, b`` that connect all that is linked.
 
     First every node's best candidate is confirmed. Of the rest, only pairs that are not
-    connected by then need to be.
+    connected by then need to be. Then come rounds until no candidate pair is both
+    unconfirmed and not connected.
     """
     shown, members = buckets(signed)
     pairs = stored.written(candidate_pairs(shown, members), "pairs")
@@ -293,10 +311,18 @@ def links(signed: DataFrame, texts: DataFrame) -> DataFrame:
     rest = pairs.join(first, ["a", "b"], "left_anti").join(of_a, "a", "left").join(of_b, "b", "left")
     apart = F.coalesce("class_a", "a") != F.coalesce("class_b", "b")
     found = stored.written(sure.unionAll(confirmed(rest.where(apart).select("a", "b"), texts)), "links")
-    if members.where(F.col("size") > TOGETHER).isEmpty():
-        return found
-    missed = stored.written(missed_pairs(shown, members, graph.components(found)), "pairs")
-    return found.unionAll(confirmed(missed.select("a", "b").join(pairs, ["a", "b"], "left_anti"), texts))
+    tried, most, classes = pairs.select("a", "b"), BEST, graph.components(found)
+    while True:
+        met = stored.written(missed_pairs(shown, members, classes, most), "pairs")
+        # A pair of different classes that has been looked at before does not link.
+        fresh = stored.written(met.select("a", "b").join(tried, ["a", "b"], "left_anti"), "pairs")
+        if not fresh.isEmpty():
+            found = stored.written(found.unionAll(confirmed(fresh, texts)), "links")
+        if met.where("more").isEmpty():
+            return found
+        if not fresh.isEmpty():
+            tried, classes = tried.unionAll(fresh), graph.components(found)
+        most *= GROWTH
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:

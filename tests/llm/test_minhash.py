@@ -68,6 +68,29 @@ def test_groups_larger_than_a_task_compares(spark, monkeypatch):
     assert found_rows(found) == by_hand(rows)
 
 
+def edited_copies(count, length, edits, seed):
+    draw = random.Random(seed)
+    rows = []
+    for doc_id in range(count):
+        words = [f"w{i}" for i in range(length)]
+        for at in draw.sample(range(length), draw.choice(edits)):
+            words[at] = f"x{doc_id}.{at}"
+        rows.append((doc_id, " ".join(words)))
+    return rows
+
+
+@pytest.mark.parametrize("together", [512, 40])
+def test_few_links_among_many_alike(spark, monkeypatch, together):
+    """Most pairs are a little too different to link, and look as alike as those that do."""
+    monkeypatch.setattr(minhash, "TOGETHER", together)
+    rows = edited_copies(300, 120, (2,), 5)
+    sets = [shingles(text) for _, text in rows]
+    alike = [len(x & y) / len(x | y) for x, y in combinations(sets, 2)]
+    assert 0.70 <= sum(alike) / len(alike) <= 0.74
+    found = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert found_rows(found) == by_hand(rows)
+
+
 def test_odd_rows(odd_docs, no_docs):
     rows = [(r.doc_id, r.text) for r in odd_docs.collect()]
     found = minhash.near_duplicates(odd_docs)
