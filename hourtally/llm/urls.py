@@ -7,8 +7,8 @@ subdomains, or a host with leading path segments (``host/a/b``), which cover wha
 
 Captures that are equal in address and time are looked at once. A null or unreadable
 address, or a null time, matches nothing. Changes with a null pattern, time or list are left
-out. Of changes of a pattern at the same time, the listing holds. Of several entries that
-match, the longest pattern is reported, then the list that sorts first. Repeated rows are
+out. Hosts are the same in any case, paths are not. Of changes of a pattern at the same time,
+the listing holds. Of several entries that match, the longest pattern is reported, then the list that sorts first. Repeated rows are
 kept; extra columns stay.
 """
 
@@ -44,14 +44,21 @@ def patterns_of(url: Column) -> Column:
     return F.when(host != "", F.array_distinct(F.concat(domains, below))).otherwise(F.array().cast("array<string>"))
 
 
+def _host_lowered(pattern: Column) -> Column:
+    """A pattern with its host in lower case; the case of a path counts."""
+    host = F.substring_index(pattern, "/", 1)
+    return F.concat(F.lower(host), pattern.substr(F.length(host) + 1, F.length(pattern)))
+
+
 def intervals(changes: DataFrame) -> DataFrame:
     """``list_id, pattern, since, until`` from ``list_id, pattern, listed, changed_at``.
 
-    ``until`` is the next change of the pattern, null if there is none. The next change is
+    Hosts of patterns are put in lower case. ``until`` is the next change of the pattern, null if there is none. The next change is
     looked for within a month first and then among the first ones of later months, so a
     pattern with very many changes does not meet in one task.
     """
-    usable = changes.select("list_id", "pattern", F.coalesce("listed", F.lit(False)).alias("listed"), "changed_at")
+    pattern = _host_lowered(F.col("pattern")).alias("pattern")
+    usable = changes.select("list_id", pattern, F.coalesce("listed", F.lit(False)).alias("listed"), "changed_at")
     at_once = usable.dropna().groupBy("list_id", "pattern", "changed_at").agg(F.max("listed").alias("listed"))
     monthly = at_once.withColumn("month", F.date_trunc("month", "changed_at"))
     firsts = monthly.groupBy("list_id", "pattern", "month").agg(F.min("changed_at").alias("first"))
@@ -71,7 +78,7 @@ def checked(captures: DataFrame, changes: DataFrame) -> DataFrame:
     """
     rows = captures.select(F.struct("*").alias("row"), F.col("url").alias("u"), F.col("fetched_at").alias("t"))
     keyed = rows.select("u", "t").distinct().select("u", "t", F.explode(patterns_of(F.col("u"))).alias("p"))
-    entries = intervals(changes).select("list_id", F.lower("pattern").alias("p"), "since", "until")
+    entries = intervals(changes).select("list_id", F.col("pattern").alias("p"), "since", "until")
     active = (F.col("t") >= F.col("since")) & (F.col("until").isNull() | (F.col("t") < F.col("until")))
     met = keyed.join(entries, "p").where(active)
     rank = F.struct(-F.length("p"), F.col("list_id"), F.col("p"), F.col("since"))

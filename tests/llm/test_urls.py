@@ -77,3 +77,18 @@ def test_long_address(spark, changes):
     plan = urls.checked(rows, changes)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
     assert urls.checked(rows, changes).where(F.col("blocked")).count() == 1
+
+
+def test_case_of_paths_and_hosts(spark):
+    rows = [
+        ("spam", "Case.net/Foo", True, day(1)), ("spam", "case.NET/Foo", False, day(10)),
+        ("spam", "case.net/bar", True, day(1)), ("spam", "UP.org", True, day(1)),
+    ]
+    changes = spark.createDataFrame(rows, CHANGES)
+    wanted = {
+        ("http://CASE.net/Foo/1", day(5)): "case.net/Foo", ("http://case.net/foo/1", day(5)): None,
+        ("http://case.net/Foo/1", day(12)): None, ("http://case.net/Bar", day(5)): None,
+        ("http://case.net/bar", day(5)): "case.net/bar", ("http://www.up.org/X", day(5)): "up.org",
+    }
+    captures = spark.createDataFrame([(url, when, "x", 1) for url, when in wanted], CAPTURES)
+    assert {(r.url, r.fetched_at): r.pattern for r in urls.checked(captures, changes).collect()} == wanted
