@@ -62,7 +62,7 @@ def list_changes(pages: DataFrame) -> DataFrame:
     host = urls.host_of(url)
     labels = F.split(host, "[.]")
     domain = F.when(F.size(labels) > 3, F.array_join(F.slice(labels, F.lit(2), F.size(labels)), "."))
-    folder = F.concat_ws("/", host, F.split(F.regexp_extract(url, urls.PATH, 1), "/")[1])
+    folder = F.concat_ws("/", host, F.get(F.split(F.regexp_extract(url, urls.PATH, 1), "/"), F.lit(1)))
     named = F.array(
         F.struct(F.lit("hosts").alias("list_id"), host.alias("pattern")),
         F.struct(F.lit("domains").alias("list_id"), domain.alias("pattern")),

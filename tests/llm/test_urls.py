@@ -5,7 +5,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from hourtally.llm import urls
+from hourtally.llm import registered, urls
 
 CHANGES = "list_id string, pattern string, listed boolean, changed_at timestamp"
 CAPTURES = "url string, fetched_at timestamp, blocked string, p int"
@@ -92,3 +92,13 @@ def test_case_of_paths_and_hosts(spark):
     }
     captures = spark.createDataFrame([(url, when, "x", 1) for url, when in wanted], CAPTURES)
     assert {(r.url, r.fetched_at): r.pattern for r in urls.checked(captures, changes).collect()} == wanted
+
+
+def test_query_on_odd_addresses(spark, tmp_path):
+    odd = ["http://plain.org", "http://a.b.org?q=1", "http://a.b.org#f", "http://x.y.z.org/", "http://p.org/F/g", "not one", "", None, "http://", "http://:80"]
+    pages = spark.createDataFrame(list(enumerate(odd)), "page_id long, url string")
+    pages.write.parquet(f"{tmp_path}/pages.parquet")
+    entries = {(r.list_id, r.pattern) for r in registered.list_changes(pages).collect()}
+    assert {("hosts", "plain.org"), ("folders", "plain.org"), ("folders", "a.b.org"), ("folders", "p.org/F"), ("domains", "y.z.org")} <= entries
+    found = registered.op5_temporal_url_filter(spark, str(tmp_path)).collect()
+    assert sorted((r.page_id, r.url or "") for r in found) == [(i, u or "") for i, u in enumerate(odd)]
