@@ -1,16 +1,22 @@
 """Licences by their sentences.
 
-Sentences end with a line, or with a full stop, question or exclamation mark or semicolon and
-white space. Written
+Sentences end with a full stop, question or exclamation mark or semicolon and white space, or
+with a line that is blank but for comment signs. A line's end, a colon, or the full stop of
+"v. 2.0" may end a sentence too, or stand inside it, so that notices are found in lines of any
+width, with the signs of comments before them. Written
 plainly (lower case, one blank for each run of anything but letters and digits), a
 sentence that is known has a number; a document becomes the sequence of its numbers. A
 rule is an ordered list of numbers: it holds if they occur in this order, with anything in
 between. Nulls and empty texts have no sentences, so no licence. Repeated rows and sentences are
-taken as they come; extra columns stay. No row meets another, so nothing is shuffled.
+taken as they come; of known sentences that begin at one place the shorter is first. Extra columns stay. No row meets another, so nothing is shuffled.
 """
 
 from __future__ import annotations
 
+import re
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -79,25 +85,58 @@ RULES = (
     ("MPL-2.0", (60,)),
 )
 
-# Every known sentence holds one of these, so others need not be written plainly.
+# Most known sentences hold one of these; texts without any mark are not written plainly.
 MARKS = ("licen", "software", "copyright", "redistribut")
 
 PARTING = "[.!?;]+[ \t\r\n]+"
 OTHER = "[^a-z0-9]+"
 
+# Steps from a text in lower case to plain words between S, where a sentence ends, and L,
+# where one may end. Capital letters do not occur otherwise.
+STEPS = (
+    (r"(?m)^[ \t]*(?:rem|dnl)[ \t]+", ""),
+    # a line without words ends what is before it
+    (r"(?>\r\n?|\n)[^a-z0-9\r\n]*(?=[\r\n])", "; "),
+    (r"(?<![a-z0-9])v[.][ \t\r\n]+", "v:"),
+    (PARTING, "S"),
+    ("[\r\n:]+", "L"),
+    ("[^a-z0-9SL]+", " "),
+    ("[ L]*S[ SL]*", "S"),
+    (" *L[ L]*", "L"),
+)
+
 
-def _marked(text: Column) -> Column:
-    return F.greatest(*(text.contains(mark) for mark in MARKS))
+def marks_of(sentences: dict[int, str]) -> list[str]:
+    """Words one of which is in every sentence: the usual ones, and the longest of sentences without those."""
+    marks = {mark for mark in MARKS if any(mark in plain for plain in sentences.values())}
+    return sorted(marks | {max(plain.split(), key=len) for plain in sentences.values() if not any(mark in plain for mark in MARKS)})
 
 
 def sentence_ids(text: Column, sentences: dict[int, str]) -> Column:
     """The numbers of the known sentences of a text, in order."""
-    known = F.create_map(*(F.lit(x) for number, plain in sorted(sentences.items()) for x in (plain, number)))
+    nothing = F.array().cast("array<int>")
+    usable = {number: plain for number, plain in sorted(sentences.items()) if re.fullmatch("[a-z0-9]+( [a-z0-9]+)*", plain)}
+    if not usable:
+        return nothing
+    known = F.create_map(*(F.lit(x) for number, plain in usable.items() for x in (plain, number)))
     lowered = F.lower(F.coalesce(text, F.lit("")))
-    parts = F.split(F.regexp_replace(lowered, PARTING, "\n"), "[\r\n]")
-    written = F.transform(F.filter(parts, _marked), lambda x: F.trim(F.regexp_replace(x, OTHER, " ")))
-    numbers = F.filter(F.transform(written, lambda x: F.try_element_at(known, x)), lambda x: x.isNotNull())
-    return F.when(_marked(lowered), numbers).otherwise(F.array().cast("array<int>"))
+    plainly = lowered
+    for pattern, by in STEPS:
+        plainly = F.regexp_replace(plainly, pattern, by)
+    plainly = F.concat(F.lit("S"), F.trim(plainly), F.lit("S"))
+    # The longest known sentence at each place; shorter ones that begin there are its beginnings.
+    longest = sorted(usable.values(), key=len, reverse=True)
+    pattern = f"(?<=[SL])(?=({'|'.join(plain.replace(' ', '[ L]') for plain in longest)})[SL])"
+
+    def beginnings(found: Column) -> Column:
+        lines = F.split(found, "L")
+        return F.transform(
+            F.sequence(F.lit(1), F.size(lines)), lambda k: F.try_element_at(known, F.array_join(F.slice(lines, 1, k), " "))
+        )
+
+    numbers = F.flatten(F.transform(F.regexp_extract_all(plainly, F.lit(pattern), F.lit(1)), beginnings))
+    marked = reduce(or_, (lowered.contains(mark) for mark in marks_of(usable)))
+    return F.when(marked, F.filter(numbers, lambda x: x.isNotNull())).otherwise(nothing)
 
 
 def recognised(docs: DataFrame, sentences: dict[int, str] | None = None, rules=RULES) -> DataFrame:

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import re
+import textwrap
 
 import pytest
 
@@ -60,3 +61,60 @@ def test_long_text(spark):
     text = ("Filler about software. " * 20_000) + "Released under the MIT License."
     frame = spark.createDataFrame([(1, text)], "doc_id long, text string")
     assert licences.recognised(frame).first().licences == ["MIT"]
+
+
+APACHE = (
+    'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. '
+    "You may obtain a copy of the License at\n\n    http://www.apache.org/licenses/LICENSE-2.0\n\nUnless required by applicable law"
+)
+BSD = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions "
+    "are met:\n\n1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following "
+    "disclaimer.\n\n2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following "
+    "disclaimer in the documentation and/or other materials provided with the distribution.\n\n"
+)
+NEITHER = (
+    "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from "
+    "this software without specific prior written permission.\n\n"
+)
+GPL = (
+    "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published "
+    "by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.\n\nThis program is distributed"
+)
+MPL = (
+    "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with "
+    "this file, You can obtain one at https://mozilla.org/MPL/2.0/."
+)
+NOTICES = [
+    (f"MIT License\n\nCopyright (c) 2020 X\n\n{GRANT}\n\n{NOTICE}\n", ["MIT"]), (f"{GRANT} {NOTICE}", ["MIT"]),
+    (APACHE, ["Apache-2.0"]), (BSD, ["BSD-2-Clause"]), (BSD + NEITHER, ["BSD-2-Clause", "BSD-3-Clause"]), (GPL, ["GPL-3.0"]), (MPL, ["MPL-2.0"]),
+]
+
+
+def test_official_notices_in_lines(spark):
+    rows, wanted = [], []
+    for text, names in NOTICES:
+        for leader in ("", "# ", " * ", "// ", "rem "):
+            for end in ("\n", "\r\n"):
+                for width in (72, 40):
+                    lines = [line for part in text.split("\n") for line in textwrap.wrap(part, width) or [""]]
+                    rows.append((len(rows), end.join((leader + line).rstrip() if leader != "rem " else leader + line for line in lines)))
+                    wanted.append(names)
+    found = licences.recognised(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert [r.licences for r in sorted(found, key=lambda r: r.doc_id)] == wanted
+
+
+def test_ends_of_sentences(spark):
+    rows = [
+        ("released under\n\nthe MIT license", []), ("released under. the MIT license", []), ("released\nunder the\r\nMIT license", [1, 13]),
+        ("Licensed under the Apache License, Version 2.0\n(the License)", [2, 30]), ("MIT license\nMIT license", [13, 13]),
+    ]
+    frame = spark.createDataFrame([(i, text) for i, (text, _) in enumerate(rows)], "doc_id long, text string")
+    found = licences.recognised(frame).collect()
+    assert [r.sentences for r in sorted(found, key=lambda r: r.doc_id)] == [ids for _, ids in rows]
+
+
+def test_marks_of_other_sentences(spark):
+    frame = spark.createDataFrame([("All rights reserved.",), ("Nothing.",)], "text string")
+    found = licences.recognised(frame, {7: "all rights reserved"}, (("none", (7,)),)).collect()
+    assert sorted((r.text, r.licences) for r in found) == [("All rights reserved.", ["none"]), ("Nothing.", [])]
