@@ -120,4 +120,81 @@ SELECT d.doc_id, coalesce(licences, '') AS licences, coalesce(numbers, '') AS se
 FROM documents d LEFT JOIN lines USING (doc_id) LEFT JOIN named USING (doc_id)
 """
 
-ORACLES = {"op2_pfair_mixing": OP2, "op5_temporal_url_filter": OP5, "op10_licence_sentences": OP10}
+OP11 = """
+WITH RECURSIVE table_of_crc AS (
+  SELECT b::UINTEGER AS b, list_reduce(range(8), lambda a, _: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END, b) AS v
+  FROM range(256) t(b)
+),
+crc AS (SELECT list(v ORDER BY b) AS v FROM table_of_crc),
+docs AS (
+  SELECT row_number() OVER () AS row, doc_id, coalesce('=' || lang, '') AS tree,
+    CASE WHEN doc_id IS NULL THEN '-' ELSE strlen(doc_id::VARCHAR) || ':' || doc_id::VARCHAR END
+      || CASE WHEN source IS NULL THEN '-' ELSE strlen(source) || ':' || source END
+      || CASE WHEN lang IS NULL THEN '-' ELSE strlen(lang) || ':' || lang END AS before,
+    n_chars, CASE WHEN text IS NULL THEN '-' ELSE strlen(text) || ':' || text END AS after,
+    xor(list_reduce(list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT),
+        lambda a, c: xor(a >> 8, crc.v[(xor(a, c) & 255) + 1]), 4294967295), 4294967295) AS number
+  FROM documents, crc
+),
+leaves AS (
+  SELECT row, doc_id, tree,
+    sha256(before || CASE WHEN n_chars IS NULL THEN '-' ELSE strlen(n_chars::VARCHAR) || ':' || n_chars END || after) AS leaf,
+    CASE WHEN n_chars IS NOT NULL AND number % 7 = 0
+      THEN sha256(before || strlen((n_chars + 1)::VARCHAR) || ':' || (n_chars + 1) || after) END AS tampered
+  FROM docs
+),
+ordered AS (
+  SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf, row) - 1 AS place,
+    count(*) OVER (PARTITION BY tree) AS total
+  FROM leaves
+),
+nodes AS (
+  SELECT tree, 0 AS level, place, total, leaf AS digest FROM ordered
+  UNION ALL
+  SELECT tree, level + 1, place // 2, (total + 1) // 2, sha256(string_agg(digest, '' ORDER BY place))
+  FROM nodes WHERE total > 1 GROUP BY tree, level, place // 2, total
+),
+subroots AS (
+  SELECT tree, level AS height, digest, row_number() OVER (ORDER BY tree) - 1 AS place, count(*) OVER () AS total
+  FROM nodes WHERE total = 1
+),
+upper AS (
+  SELECT 0 AS level, place, total, digest FROM subroots
+  UNION ALL
+  SELECT level + 1, place // 2, (total + 1) // 2, sha256(string_agg(digest, '' ORDER BY place))
+  FROM upper WHERE total > 1 GROUP BY level, place // 2, total
+),
+root AS (SELECT digest AS root, level AS height FROM upper WHERE total = 1),
+steps AS (
+  SELECT o.row, l.level AS rung, (o.place >> l.level) % 2 AS is_right, s.digest AS other
+  FROM ordered o JOIN subroots t USING (tree) JOIN range(64) l(level) ON l.level < t.height
+  LEFT JOIN nodes s ON s.tree = o.tree AND s.level = l.level AND s.place = xor(o.place >> l.level, 1)
+  UNION ALL
+  SELECT o.row, 64 + l.level, (t.place >> l.level) % 2, s.digest
+  FROM ordered o JOIN subroots t USING (tree), root r JOIN range(64) l(level) ON l.level < r.height
+  LEFT JOIN upper s ON s.level = l.level AND s.place = xor(t.place >> l.level, 1)
+),
+paths AS (SELECT row, list({'right': is_right, 'other': coalesce(other, '')} ORDER BY rung) AS path FROM steps GROUP BY row),
+proven AS (
+  SELECT o.doc_id, o.leaf, t.digest AS subroot, r.root,
+    list_transform(coalesce(p.path, []), lambda s: s.other) AS others,
+    coalesce(p.path, []) AS path, coalesce(o.tampered, o.leaf) AS now
+  FROM ordered o JOIN subroots t USING (tree) LEFT JOIN paths p ON p.row = o.row, root r
+),
+folded AS (
+  SELECT *, list_reduce(list_transform(path, lambda s: {'v': s.other, 'right': s.right}),
+      lambda a, s: {'v': sha256(CASE WHEN s.right = 1 THEN s.v || a.v ELSE a.v || s.v END), 'right': 0::BIGINT},
+      {'v': now, 'right': 0::BIGINT}).v AS folded_root
+  FROM proven
+)
+SELECT doc_id, leaf, subroot, root, sha256(array_to_string(others, '')) AS proof_sha256, folded_root,
+       folded_root = root AS verified
+FROM folded
+"""
+
+ORACLES = {
+    "op2_pfair_mixing": OP2,
+    "op5_temporal_url_filter": OP5,
+    "op10_licence_sentences": OP10,
+    "op11_merkle_manifest": OP11,
+}

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hourtally import session
-from hourtally.llm import decontaminate, language, licences, minhash, mixing, oracles, quality, suffixes, tokens, urls, vectors
+from hourtally.llm import decontaminate, language, licences, merkle, minhash, mixing, oracles, quality, suffixes, tokens, urls, vectors
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -124,6 +124,10 @@ def op10_licence_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.array_join("licences", ",").alias("licences"), numbers.alias("sentences"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_cross_parsing_language": op1_cross_parsing_language,
     "op2_pfair_mixing": op2_pfair_mixing,
@@ -135,6 +139,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
     "op9_product_quantised_dedup": op9_product_quantised_dedup,
     "op10_licence_sentences": op10_licence_sentences,
+    "op11_merkle_manifest": op11_merkle_manifest,
 }
 
 ORACLES: dict[str, str] = dict(oracles.ORACLES)
