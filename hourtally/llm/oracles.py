@@ -192,9 +192,53 @@ SELECT doc_id, leaf, subroot, root, sha256(array_to_string(others, '')) AS proof
 FROM folded
 """
 
+def _clustering_sql() -> str:
+    """Rounds are written out one after another."""
+    steps = [
+        """kept AS MATERIALIZED (
+  SELECT row_number() OVER () AS row, vec_id, embedding FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x::DOUBLE))) = 0
+)""",
+        """parts AS MATERIALIZED (
+  SELECT row, unnest(range(64)) AS place, floor(256 * unnest(embedding)::DOUBLE)::BIGINT AS q FROM kept
+)""",
+        """chosen AS (
+  SELECT row, row_number() OVER (ORDER BY sha256('2:' || vec_id) NULLS LAST, vec_id, embedding) - 1 AS cluster FROM kept
+  QUALIFY cluster < 40
+)""",
+        "centres_0 AS MATERIALIZED (SELECT cluster, place, q FROM chosen JOIN parts USING (row))",
+    ]
+    for k in range(6):
+        steps.append(f"""nearest_{k} AS MATERIALIZED (
+  SELECT row, min({{'d': d, 'cluster': cluster}}) AS best FROM (
+    SELECT row, cluster, sum((p.q - c.q) * (p.q - c.q))::BIGINT AS d
+    FROM parts p JOIN centres_{k} c USING (place) GROUP BY row, cluster
+  ) GROUP BY row
+)""")
+        if k < 5:
+            steps.append(f"""sums_{k} AS MATERIALIZED (
+  SELECT best.cluster AS cluster, place, sum(q)::BIGINT AS s, count(*) AS n
+  FROM nearest_{k} JOIN parts USING (row) GROUP BY best.cluster, place
+)""")
+            steps.append(f"""centres_{k + 1} AS MATERIALIZED (
+  SELECT c.cluster, c.place, coalesce((s - (s % n + n) % n) // n, c.q) AS q
+  FROM centres_{k} c LEFT JOIN sums_{k} m ON m.cluster = c.cluster AND m.place = c.place
+)""")
+    steps.append("""digests AS (
+  SELECT cluster, sha256(string_agg(q::VARCHAR, ',' ORDER BY place)) AS centroid_sha256 FROM centres_5 GROUP BY cluster
+)""")
+    return "WITH " + ",\n".join(steps) + """
+SELECT vec_id, best.cluster::INTEGER AS cluster, best.d AS distance,
+       (sum(best.d) OVER (PARTITION BY best.cluster))::BIGINT AS cluster_inertia, (sum(best.d) OVER ())::BIGINT AS inertia,
+       centroid_sha256
+FROM kept JOIN nearest_5 USING (row) JOIN digests ON digests.cluster = best.cluster
+"""
+
+
 ORACLES = {
     "op2_pfair_mixing": OP2,
     "op5_temporal_url_filter": OP5,
     "op10_licence_sentences": OP10,
     "op11_merkle_manifest": OP11,
+    "op13_hilbert_clustering": _clustering_sql(),
 }

@@ -12,7 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hourtally import session
-from hourtally.llm import decontaminate, language, licences, merkle, minhash, mixing, oracles, quality, suffixes, tokens, urls, vectors
+from hourtally.llm import (
+    decontaminate, language, licences, merkle, minhash, mixing, oracles, quality, suffixes, tokens, urls, vectors, zones,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -128,6 +130,10 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.manifest(_table(spark, sf_dir, "documents"))
 
 
+def op13_hilbert_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return zones.with_inertia(*zones.clustered(_table(spark, sf_dir, "embeddings")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_cross_parsing_language": op1_cross_parsing_language,
     "op2_pfair_mixing": op2_pfair_mixing,
@@ -140,6 +146,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_product_quantised_dedup": op9_product_quantised_dedup,
     "op10_licence_sentences": op10_licence_sentences,
     "op11_merkle_manifest": op11_merkle_manifest,
+    "op13_hilbert_clustering": op13_hilbert_clustering,
 }
 
 ORACLES: dict[str, str] = dict(oracles.ORACLES)
