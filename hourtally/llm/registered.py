@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from hourtally import session
 from hourtally.llm import (
-    decontaminate, language, licences, merkle, minhash, mixing, oracles, quality, suffixes, tokens, urls, vectors, zones,
+    decontaminate, language, licences, merkle, minhash, mixing, oracles, quality, suffixes, tokens, toxicity, urls, vectors, zones,
 )
 
 
@@ -130,6 +130,17 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.manifest(_table(spark, sf_dir, "documents"))
 
 
+def op12_kneser_ney_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    found = toxicity.scored(docs, toxicity.fit(docs, _table(spark, sf_dir, "labels")))
+    return found.select(
+        "doc_id",
+        toxicity.held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
 def op13_hilbert_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
     return zones.with_inertia(*zones.clustered(_table(spark, sf_dir, "embeddings")))
 
@@ -146,6 +157,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_product_quantised_dedup": op9_product_quantised_dedup,
     "op10_licence_sentences": op10_licence_sentences,
     "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_kneser_ney_toxicity": op12_kneser_ney_toxicity,
     "op13_hilbert_clustering": op13_hilbert_clustering,
 }
 
