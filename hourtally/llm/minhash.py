@@ -4,13 +4,14 @@ A document is the set of its distinct 5-word shingles. Two permutations of the 3
 numbers make all coordinates of its signature: the first is applied once, the second is
 shifted around by one place more for every coordinate. Bands of four coordinates bring
 candidates together (at the least similarity that links, 0.75, all 32 bands fail for
-about 5 pairs in a million), and every link is confirmed on the full sets.
+about 5 pairs in a million).
 
-Members of a band's bucket are compared by their signatures. Buckets too large for one task
-are dealt out first, and only the best partners are proposed; then, for what is not connected
-yet, each member outside the bucket's largest class is held against every member, block by
-block, in rounds that propose more partners in each other class every time, until no pair of
-different classes that may link is left unconfirmed. What is connected is never compared again.
+Signatures and sizes join the members of buckets to components that hold all that may link. Then every
+component gets the texts of its members once, and one task confirms all of them on their full sets. A component too
+large for a task is dealt out in blocks; after each has been confirmed, members outside the component's largest
+class are held against the other blocks, first by signatures, then by full sets. No pair leaves a task
+unless it links, and then only if it connects what was not connected there; so there are always
+fewer links than members, however many texts are alike without linking.
 
 Nulls and empty texts have no set and link with nothing. Rows with equal sets are one
 class before any comparison, however many they are. Repeated rows and repeated ids are
@@ -19,7 +20,7 @@ rows of their own. Extra columns are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -32,15 +33,12 @@ from hourtally.llm import graph, stored, textbytes
 BANDS = 32
 ROWS = 4
 COORDINATES = BANDS * ROWS
-# Members of a bucket that one task compares with each other.
+# Members of a bucket or of a block that one task compares with each other, and shingles of a block.
 TOGETHER = 512
+SHINGLES = 1 << 22
 # A link shows at least this share of equal coordinates: six standard deviations below
 # the least similarity that links.
 LEAST_SEEN = 0.52
-# Best partners that a member proposes besides the links that span the bucket, and then in
-# each other class in the first of the rounds; and how fast they grow from round to round.
-BEST = 4
-GROWTH = 8
 
 SIGNED = "row_key long, doc_id long, n_shingles long, set_1 long, set_2 long, bands array<long>, coords binary"
 
@@ -103,226 +101,269 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _forest(coords: np.ndarray) -> Iterator[tuple[int, int, float]]:
-    """Candidate links in a bucket: those that span it at the greatest similarities, and
-    each member's best partners. Their number is in proportion to the members."""
-    count = len(coords)
-    seen = np.empty((count, count), np.float32)
-    for i in range(count):
-        seen[i] = (coords == coords[i]).mean(axis=1)
-    np.fill_diagonal(seen, -1)
-    chosen = set()
-    best = np.argpartition(seen, -min(BEST, count - 1), axis=1)[:, -min(BEST, count - 1) :]
-    for i in range(count):
-        chosen.update((min(i, j), max(i, j)) for j in best[i].tolist())
-    reach, source = seen[0].copy(), np.zeros(count, np.int64)
-    inside = np.zeros(count, bool)
-    inside[0] = True
-    reach[0] = -2
-    for _ in range(count - 1):
-        j = int(reach.argmax())
-        i = int(source[j])
-        chosen.add((min(i, j), max(i, j)))
-        inside[j] = True
-        closer = seen[j] > reach
-        reach[closer] = seen[j][closer]
-        source[closer] = j
-        reach[inside] = -2
-    for i, j in chosen:
-        if seen[i, j] >= LEAST_SEEN:
-            yield i, j, float(seen[i, j])
-
-
-def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows come sorted by bucket; a bucket may go on in the next batch."""
-
-    def found(keys, parts, nodes, coords):
-        edges = np.flatnonzero((keys[1:] != keys[:-1]) | (parts[1:] != parts[:-1])) + 1
-        bounds = np.concatenate([[0], edges, [len(keys)]])
-        a, b, seen = [], [], []
-        for lo, hi in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
-            if hi - lo > 1:
-                for i, j, share in _forest(coords[lo:hi]):
-                    a.append(nodes[lo + i])
-                    b.append(nodes[lo + j])
-                    seen.append(share)
-        columns = [pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(seen, pa.float32())]
-        return pa.RecordBatch.from_arrays(columns, names=["a", "b", "seen"])
+def _spanning(count: int, near: Callable[[int, np.ndarray], np.ndarray]) -> Iterator[tuple[int, int]]:
+    """Links that connect all that is near, fewer than members; ``near(i, others)`` says which are."""
+    left = np.arange(count)
+    while len(left) > 1:
+        queue, left = [int(left[0])], left[1:]
+        while queue and len(left):
+            i = queue.pop()
+            hit = near(i, left)
+            if hit.any():
+                for j in left[hit].tolist():
+                    yield i, j
+                    queue.append(j)
+                left = left[~hit]
 
+
+def _may_link(coords: np.ndarray, sizes: np.ndarray, i: int, others: np.ndarray) -> np.ndarray:
+    """Which of others may link with member ``i``: sizes are not too different, nor are signatures."""
+    fits = (4 * sizes[others] >= 3 * sizes[i]) & (4 * sizes[i] >= 3 * sizes[others])
+    fits[fits] = (coords[others[fits]] == coords[i]).sum(axis=1) >= LEAST_SEEN * COORDINATES
+    return fits
+
+
+def _groups(batches: Iterator[pa.RecordBatch], keys: tuple[str, ...]) -> Iterator[tuple[pa.RecordBatch, list[int]]]:
+    """Rows come sorted by keys; batches of whole groups, and where each group begins (and the last ends)."""
     held = None
     for batch in batches:
         if not batch.num_rows:
             continue
-        rows = [batch.column(n).to_numpy(zero_copy_only=False) for n in ("key", "part", "node")]
-        joined = b"".join(batch.column("coords").to_pylist())
-        rows.append(np.frombuffer(joined, np.uint8).reshape(-1, COORDINATES))
         if held is not None:
-            rows = [np.concatenate(pair) for pair in zip(held, rows, strict=True)]
-        keys, parts = rows[:2]
-        last = int(np.flatnonzero((keys == keys[-1]) & (parts == parts[-1]))[0])
-        if last:
-            yield found(*(r[:last] for r in rows))
-        held = [r[last:] for r in rows]
+            batch = pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
+        spot = np.stack([batch.column(k).to_numpy() for k in keys], axis=1)
+        edges = np.flatnonzero((spot[1:] != spot[:-1]).any(axis=1)) + 1
+        if len(edges):
+            yield batch.slice(0, int(edges[-1])), [0, *edges.tolist()]
+            held = batch.slice(int(edges[-1]))
+        else:
+            held = batch
     if held is not None:
-        yield found(*held)
-
-
-def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        sides = []
-        for name in ("text_a", "text_b"):
-            # A text is in many pairs; it is taken apart once.
-            coded, sets = batch.column(name).dictionary_encode(), []
-            for block in textbytes.blocks(coded.dictionary):
-                sets.extend(textbytes.shingle_sets(block))
-            sides.append([sets[k] for k in coded.indices.to_pylist()])
-        linked = []
-        for x, y in zip(*sides, strict=True):
-            common = len(x) + len(y) - len(np.union1d(x, y))
-            linked.append(100 * common >= 75 * (len(x) + len(y) - common))
-        yield batch.select(["a", "b"]).filter(pa.array(linked, pa.bool_()))
-
-
-def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """Of pairs of row keys ``a, b`` those whose full sets link. Texts are ``row_key, text``."""
-    nodes = pairs.select(F.explode(F.array("a", "b")).alias("row_key")).distinct()
-    # The nodes grow with the documents, so they are not broadcast at any size.
-    wanted = texts.join(nodes.hint("merge"), "row_key", "left_semi").dropDuplicates(["row_key"])
-    side_a = wanted.select(F.col("row_key").alias("a"), F.col("text").alias("text_a"))
-    side_b = wanted.select(F.col("row_key").alias("b"), F.col("text").alias("text_b"))
-    both = pairs.select("a", "b").join(side_a, "a").join(side_b, "b").select("a", "b", "text_a", "text_b")
-    return both.mapInArrow(_confirm, "a long, b long")
-
-
-def _held_against(most: int):
-    """Rows come sorted by bucket, block and role: first a block's members, then queries. A
-    query proposes its ``most`` best partners in each other class; ``more`` says that there are others."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        place, parts, members = None, [], None
-        for whole in batches:
-            for lo in range(0, whole.num_rows, 256):
-                batch = whole.slice(lo, 256)
-                keys, blocks, roles, nodes, classes = (
-                    batch.column(n).to_numpy() for n in ("key", "block", "role", "node", "class")
-                )
-                coords = np.frombuffer(b"".join(batch.column("coords").to_pylist()), np.uint8).reshape(-1, COORDINATES)
-                spot = np.stack([keys, blocks, roles], axis=1)
-                edges = np.flatnonzero((spot[1:] != spot[:-1]).any(axis=1)) + 1
-                a, b, shares, more = [], [], [], []
-                for at, upto in zip([0, *edges.tolist()], [*edges.tolist(), len(keys)], strict=True):
-                    here = (int(keys[at]), int(blocks[at]))
-                    if here != place:
-                        place, parts, members = here, [], None
-                    if roles[at] == 0:
-                        parts.append((nodes[at:upto], classes[at:upto], coords[at:upto]))
-                        continue
-                    if not parts:
-                        continue
+        yield held, [0, held.num_rows]
+
+
+def _signed_alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Buckets, one after another, to links that connect what may link in each."""
+    for batch, bounds in _groups(batches, ("key",)):
+        nodes, sizes = batch.column("node").to_numpy(), batch.column("n_shingles").to_numpy()
+        coords = np.frombuffer(b"".join(batch.column("coords").to_pylist()), np.uint8).reshape(-1, COORDINATES)
+        first, count = np.array(bounds[:-1]), np.diff(bounds)
+        two = first[count == 2]
+        fits = (4 * sizes[two] >= 3 * sizes[two + 1]) & (4 * sizes[two + 1] >= 3 * sizes[two])
+        two = two[fits & ((coords[two] == coords[two + 1]).sum(axis=1) >= LEAST_SEEN * COORDINATES)]
+        a, b = [nodes[two]], [nodes[two + 1]]
+        for lo, n in zip(first[count > 2].tolist(), count[count > 2].tolist(), strict=True):
+            some, size, mine = coords[lo : lo + n], sizes[lo : lo + n], nodes[lo : lo + n]
+            found = list(_spanning(n, lambda i, others, c=some, s=size: _may_link(c, s, i, others)))
+            a.append(mine[[i for i, _ in found]])
+            b.append(mine[[j for _, j in found]])
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], names=["a", "b"])
+
+
+def common_sizes(some: list[np.ndarray], others: list[np.ndarray]) -> np.ndarray:
+    """The sizes of the intersections of sorted sets of one list with those of another."""
+    out = np.zeros((len(some), len(others)), np.float64)
+    if len(some) * len(others) <= 64:
+        for i, x in enumerate(some):
+            for j, y in enumerate(others):
+                out[i, j] = len(np.intersect1d(x, y, assume_unique=True))
+        return out
+    theirs = np.concatenate(others)
+    values, theirs = np.unique(theirs, return_inverse=True)
+    mine = np.concatenate(some)
+    place = np.minimum(np.searchsorted(values, mine), len(values) - 1)
+    known = values[place] == mine
+    row, place = np.repeat(np.arange(len(some)), [len(x) for x in some])[known], place[known]
+    # Only what both lists hold counts; it is taken in so many columns at a time.
+    both, place = np.unique(place, return_inverse=True)
+    column = np.minimum(np.searchsorted(both, theirs), max(0, len(both) - 1))
+    shared = both[column] == theirs if len(both) else np.zeros(len(theirs), bool)
+    owner, column = np.repeat(np.arange(len(others)), [len(y) for y in others])[shared], column[shared]
+    mine_order, their_order = np.argsort(place, kind="stable"), np.argsort(column, kind="stable")
+    row, place, owner, column = row[mine_order], place[mine_order], owner[their_order], column[their_order]
+    width = max(64, (1 << 22) // (len(some) + len(others)))
+    for lo in range(0, len(both), width):
+        parts = []
+        for size, who, what in ((len(some), row, place), (len(others), owner, column)):
+            at, upto = np.searchsorted(what, [lo, lo + width])
+            part = np.zeros((size, min(width, len(both) - lo)), np.float32)
+            part[who[at:upto], what[at:upto] - lo] = 1
+            parts.append(part)
+        out += parts[0] @ parts[1].T
+    return out
+
+
+def links_between(some: list[np.ndarray], others: list[np.ndarray]) -> np.ndarray:
+    """Which sets of one list link with which of another."""
+    common = common_sizes(some, others)
+    sizes = np.array([len(x) for x in some])[:, None] + np.array([len(y) for y in others])[None, :]
+    return 100 * common >= 75 * (sizes - common)
+
+
+def _sets_of(texts: pa.Array) -> list[np.ndarray]:
+    return [s for block in textbytes.blocks(texts) for s in textbytes.shingle_sets(block)]
+
+
+def _confirmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Blocks of texts, one after another, to confirmed links that connect what links in each."""
+    for batch, bounds in _groups(batches, ("component", "block")):
+        nodes, a, b = batch.column("node").to_numpy(), [], []
+        for lo, hi in zip(bounds[:-1], bounds[1:], strict=True):
+            sets = _sets_of(batch.column("text").slice(lo, hi - lo))
+            linked = links_between(sets, sets)
+            for i, j in _spanning(hi - lo, lambda i, others, m=linked: m[i, others]):
+                a.append(int(nodes[lo + i]))
+                b.append(int(nodes[lo + j]))
+        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+
+def _with_members(batches: Iterator[pa.RecordBatch], read) -> Iterator[tuple[tuple, tuple, list]]:
+    """Rows come sorted by component, block and role: the members of each block, and batches of its queries.
+
+    ``read(batch)`` gives columns, lists or arrays, of which the first two are nodes and classes.
+    """
+    place, parts, members = None, [], None
+    for whole in batches:
+        for at in range(0, whole.num_rows, 256):
+            batch = whole.slice(at, 256)
+            spot = np.stack([batch.column(k).to_numpy() for k in ("component", "block", "role")], axis=1)
+            edges = np.flatnonzero((spot[1:] != spot[:-1]).any(axis=1)) + 1
+            for lo, hi in zip([0, *edges.tolist()], [*edges.tolist(), len(spot)], strict=True):
+                here, columns = (int(spot[lo, 0]), int(spot[lo, 1])), read(batch.slice(lo, hi - lo))
+                if here != place:
+                    place, parts, members = here, [], None
+                if spot[lo, 2] == 0:
+                    parts.append(columns)
+                elif parts:
                     if members is None:
-                        members = [np.concatenate(x) for x in zip(*parts, strict=True)]
-                    for q in range(at, upto):
-                        seen = (members[2] == coords[q]).mean(axis=1)
-                        near = np.flatnonzero((seen >= LEAST_SEEN) & (members[1] != classes[q]))
-                        taken: dict[int, list[int]] = {}
-                        for i in near[np.argsort(-seen[near], kind="stable")].tolist():
-                            taken.setdefault(int(members[1][i]), []).append(i)
-                        for others in taken.values():
-                            for i in others[:most]:
-                                a.append(int(nodes[q]))
-                                b.append(int(members[0][i]))
-                                shares.append(float(seen[i]))
-                                more.append(len(others) > most)
-                columns = [pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(shares, pa.float32()), pa.array(more, pa.bool_())]
-                yield pa.RecordBatch.from_arrays(columns, names=["a", "b", "seen", "more"])
-
-    return run
-
-
-def _ordered(found: DataFrame) -> DataFrame:
-    ends = found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "seen")
-    return ends.groupBy("a", "b").agg(F.max("seen").alias("seen"))
-
-
-def buckets(signed: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """One representative of each set (``node, coords``), and the buckets of two or more
-    (``key, node, size``)."""
+                        members = [sum(c, []) if isinstance(c[0], list) else np.concatenate(c) for c in zip(*parts, strict=True)]
+                    yield here, members, columns
+
+
+def _read_signed(batch: pa.RecordBatch) -> list:
+    coords = np.frombuffer(b"".join(batch.column("coords").to_pylist()), np.uint8).reshape(-1, COORDINATES)
+    return [*(batch.column(n).to_numpy() for n in ("node", "class", "n_shingles")), coords]
+
+
+def _reached(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The blocks in which a query may link with a member of another class."""
+    for here, members, queries in _with_members(batches, _read_signed):
+        found = []
+        for node, own, size, coords in zip(*queries, strict=True):
+            others = np.flatnonzero((members[1] != own) & (4 * members[2] >= 3 * size) & (4 * size >= 3 * members[2]))
+            if ((members[3][others] == coords).sum(axis=1) >= LEAST_SEEN * COORDINATES).any():
+                found.append(int(node))
+        places = [pa.array([v] * len(found), k) for v, k in zip(here, (pa.int64(), pa.int32()), strict=True)]
+        yield pa.RecordBatch.from_arrays([*places, pa.array(found, pa.int64())], names=["component", "block", "node"])
+
+
+def _confirmed_across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Queries against the members of blocks: confirmed links that connect different classes."""
+    place, top = None, {}
+
+    def root(k: int) -> int:
+        while top.get(k, k) != k:
+            k = top[k]
+        return k
+
+    def read(batch: pa.RecordBatch) -> list:
+        return [batch.column("node").to_numpy(), batch.column("class").to_numpy(), _sets_of(batch.column("text"))]
+
+    for here, members, queries in _with_members(batches, read):
+        if here != place:
+            place, top = here, {}
+        a, b = [], []
+        linked = links_between(queries[2], members[2]) & (queries[1][:, None] != members[1][None, :])
+        for i, j in np.argwhere(linked).tolist():
+            one, two = root(int(queries[1][i])), root(int(members[1][j]))
+            if one != two:
+                top[one] = two
+                a.append(int(queries[0][i]))
+                b.append(int(members[0][j]))
+        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+
+def representatives(signed: DataFrame) -> DataFrame:
+    """One row of each set: ``node, n_shingles, bands, coords``."""
     sets = signed.where("n_shingles > 0").groupBy("set_1", "set_2", "n_shingles")
     shown = sets.agg(F.min("row_key").alias("node"), F.first("bands").alias("bands"), F.first("coords").alias("coords"))
-    shown = stored.written(shown.select("node", "bands", "coords"), "sets")
+    return stored.written(shown.select("node", "n_shingles", "bands", "coords"), "sets")
+
+
+def neighbourhoods(shown: DataFrame) -> DataFrame:
+    """``node, component`` of all sets that may link with another one: what may link is in one component.
+
+    In a bucket of up to ``TOGETHER`` members signatures tell what may link; the members of a larger
+    one go together. Only links that span a bucket leave it.
+    """
     bands = shown.select("node", F.explode("bands").alias("key"))
-    sizes = stored.written(bands.groupBy("key").agg(F.count("*").alias("size")).where("size > 1"), "buckets")
+    sizes = stored.written(bands.groupBy("key").agg(F.count("*").alias("size"), F.min("node").alias("hub")).where("size > 1"), "buckets")
     # Both sides grow with the documents, so neither is broadcast at any size.
-    members = stored.written(bands.join(sizes.hint("merge"), "key").select("key", "node", "size"), "members")
-    return shown.select("node", "coords"), members
-
-
-def candidate_pairs(shown: DataFrame, members: DataFrame) -> DataFrame:
-    """``a, b, seen`` between representatives, ``a < b``; a large bucket is dealt out."""
-    part = F.pmod(F.xxhash64("key", "node"), F.ceil(F.col("size") / TOGETHER)).cast("int")
-    parts = members.select("key", part.alias("part"), "node").join(shown, "node")
-    dealt = parts.repartition("key", "part").sortWithinPartitions("key", "part", "node")
-    return _ordered(dealt.mapInArrow(_candidates, "a long, b long, seen float"))
-
-
-def missed_pairs(shown: DataFrame, members: DataFrame, classes: DataFrame, most: int) -> DataFrame:
-    """``a, b, more``: candidates of different classes, ``most`` partners of a member in each
-    other class of a block; ``more`` says that there are others."""
-    # In smaller buckets every pair has been proposed at once.
-    open_ = members.where(F.col("size") > BEST + 1)
-    labels = classes.hint("merge")
-    counts = open_.join(labels, "node", "left").groupBy("key", F.coalesce("component", "node").alias("class")).agg(F.count("*").alias("n"))
-    main = counts.groupBy("key").agg(F.max(F.struct("n", "class")).alias("top"), F.count("*").alias("classes"))
-    # Only buckets of several classes can hold a pair that is not connected.
-    main = stored.written(main.where("classes > 1").select("key", F.col("top.class").alias("main")), "main")
-    several = open_.join(main.hint("merge"), "key").join(labels, "node", "left")
-    several = several.withColumn("class", F.coalesce("component", "node")).drop("component")
-    several = stored.written(several.join(shown, "node"), "several")
-    blocks = F.ceil(F.col("size") / TOGETHER).cast("int")
-    own = F.pmod(F.xxhash64("key", "node"), blocks).cast("int")
-    as_member = several.select("key", own.alias("block"), F.lit(0).alias("role"), "node", "class", "coords")
+    members = stored.written(bands.join(sizes.hint("merge"), "key").select("key", "node", "size", "hub"), "members")
+    small = members.where(F.col("size") <= TOGETHER).select("key", "node")
+    signed = small.join(shown.select("node", "n_shingles", "coords").hint("merge"), "node")
+    dealt = signed.select("key", "node", "n_shingles", "coords").repartition("key").sortWithinPartitions("key")
+    alike = dealt.mapInArrow(_signed_alike, "a long, b long")
+    together = members.where((F.col("size") > TOGETHER) & (F.col("node") != F.col("hub"))).select(F.col("hub").alias("a"), F.col("node").alias("b"))
+    joined = stored.written(alike.unionAll(together), "alike")
+    stored.released(sizes, members)
+    return graph.components(joined)
+
+
+def in_blocks(near: DataFrame, shown: DataFrame, texts: DataFrame) -> DataFrame:
+    """``component, block, blocks, node, text``: components in blocks that one task confirms at a time."""
+    placed = near.join(shown.select("node", "n_shingles").hint("merge"), "node")
+    placed = stored.written(placed, "placed")
+    many = F.greatest(F.ceil(F.count("*") / TOGETHER), F.ceil(F.sum("n_shingles") / SHINGLES)).cast("int")
+    counts = placed.groupBy("component").agg(many.alias("blocks"))
+    placed = placed.join(counts.hint("merge"), "component")
+    block = F.pmod(F.xxhash64("component", "node"), F.col("blocks")).cast("int").alias("block")
+    placed = placed.select("component", block, "blocks", "node").hint("merge")
+    held = texts.join(placed, F.col("row_key") == F.col("node")).dropDuplicates(["row_key"])
+    return stored.written(held.select("component", "block", "blocks", "node", "text"), "blocks")
+
+
+def across_blocks(held: DataFrame, shown: DataFrame, links: DataFrame) -> DataFrame:
+    """Links between blocks of one component, given those inside.
+
+    What is connected is never compared again: members outside a component's largest class are
+    held against all other blocks, by signatures, then, where one may link, by texts.
+    """
+    large = held.where("blocks > 1").select("component", "block", "blocks", "node")
+    named = large.join(graph.components(links).withColumnRenamed("component", "class").hint("merge"), "node", "left")
+    named = stored.written(named.withColumn("class", F.coalesce("class", "node")), "classes")
+    counts = named.groupBy("component", "class").agg(F.count("*").alias("n"))
+    main = counts.groupBy("component").agg(F.max(F.struct("n", "class")).alias("top"), F.count("*").alias("classes"))
+    main = stored.written(main.where("classes > 1").select("component", F.col("top.class").alias("main")), "main")
+    several = named.join(main.hint("merge"), "component").join(shown.select("node", "n_shingles", "coords").hint("merge"), "node")
+    several = stored.written(several, "several")
+    columns = ("node", "class", "n_shingles", "coords")
+    as_member = several.select("component", "block", F.lit(0).alias("role"), *columns)
+    elsewhere = F.filter(F.sequence(F.lit(0), F.col("blocks") - 1), lambda k: k != F.col("block"))
     outside = several.where(F.col("class") != F.col("main"))
-    every = F.explode(F.sequence(F.lit(0), blocks - 1))
-    as_query = outside.select("key", every.alias("block"), F.lit(1).alias("role"), "node", "class", "coords")
-    met = as_member.unionAll(as_query).repartition("key", "block").sortWithinPartitions("key", "block", "role")
-    held = met.mapInArrow(_held_against(most), "a long, b long, seen float, more boolean")
-    ends = held.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "more")
-    return ends.groupBy("a", "b").agg(F.max("more").alias("more"))
+    as_query = outside.select("component", F.explode(elsewhere).alias("block"), F.lit(1).alias("role"), *columns)
+    met = as_member.unionAll(as_query).repartition("component", "block").sortWithinPartitions("component", "block", "role")
+    reached = stored.written(met.mapInArrow(_reached, "component long, block int, node long"), "reached")
+    labels = several.select("node", "class").hint("merge")
+    queries = reached.join(labels, "node").select("component", "block", F.lit(1).alias("role"), "node", "class")
+    touched = reached.select("component", "block").distinct().hint("merge")
+    members = several.join(touched, ["component", "block"]).select("component", "block", F.lit(0).alias("role"), "node", "class")
+    texts = held.where("blocks > 1").select("node", "text").hint("merge")
+    met = members.unionAll(queries).join(texts, "node").select("component", "block", "role", "node", "class", "text")
+    met = met.repartition("component", "block").sortWithinPartitions("component", "block", "role")
+    return met.mapInArrow(_confirmed_across, "a long, b long")
 
 
 def links(signed: DataFrame, texts: DataFrame) -> DataFrame:
-    """Confirmed links ``a, b`` that connect all that is linked.
-
-    First every node's best candidate is confirmed. Of the rest, only pairs that are not
-    connected by then need to be. Then come rounds until no candidate pair is both
-    unconfirmed and not connected.
-    """
-    shown, members = buckets(signed)
-    pairs = stored.written(candidate_pairs(shown, members), "pairs")
-    ends = pairs.select("a", "b", "seen", F.col("a").alias("node")).unionAll(
-        pairs.select("a", "b", "seen", F.col("b").alias("node"))
-    )
-    best = ends.groupBy("node").agg(F.max(F.struct("seen", "a", "b")).alias("top"))
-    first = best.select("top.a", "top.b").distinct()
-    sure = stored.written(confirmed(first, texts), "links")
-    classes = graph.components(sure)
-    of_a = classes.select(F.col("node").alias("a"), F.col("component").alias("class_a"))
-    of_b = classes.select(F.col("node").alias("b"), F.col("component").alias("class_b"))
-    rest = pairs.join(first, ["a", "b"], "left_anti").join(of_a, "a", "left").join(of_b, "b", "left")
-    apart = F.coalesce("class_a", "a") != F.coalesce("class_b", "b")
-    found = stored.written(sure.unionAll(confirmed(rest.where(apart).select("a", "b"), texts)), "links")
-    tried, most, classes = pairs.select("a", "b"), BEST, graph.components(found)
-    while True:
-        met = stored.written(missed_pairs(shown, members, classes, most), "pairs")
-        # A pair of different classes that has been looked at before does not link.
-        fresh = stored.written(met.select("a", "b").join(tried, ["a", "b"], "left_anti"), "pairs")
-        if not fresh.isEmpty():
-            found = stored.written(found.unionAll(confirmed(fresh, texts)), "links")
-        if met.where("more").isEmpty():
-            return found
-        if not fresh.isEmpty():
-            tried, classes = tried.unionAll(fresh), graph.components(found)
-        most *= GROWTH
+    """Confirmed links ``a, b`` between row keys of representatives that connect all that is linked."""
+    shown = representatives(signed)
+    held = in_blocks(neighbourhoods(shown), shown, texts)
+    dealt = held.select("component", "block", "node", "text").repartition("component", "block")
+    inside = dealt.sortWithinPartitions("component", "block").mapInArrow(_confirmed, "a long, b long")
+    found = stored.written(inside, "links")
+    if held.where("blocks > 1").isEmpty():
+        return found
+    return found.unionAll(stored.written(across_blocks(held, shown, found), "links"))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:

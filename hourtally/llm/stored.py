@@ -26,6 +26,14 @@ def written(frame: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
+def released(*frames: DataFrame) -> None:
+    """Delete tables that ``written`` has made, once what was made from them is written too."""
+    for frame in frames:
+        files = frame.inputFiles()
+        if files:
+            session.delete(frame.sparkSession, files[0].rpartition("/")[0])
+
+
 def key_of(doc_id: str, text: str) -> Column:
     """A key of a row that differs when its id or its text does."""
     number = F.col(doc_id).cast("long")

@@ -128,3 +128,26 @@ def test_components(spark):
     found = {r.node: r.component for r in graph.components(frame).collect()}
     assert found == {**dict.fromkeys(range(41), 0), **dict.fromkeys(range(100, 150), 100), 200: 200, 201: 200}
     assert graph.components(frame.where("1 = 0")).count() == 0
+
+
+@pytest.mark.parametrize("count", [100, 400, 800])
+def test_links_do_not_grow_with_pairs(spark, monkeypatch, count):
+    monkeypatch.setattr(minhash, "TOGETHER", 128)
+    rows = edited_copies(count, 120, (2,), 7)
+    docs = minhash.stored.keyed(spark.createDataFrame(rows, "doc_id long, text string"))
+    signed = minhash.stored.written(docs.mapInArrow(minhash._sign, minhash.SIGNED), "signatures")
+    shown = minhash.representatives(signed)
+    near = minhash.neighbourhoods(shown)
+    assert near.count() <= count
+    assert minhash.links(signed, docs.select("row_key", "text")).count() < count * (1 + count / 128 / 4)
+    assert found_rows(minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))) == by_hand(rows)
+
+
+@pytest.mark.parametrize("sizes", [(3, 4), (40, 30), (200, 1)])
+def test_sizes_of_intersections(sizes):
+    draw = np.random.default_rng(2)
+    some, others = ([np.unique(draw.integers(0, 60, draw.integers(1, 50)).astype(np.uint64)) for _ in range(n)] for n in sizes)
+    wanted = [[len(set(x.tolist()) & set(y.tolist())) for y in others] for x in some]
+    assert minhash.common_sizes(some, others).tolist() == wanted
+    apart = [x + np.uint64(1000) for x in others]
+    assert not minhash.common_sizes(some, apart).any()
