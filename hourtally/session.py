@@ -83,6 +83,14 @@ def exists(spark: SparkSession, path: str) -> bool:
     return files.exists(folder)
 
 
+def create(spark: SparkSession, path: str) -> None:
+    """Make an empty file, as a mark; nothing happens if it is there."""
+    mark, files = folder_of(spark, path)
+    if not files.exists(mark):
+        files.mkdirs(mark.getParent())
+        files.create(mark).close()
+
+
 def folder_of(spark: SparkSession, path: str):
     """A path and its file system, as Hadoop has them."""
     context = spark.sparkContext

@@ -7,17 +7,24 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from hourtally import schemas
 from hourtally.operators import readings, rollup
 from hourtally.operators.feeds import Feed
+from hourtally.sinks import ledger
 from hourtally.streaming import jobs
 
 # State is one row per hour, so a few stores hold it, whatever the size of the stream.
 STATE_STORES = 8
 _PARTITIONS = "spark.sql.shuffle.partitions"
+# What a batch writes of the state: its changes.
+STORE_SETTINGS = {
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
 _STARTING = threading.Lock()
 
 
@@ -36,29 +43,36 @@ def start_state_job(
     checkpoint: str,
     interval: str | None = jobs.FEED_INTERVAL,
     stores: int = STATE_STORES,
+    fold_every: int = jobs.FOLD_EVERY,
 ) -> StreamingQuery:
-    """Write the totals of all hours with every batch, into one of two slots by turns.
+    """Write the new totals of the hours that a batch changed, batch by batch, like a ledger.
 
-    A batch run again rewrites its own slot, and the other one holds the totals before it.
-    The output is one row per hour and slot, however long the job runs. ``stores`` counts
-    only when the checkpoint is new.
+    A batch run again replaces its own entry. Every ``fold_every`` batches the newest totals of all
+    hours become one entry, so that reads and folders stay short. State is kept in RocksDB, of which a
+    batch writes the changes only. ``stores`` counts only when the checkpoint is new.
     """
 
-    def write(current: DataFrame, batch_id: int) -> None:
-        rows = rollup.stack(current).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-        rows.write.mode("overwrite").parquet(f"{path}/slot={batch_id % 2}")
+    def write(changed: DataFrame, batch_id: int) -> None:
+        ledger.record(changed, path, batch_id)
 
-    writer = totals.writeStream.outputMode("complete").foreachBatch(write)
+    spark = totals.sparkSession
+    action = jobs.kept_by(spark, path, checkpoint, write, fold_every, newest)
+    writer = totals.writeStream.outputMode("update").foreachBatch(lambda batch, batch_id: action(batch, batch_id))
     writer = writer.option("checkpointLocation", checkpoint).trigger(**jobs.trigger(interval))
     # A query takes its settings from the session when it starts.
-    settings = totals.sparkSession.conf
+    wanted = {_PARTITIONS: str(stores), **STORE_SETTINGS}
     with _STARTING:
-        before = settings.get(_PARTITIONS)
-        settings.set(_PARTITIONS, stores)
+        before = {name: spark.conf.get(name, None) for name in wanted}
+        for name, value in wanted.items():
+            spark.conf.set(name, value)
         try:
             return writer.start()
         finally:
-            settings.set(_PARTITIONS, before)
+            for name, value in before.items():
+                if value is None:
+                    spark.conf.unset(name)
+                else:
+                    spark.conf.set(name, value)
 
 
 def start_state_jobs(
@@ -76,9 +90,12 @@ def start_state_jobs(
     return [start_state_job(running_totals(records, feeds), path, checkpoint, interval), letters]
 
 
+def newest(rows: DataFrame) -> DataFrame:
+    """Of the totals that several entries give for an hour, the newest."""
+    top = F.max_by(F.struct(*schemas.ADDED), F.col("entry")).alias("newest")
+    return rows.groupBy("report_date").agg(top).select("report_date", "newest.*")
+
+
 def latest_totals(spark: SparkSession, path: str) -> DataFrame:
     """The newest total of every hour."""
-    schema = T.StructType([*schemas.DELTA.fields, T.StructField("batch_id", T.LongType())])
-    written = spark.read.schema(schema).parquet(path)
-    newest = F.max_by(F.struct(*schemas.ADDED), F.col("batch_id")).alias("newest")
-    return written.groupBy("report_date").agg(newest).select("report_date", "newest.*")
+    return newest(ledger.entries(spark, path))

@@ -188,8 +188,73 @@ def test_running_state(spark, scratch):
     _publish(_sales(spark, (MS, 100.0)), f"{scratch}/topic")
     totals = run()
     assert totals[H16] == 114.0 and sum(totals.values()) == 144.0
-    written = spark.read.parquet(f"{scratch}/totals").groupBy("slot").agg(F.countDistinct("batch_id").alias("n"))
-    assert sorted(tuple(r) for r in written.collect()) == [(0, 1), (1, 1)]
+    # A batch writes the hours it has changed, not those of all batches before it.
+    written = spark.read.parquet(f"{scratch}/totals/deltas").groupBy("batch_id").count()
+    assert {r[0]: r[1] for r in written.collect()} == {0: 1, 1: 2, 2: 2, 3: 2, 4: 1}
+    assert spark.conf.get("spark.sql.streaming.stateStore.providerClass").endswith("HDFSBackedStateStoreProvider")
+
+
+def test_running_state_is_folded(spark, scratch):
+    for i in range(9):
+        _publish(_sales(spark, (MS, 1.0), (MS + i * HOUR, 10.0)), f"{scratch}/topic")
+    records = topics.stream_topic(spark, f"{scratch}/topic", maxFilesPerTrigger="1")
+    place = (f"{scratch}/totals", f"{scratch}/checkpoint")
+    state.start_state_job(state.running_totals(records, SELLING), *place, None, 2, fold_every=3).awaitTermination()
+    totals = {r.report_date: float(r.sales) for r in state.latest_totals(spark, f"{scratch}/totals").collect()}
+    assert totals[H16] == 19.0 and sum(totals.values()) == 99.0
+    left = spark.read.parquet(f"{scratch}/totals/deltas").select("batch_id").distinct().count()
+    assert left < 9
+
+
+@pytest.mark.parametrize("cut_off", ["before the query", "before the batch", "before the commit", "before the note"])
+def test_start_at_latest_that_was_cut_off(spark, scratch, monkeypatch, cut_off):
+    """A first start that dies while it skips leaves nothing that a second one counts."""
+    for i in range(3):
+        _publish(_sales(spark, (MS, 1.0)), f"{scratch}/topic")
+    place = (f"{scratch}/ledger", f"{scratch}/checkpoint", f"{scratch}/dead")
+
+    def records():
+        return topics.stream_topic(spark, f"{scratch}/topic", maxFilesPerTrigger="1")
+
+    def run():
+        jobs.start_feed_job(records(), SELLING, *place, interval=None, from_latest=True).awaitTermination()
+
+    create = session.create
+
+    def stopped(spark, path):
+        if cut_off == "before the query" or path.endswith("done"):
+            if path.endswith("begun"):
+                create(spark, path)
+            raise RuntimeError("cut off")
+        create(spark, path)
+
+    monkeypatch.setattr(session, "create", stopped)
+    with pytest.raises(RuntimeError, match="cut off"):
+        run()
+    monkeypatch.setattr(session, "create", create)
+    if cut_off == "before the batch":
+        for folder in ("commits", "offsets", "sources"):
+            session.delete(spark, f"{scratch}/checkpoint/{folder}")
+    elif cut_off == "before the commit":
+        session.delete(spark, f"{scratch}/checkpoint/commits")
+    run()
+    assert _totals(spark, scratch) == {}
+    batches = spark.read.text(f"{scratch}/checkpoint/commits/*").select(F.input_file_name()).distinct().count()
+    assert batches == 1  # one for the whole backlog
+    _publish(_sales(spark, (MS, 4.0)), f"{scratch}/topic")
+    run()
+    assert _totals(spark, scratch) == {H16: 4.0}
+
+
+def test_start_at_latest_with_nothing_there(spark, scratch):
+    _publish(_sales(spark).limit(0), f"{scratch}/topic")
+    place = (f"{scratch}/ledger", f"{scratch}/checkpoint", f"{scratch}/dead")
+    for value in (1.0, 2.0):
+        records = topics.stream_topic(spark, f"{scratch}/topic")
+        jobs.start_feed_job(records, SELLING, *place, interval=None, from_latest=True).awaitTermination()
+        _publish(_sales(spark, (MS, value)), f"{scratch}/topic")
+    jobs.start_feed_job(records, SELLING, *place, interval=None, from_latest=True).awaitTermination()
+    assert _totals(spark, scratch) == {H16: 3.0}
 
 
 def test_start_at_latest_skips_only_what_was_there(spark, scratch):
