@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from hourtally.llm import stored
 
@@ -14,8 +15,12 @@ def _pointed(links: DataFrame) -> DataFrame:
     return one_way.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
 
 
-def _print_of(links: DataFrame) -> tuple:
-    return tuple(links.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
+def _written(links: DataFrame) -> tuple[DataFrame, tuple]:
+    """The links as a table, and their number and a sum, by which two tables are told apart."""
+    seen = Observation()
+    counted = links.observe(seen, F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("sum"))
+    table = stored.written(counted, "graph")
+    return table, (seen.get["n"], seen.get["sum"])
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -26,18 +31,19 @@ def components(links: DataFrame) -> DataFrame:
     are few (about the logarithm of the longest path), and every step is written to the
     shared folder. Nothing but a count and a sum comes to the driver.
     """
-    links = stored.written(_pointed(links), "graph")
-    mark = _print_of(links)
+    links, mark = _written(_pointed(links))
     while True:
         both = links.unionAll(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("low"))
         larger = links.select(F.col("b").alias("a"), F.col("a").alias("b"))
-        hung = larger.join(least, "a").select(F.col("b").alias("a"), F.col("low").alias("b"))
-        links = _pointed(hung)
-        least = links.groupBy("a").agg(F.min("b").alias("low"))
-        small = links.join(least, "a").select(F.col("b").alias("a"), F.col("low").alias("b"))
-        links = stored.written(_pointed(small.unionAll(least.select("a", F.col("low").alias("b")))), "graph")
-        now = _print_of(links)
+        hung = larger.join(least, "a").select(F.greatest("b", "low").alias("a"), F.least("b", "low").alias("b"))
+        # A node has few smaller neighbours, however many hang on it.
+        low = F.min("b").over(Window.partitionBy("a"))
+        small = hung.where(F.col("a") != F.col("b")).select("a", "b", low.alias("low"))
+        ends = F.explode(F.array(F.struct("a", F.col("low").alias("b")), F.struct(F.col("b").alias("a"), F.col("low").alias("b"))))
+        before = links
+        links, now = _written(_pointed(small.select(ends.alias("link")).select("link.*")))
+        stored.released(before)
         if now == mark:
             break
         mark = now

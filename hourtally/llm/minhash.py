@@ -205,16 +205,21 @@ def _sets_of(texts: pa.Array) -> list[np.ndarray]:
 
 
 def _confirmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Blocks of texts, one after another, to confirmed links that connect what links in each."""
+    """Blocks of texts, one after another, to the classes that confirmed links make of their members."""
     for batch, bounds in _groups(batches, ("component", "block")):
-        nodes, a, b = batch.column("node").to_numpy(), [], []
+        nodes = batch.column("node").to_numpy()
+        classes = nodes.copy()
         for lo, hi in zip(bounds[:-1], bounds[1:], strict=True):
             sets = _sets_of(batch.column("text").slice(lo, hi - lo))
             linked = links_between(sets, sets)
+            top = np.arange(hi - lo)
             for i, j in _spanning(hi - lo, lambda i, others, m=linked: m[i, others]):
-                a.append(int(nodes[lo + i]))
-                b.append(int(nodes[lo + j]))
-        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+                top[j] = top[i]  # trees are given from their roots on
+            least = np.full(hi - lo, np.iinfo(np.int64).max)
+            np.minimum.at(least, top, nodes[lo:hi])
+            classes[lo:hi] = least[top]
+        columns = [*(batch.column(n) for n in ("component", "block", "blocks", "node")), pa.array(classes)]
+        yield pa.RecordBatch.from_arrays(columns, names=["component", "block", "blocks", "node", "class"])
 
 
 def _with_members(batches: Iterator[pa.RecordBatch], read) -> Iterator[tuple[tuple, tuple, list]]:
@@ -258,7 +263,7 @@ def _reached(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _confirmed_across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Queries against the members of blocks: confirmed links that connect different classes."""
+    """Queries against the members of blocks: classes that confirmed links connect."""
     place, top = None, {}
 
     def root(k: int) -> int:
@@ -278,16 +283,18 @@ def _confirmed_across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
             one, two = root(int(queries[1][i])), root(int(members[1][j]))
             if one != two:
                 top[one] = two
-                a.append(int(queries[0][i]))
-                b.append(int(members[0][j]))
+                a.append(int(queries[1][i]))
+                b.append(int(members[1][j]))
         yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
 
 def representatives(signed: DataFrame) -> DataFrame:
-    """One row of each set: ``node, n_shingles, bands, coords``."""
+    """One row of each set: ``node, set_1, set_2, n_shingles, least`` (the smallest id), ``bands, coords``."""
     sets = signed.where("n_shingles > 0").groupBy("set_1", "set_2", "n_shingles")
-    shown = sets.agg(F.min("row_key").alias("node"), F.first("bands").alias("bands"), F.first("coords").alias("coords"))
-    return stored.written(shown.select("node", "n_shingles", "bands", "coords"), "sets")
+    shown = sets.agg(
+        F.min("row_key").alias("node"), F.min("doc_id").alias("least"), F.first("bands").alias("bands"), F.first("coords").alias("coords")
+    )
+    return stored.written(shown, "sets")
 
 
 def neighbourhoods(shown: DataFrame) -> DataFrame:
@@ -323,19 +330,17 @@ def in_blocks(near: DataFrame, shown: DataFrame, texts: DataFrame) -> DataFrame:
     return stored.written(held.select("component", "block", "blocks", "node", "text"), "blocks")
 
 
-def across_blocks(held: DataFrame, shown: DataFrame, links: DataFrame) -> DataFrame:
-    """Links between blocks of one component, given those inside.
+def across_blocks(inside: DataFrame, held: DataFrame, shown: DataFrame) -> DataFrame:
+    """``a, b``: classes of different blocks of a component that are linked, given the classes inside blocks.
 
     What is connected is never compared again: members outside a component's largest class are
     held against all other blocks, by signatures, then, where one may link, by texts.
     """
-    large = held.where("blocks > 1").select("component", "block", "blocks", "node")
-    named = large.join(graph.components(links).withColumnRenamed("component", "class").hint("merge"), "node", "left")
-    named = stored.written(named.withColumn("class", F.coalesce("class", "node")), "classes")
-    counts = named.groupBy("component", "class").agg(F.count("*").alias("n"))
+    large = inside.where("blocks > 1")
+    counts = large.groupBy("component", "class").agg(F.count("*").alias("n"))
     main = counts.groupBy("component").agg(F.max(F.struct("n", "class")).alias("top"), F.count("*").alias("classes"))
-    main = stored.written(main.where("classes > 1").select("component", F.col("top.class").alias("main")), "main")
-    several = named.join(main.hint("merge"), "component").join(shown.select("node", "n_shingles", "coords").hint("merge"), "node")
+    main = main.where("classes > 1").select("component", F.col("top.class").alias("main"))
+    several = large.join(main.hint("merge"), "component").join(shown.select("node", "n_shingles", "coords").hint("merge"), "node")
     several = stored.written(several, "several")
     columns = ("node", "class", "n_shingles", "coords")
     as_member = several.select("component", "block", F.lit(0).alias("role"), *columns)
@@ -344,26 +349,31 @@ def across_blocks(held: DataFrame, shown: DataFrame, links: DataFrame) -> DataFr
     as_query = outside.select("component", F.explode(elsewhere).alias("block"), F.lit(1).alias("role"), *columns)
     met = as_member.unionAll(as_query).repartition("component", "block").sortWithinPartitions("component", "block", "role")
     reached = stored.written(met.mapInArrow(_reached, "component long, block int, node long"), "reached")
-    labels = several.select("node", "class").hint("merge")
-    queries = reached.join(labels, "node").select("component", "block", F.lit(1).alias("role"), "node", "class")
+    texts = held.where("blocks > 1").select("node", "text")
+    labelled = several.select("component", "block", "node", "class").join(texts.hint("merge"), "node")
+    labelled = stored.written(labelled, "labelled")
+    queries = reached.join(labelled.select("node", "class", "text").hint("merge"), "node")
     touched = reached.select("component", "block").distinct().hint("merge")
-    members = several.join(touched, ["component", "block"]).select("component", "block", F.lit(0).alias("role"), "node", "class")
-    texts = held.where("blocks > 1").select("node", "text").hint("merge")
-    met = members.unionAll(queries).join(texts, "node").select("component", "block", "role", "node", "class", "text")
-    met = met.repartition("component", "block").sortWithinPartitions("component", "block", "role")
+    members = labelled.join(touched, ["component", "block"])
+    columns = ("node", "class", "text")
+    as_member = members.select("component", "block", F.lit(0).alias("role"), *columns)
+    as_query = queries.select("component", "block", F.lit(1).alias("role"), *columns)
+    met = as_member.unionAll(as_query).repartition("component", "block").sortWithinPartitions("component", "block", "role")
     return met.mapInArrow(_confirmed_across, "a long, b long")
 
 
-def links(signed: DataFrame, texts: DataFrame) -> DataFrame:
-    """Confirmed links ``a, b`` between row keys of representatives that connect all that is linked."""
-    shown = representatives(signed)
+def classes_of(shown: DataFrame, texts: DataFrame) -> DataFrame:
+    """``node, class`` of the representatives that may link; those of one class are connected by links."""
     held = in_blocks(neighbourhoods(shown), shown, texts)
-    dealt = held.select("component", "block", "node", "text").repartition("component", "block")
-    inside = dealt.sortWithinPartitions("component", "block").mapInArrow(_confirmed, "a long, b long")
-    found = stored.written(inside, "links")
-    if held.where("blocks > 1").isEmpty():
-        return found
-    return found.unionAll(stored.written(across_blocks(held, shown, found), "links"))
+    dealt = held.repartition("component", "block").sortWithinPartitions("component", "block")
+    inside = dealt.mapInArrow(_confirmed, "component long, block int, blocks int, node long, class long")
+    inside = stored.written(inside, "inside")
+    if inside.where("blocks > 1").isEmpty():
+        return inside.select("node", "class")
+    joined = graph.components(stored.written(across_blocks(inside, held, shown), "links"))
+    joined = joined.select(F.col("node").alias("class"), "component").hint("merge")
+    named = inside.select("node", "class").join(joined, "class", "left")
+    return named.select("node", F.coalesce("component", "class").alias("class"))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -374,11 +384,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     """
     texts = stored.keyed(docs)
     signed = stored.written(texts.mapInArrow(_sign, SIGNED), "signatures")
-    found = stored.written(links(signed, texts.select("row_key", "text")), "links")
-    classes = graph.components(found)
-    sets = signed.where("n_shingles > 0").groupBy("set_1", "set_2", "n_shingles")
-    sets = sets.agg(F.min("row_key").alias("node"), F.min("doc_id").alias("least"))
-    sets = sets.join(classes, "node", "left").withColumn("class", F.coalesce("component", "node"))
+    shown = representatives(signed)
+    classes = classes_of(shown, texts.select("row_key", "text"))
+    sets = shown.select("set_1", "set_2", "n_shingles", "node", "least").join(classes.hint("merge"), "node", "left")
+    sets = sets.withColumn("class", F.coalesce("class", "node"))
     sets = stored.written(sets.select("set_1", "set_2", "n_shingles", "class", "least"), "sets")
     lowest = sets.groupBy("class").agg(F.min("least").alias("component_id"))
     # Written, so that Spark may split a join with very many rows of one set.

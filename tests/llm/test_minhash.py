@@ -139,7 +139,13 @@ def test_links_do_not_grow_with_pairs(spark, monkeypatch, count):
     shown = minhash.representatives(signed)
     near = minhash.neighbourhoods(shown)
     assert near.count() <= count
-    assert minhash.links(signed, docs.select("row_key", "text")).count() < count * (1 + count / 128 / 4)
+    texts = docs.select("row_key", "text")
+    held = minhash.in_blocks(near, shown, texts)
+    inside = held.sortWithinPartitions("component", "block").coalesce(1).mapInArrow(
+        minhash._confirmed, "component long, block int, blocks int, node long, class long"
+    )
+    assert minhash.across_blocks(inside, held, shown).count() < count * (1 + count / 128)
+    assert minhash.classes_of(shown, texts).count() <= count
     assert found_rows(minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))) == by_hand(rows)
 
 
