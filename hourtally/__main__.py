@@ -4,7 +4,7 @@ feed      keep the ledger of one or more feeds up to date
 state     the same totals in Spark's state store
 preview   print the payloads of a topic as they arrive
 fold      shorten a ledger
-publish   write the totals of ledgers to a database table, or add them to every row
+publish   write the totals of ledgers to a database table, or add what is new to every row
 overwrite-sales   set the sales of every row of a table to the total of a topic
 poll      publish the new rows of a database table to a file-backed topic
 
@@ -56,6 +56,13 @@ def _arguments(argv) -> argparse.Namespace:
         command.add_argument("--out", required=True, help="folder of the ledger or totals")
         command.add_argument("--dead-letters", required=True, help="folder of records that could not be used")
         if name == "feed":
+            command.add_argument("--publish-url", help="database whose summary table gets every batch")
+            command.add_argument("--publish-driver")
+            command.add_argument("--publish-table")
+            command.add_argument("--publish-scope", choices=["hour", "all"], default="hour")
+            command.add_argument("--user")
+            command.add_argument("--password-file", help="file that holds the password")
+            command.add_argument("--quote", default="", help="quote for column names, if the database needs one")
             command.add_argument("--fold-every", type=int, default=jobs.FOLD_EVERY, help="batches between folds")
     command = streaming("preview")
     command.add_argument("--topics", nargs="+", required=True)
@@ -109,11 +116,14 @@ def run(spark: SparkSession, argv=None) -> None:
         records = _records(spark, args, [feed.topic for feed in chosen])
         interval = None if args.once else jobs.FEED_INTERVAL
         if args.job == "feed":
-            started = [
-                jobs.start_feed_job(
-                    records, chosen, args.out, args.checkpoint, args.dead_letters, interval, args.fold_every, _skips(args)
-                )
-            ]
+            place = (args.out, args.checkpoint, args.dead_letters)
+            options = {"interval": interval, "fold_every": args.fold_every, "from_latest": _skips(args)}
+            if args.publish_url:
+                database = _database(args, args.publish_url, args.publish_driver)
+                target = (database, args.publish_table, args.publish_scope)
+                started = [report.start_publishing_job(records, chosen, *place, *target, **options)]
+            else:
+                started = [jobs.start_feed_job(records, chosen, *place, **options)]
         elif _skips(args):
             raise ValueError("the state job starts at earliest with a file-backed topic")
         else:
@@ -145,13 +155,13 @@ def run(spark: SparkSession, argv=None) -> None:
         _poll(spark, args)
 
 
-def _database(args: argparse.Namespace) -> Database:
+def _database(args: argparse.Namespace, url: str | None = None, driver: str | None = None) -> Database:
     login = {}
     if args.user:
         login["user"] = args.user
     if args.password_file:
         login["password"] = Path(args.password_file).read_text().strip()
-    return Database(args.url, args.driver, login, args.quote)
+    return Database(url or args.url, driver or args.driver, login, args.quote)
 
 
 def _poll(spark: SparkSession, args: argparse.Namespace) -> None:

@@ -29,6 +29,16 @@ _US_SALES = f"""
 _SUMMARY = f"SELECT report_date, {_SUMS} FROM ({_CONTRIBUTIONS}) c GROUP BY 1"
 _TOTALS = f"SELECT {_SUMS} FROM ({_CONTRIBUTIONS}) c"
 
+# The envelope of an event as a sale.
+_SALE_TEXTS = """
+  SELECT event_type, '{"payload":{"ID":' || event_id || ',"GARMENT_NAME":' || to_json(props)
+    || ',"SALES_DATE":' || (epoch_us(ts) // 1000) || ',"ORDER_VALUE":' || value || '}}' AS raw
+  FROM events"""
+_EVERY_ROW = f"""
+  SELECT c_custkey::INTEGER AS id, round(t.sales, 3) AS sales, t.web_hits::INTEGER AS web_hits,
+         t.tweets::INTEGER AS tweets, t.tweets_positive::INTEGER AS tweets_positive
+  FROM customer CROSS JOIN ({_TOTALS}) t"""
+
 ORACLES = {
     "record_value": "SELECT event_id, props AS value FROM events",
     "topic_filter": """
@@ -53,13 +63,15 @@ ORACLES = {
     "hour_bucket": f"""
   SELECT event_id, strftime(ts, {_LABEL}) AS hour, strftime(ts, {_LABEL}) AS hour_by_number FROM events""",
     "currency_convert": "SELECT o_orderkey AS id, o_totalprice * 1.5::DOUBLE AS amount FROM orders",
-    "constant_column": "SELECT n_nationkey, 0.0::DOUBLE AS sales FROM nation",
+    "constant_column": "SELECT o_orderkey, 0.0::DOUBLE AS sales FROM orders",
     "first_page_filter": "SELECT event_id FROM events WHERE event_type = 'view'",
     "keyword_filter": f"SELECT doc_id FROM documents WHERE {_POSITIVE}",
     "keyword_filter_custom": f"SELECT doc_id FROM documents WHERE {_OTHER}",
-    "dead_letter": """
-  SELECT event_id, event_type = 'purchase' AS parsed, event_type = 'purchase' AS whole
-  FROM events WHERE event_type IN ('purchase', 'error')""",
+    "dead_letter": f"""
+  SELECT 'use-case-garment_sales' AS topic,
+         CASE WHEN event_type = 'error' THEN 'payload not readable' END AS problem,
+         CASE WHEN event_type = 'error' THEN left(raw, length(raw) - 2) ELSE raw END AS raw
+  FROM ({_SALE_TEXTS}) t WHERE event_type IN ('purchase', 'error')""",
     "hourly_us_sales": _US_SALES,
     "hourly_eu_sales": f"""
   SELECT strftime(o_orderdate, {_LABEL}) AS hour,
@@ -94,15 +106,16 @@ ORACLES = {
   SELECT o_orderkey, o_totalprice,
          CASE WHEN o_orderkey > (SELECT max(o_orderkey) // 2 FROM orders) THEN 2 ELSE 1 END AS poll
   FROM orders""",
-    "update_all_in_database": f"""
-  SELECT r_regionkey::INTEGER AS id, t.sales, t.web_hits::INTEGER AS web_hits, t.tweets::INTEGER AS tweets,
-         t.tweets_positive::INTEGER AS tweets_positive
-  FROM region CROSS JOIN ({_TOTALS}) t""",
+    "update_all_in_database": _EVERY_ROW,
+    "stream_to_every_row": _EVERY_ROW,
+    "stream_upsert_in_database": f"""
+  SELECT report_date, round(sales, 3) AS sales, web_hits, tweets, tweets_positive FROM ({_SUMMARY}) s
+  UNION ALL VALUES ('1999-12-31 23:00:00', 5.0::DOUBLE, 6::BIGINT, 7::BIGINT, 8::BIGINT)""",
     "preview": "SELECT event_id, props FROM events ORDER BY event_id LIMIT 10",
     "seed_defaults": """
-  SELECT n_nationkey AS id, 0.0::DOUBLE AS sales, 0::BIGINT AS web_hits, 0::BIGINT AS tweets,
+  SELECT c_custkey AS id, 0.0::DOUBLE AS sales, 0::BIGINT AS web_hits, 0::BIGINT AS tweets,
          0::BIGINT AS tweets_positive
-  FROM nation""",
+  FROM customer""",
     "unique_key_check": "SELECT o_custkey, count(*) AS n FROM orders GROUP BY 1 HAVING count(*) > 1",
     "null_check": f"""
   SELECT count(*) FILTER (WHERE report_date IS NULL) AS report_date, count(*) FILTER (WHERE sales IS NULL) AS sales,
@@ -113,6 +126,9 @@ ORACLES = {
     "stream_hourly_sales": _US_SALES,
     "stream_topics": f"""
   SELECT t.*, (SELECT count(*) FROM events WHERE event_type = 'error') AS dead_letters FROM ({_TOTALS}) t""",
+    "stream_dead_letters": f"""
+  SELECT 'use-case-garment_sales' AS topic, 'payload not readable' AS problem, left(raw, length(raw) - 2) AS raw
+  FROM ({_SALE_TEXTS}) t WHERE event_type = 'error'""",
     "stream_running_state": _US_SALES,
     "stream_from_latest": f"""
   SELECT strftime(ts, {_LABEL}) AS hour, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS sales
@@ -130,7 +146,7 @@ ORACLES = {
     "literal_append": """
   SELECT s_name AS name, s_acctbal AS value FROM supplier
   UNION ALL VALUES ('Mens Pants', 45.99::DOUBLE), ('Womens Tops', 29.99::DOUBLE)""",
-    "current_hour_check": "SELECT n_nationkey, true AS is_current FROM nation",
+    "current_hour_check": "SELECT c_custkey, true AS is_current FROM customer",
     "first_row": "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_orderkey LIMIT 1",
     "empty_delta": f"SELECT 1::BIGINT AS batch_id, count(DISTINCT hour) AS hours FROM ({_US_SALES}) s",
     "null_count": """

@@ -6,6 +6,8 @@ tables are serialised to records, then parsed again.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -139,7 +141,7 @@ def currency_convert(spark, sf_dir):
 
 
 def constant_column(spark, sf_dir):
-    return summary.constant_column(_table(spark, sf_dir, "nation"), "sales", 0.0).select("n_nationkey", "sales")
+    return summary.constant_column(_table(spark, sf_dir, "orders"), "sales", 0.0).select("o_orderkey", "sales")
 
 
 # -- predicates and dead letters -----------------------------------------------------
@@ -165,13 +167,7 @@ def dead_letter(spark, sf_dir):
     events = _events(spark, sf_dir)
     records = stand_ins.garment_records(events).unionByName(stand_ins.broken_records(events))
     read = readings.read_feeds(records, [feeds.GARMENT_SALES])
-    raw = envelope.value_text()
-    event_id = F.regexp_extract(raw, r'"ID":(\d+)', 1).cast("bigint")
-    return read.select(
-        event_id.alias("event_id"),
-        F.col("problem").isNull().alias("parsed"),
-        raw.endswith("}}").alias("whole"),
-    )
+    return read.select("topic", "problem", envelope.value_text().alias("raw"))
 
 
 # -- hourly totals ---------------------------------------------------------------------
@@ -281,18 +277,103 @@ def jdbc_overwrite(spark, sf_dir):
     return tables.read_table_by_key(spark, database, "HT_SUPPLIER", "s_suppkey", partitions=4)
 
 
+SUMMARY_COLUMNS = (
+    "SALES DOUBLE PRECISION DEFAULT 0 NOT NULL, WEB_HITS INT DEFAULT 0 NOT NULL, TWEETS INT DEFAULT 0 NOT NULL, "
+    "TWEETS_POSITIVE INT DEFAULT 0 NOT NULL"
+)
+
+
+def _new_summary(spark, database, key: str) -> str:
+    """A summary table of a name not used before, with a key column of its own."""
+    name = f"HT_SUMMARY_{uuid.uuid4().hex[:12].upper()}"
+    database_sink.execute(spark, database, f"CREATE TABLE {name} ({key}, {SUMMARY_COLUMNS})")
+    return name
+
+
+def _with_customers(spark, sf_dir, database) -> str:
+    """A summary table with a row for every customer, all measures 0."""
+    name = _new_summary(spark, database, "ID INT NOT NULL PRIMARY KEY")
+    rows = _table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("int").alias("ID"))
+    kinds = {"SALES": "double", "WEB_HITS": "int", "TWEETS": "int", "TWEETS_POSITIVE": "int"}
+    zero = rows.select("ID", *(F.lit(0).cast(kind).alias(column) for column, kind in kinds.items()))
+    database_sink.append(zero, database, name)
+    return name
+
+
+def _stored_summary(spark, database, name: str, key: str) -> DataFrame:
+    """A summary table as it is, in lower case; sums of doubles are shown to the last digit of the amounts."""
+    stored = tables.read_table_by_key(spark, database, name, "ID", partitions=4) if key == "ID" else tables.read_table(spark, database, name)
+    rows = stored.select(*(F.col(c).alias(c.lower()) for c in stored.columns))
+    return rows.withColumn("sales", F.round("sales", 3))
+
+
 def update_all_in_database(spark, sf_dir):
-    """Every row of a summary table in the database gets the overall totals of a ledger added."""
+    """Every row of a summary table in the database gets the overall totals of a ledger added.
+
+    The totals are published twice before and twice after the second batch.
+    """
     database = embedded.database(spark)
     work = session.scratch(spark, "all")
-    rows = _table(spark, sf_dir, "region").select(F.col("r_regionkey").cast("int").alias("ID"))
-    kinds = {"SALES": "double", "WEB_HITS": "int", "TWEETS": "int", "TWEETS_POSITIVE": "int"}
-    zero = rows.select("ID", *(F.lit(0).cast(kind).alias(name) for name, kind in kinds.items()))
-    database_sink.overwrite(zero, database, "HT_SUMMARY")
-    ledger.record(report.hourly_deltas(stand_ins.merged_records(spark, sf_dir)), f"{work}/ledger", 0)
-    report.add_to_every_row(spark, database, "HT_SUMMARY", [f"{work}/ledger"])
-    stored = tables.read_table(spark, database, "HT_SUMMARY")
-    return stored.select(*(F.col(c).alias(c.lower()) for c in stored.columns))
+    name = _with_customers(spark, sf_dir, database)
+    deltas = session.cut_lineage(report.hourly_deltas(stand_ins.merged_records(spark, sf_dir)))
+    early = F.col("report_date") < "2024-02-01"
+    for number, rows in enumerate((deltas.where(early), deltas.where(~early))):
+        ledger.record(rows, f"{work}/ledger", number)
+        for _ in range(2):
+            report.add_to_every_row(spark, database, name, [f"{work}/ledger"])
+    return _stored_summary(spark, database, name, "ID")
+
+
+def _published(spark, sf_dir, name: str, scope: str, database) -> None:
+    """All feeds streamed into a ledger and, batch by batch, into a summary table.
+
+    The job dies once after the second batch is in the table but before Spark knows, so that batch is
+    run again; the last one is added again at the end.
+    """
+    work = session.scratch(spark, "published")
+    topics.write_topic(stand_ins.merged_records(spark, sf_dir).repartition(FILES), f"{work}/topic")
+    names = [f.topic for f in feeds.ALL_FEEDS]
+    place = (f"{work}/ledger", f"{work}/checkpoint", f"{work}/dead")
+
+    def records():
+        return topics.stream_topic(spark, f"{work}/topic", names, maxFilesPerTrigger="1")
+
+    def start():
+        return report.start_publishing_job(records(), feeds.ALL_FEEDS, *place, database, name, scope, interval=None)
+
+    start().awaitTermination()
+    for number in (1, FILES - 1):
+        # As if the commits from here on had been lost.
+        for later in range(number, FILES):
+            session.delete(spark, f"{work}/checkpoint/commits/{later}")
+            session.delete(spark, f"{work}/checkpoint/commits/.{later}.crc")
+        for later in range(number + 1, FILES):
+            session.delete(spark, f"{work}/checkpoint/offsets/{later}")
+            session.delete(spark, f"{work}/checkpoint/offsets/.{later}.crc")
+        start().awaitTermination()
+
+
+def stream_to_every_row(spark, sf_dir):
+    """Batches of a stream added to every row of a summary table, each once."""
+    database = embedded.database(spark)
+    name = _with_customers(spark, sf_dir, database)
+    _published(spark, sf_dir, name, database_sink.EVERY_ROW, database)
+    return _stored_summary(spark, database, name, "ID")
+
+
+def stream_upsert_in_database(spark, sf_dir):
+    """Batches of a stream added to the rows of their hours in a summary table, each once.
+
+    An hour that no batch has stays as it was.
+    """
+    database = embedded.database(spark)
+    name = _new_summary(spark, database, "REPORT_DATE TIMESTAMP NOT NULL UNIQUE")
+    database_sink.execute(spark, database, f"INSERT INTO {name} VALUES ('1999-12-31 23:00:00', 5, 6, 7, 8)")
+    _published(spark, sf_dir, name, database_sink.BY_HOUR, database)
+    rows = _stored_summary(spark, database, name, "REPORT_DATE")
+    shown = F.date_format("report_date", "yyyy-MM-dd HH:mm:ss").alias("report_date")
+    counters = (F.col(name).cast("bigint").alias(name) for name in schemas.COUNTERS)
+    return rows.select(shown, "sales", *counters)
 
 
 def jdbc_incremental(spark, sf_dir):
@@ -314,7 +395,7 @@ def preview_first_rows(spark, sf_dir):
 
 
 def seed_defaults(spark, sf_dir):
-    rows = _table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("id"))
+    rows = _table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"))
     return summary.with_defaults(rows)
 
 
@@ -338,9 +419,9 @@ def literal_append(spark, sf_dir):
 
 def current_hour_check(spark, sf_dir):
     """The label of the current hour, set on every row, lies within an hour of now."""
-    rows = summary.constant_column(_table(spark, sf_dir, "nation"), "report_date", summary.current_hour())
+    rows = summary.constant_column(_table(spark, sf_dir, "customer"), "report_date", summary.current_hour())
     passed = F.unix_timestamp(F.current_timestamp()) - F.unix_timestamp(F.to_timestamp("report_date"))
-    return rows.select("n_nationkey", ((passed >= 0) & (passed < 3600)).alias("is_current"))
+    return rows.select("c_custkey", ((passed >= 0) & (passed < 3600)).alias("is_current"))
 
 
 def first_row(spark, sf_dir):
@@ -422,6 +503,17 @@ def stream_topics(spark, sf_dir):
     return rollup.shown(totals).withColumn("dead_letters", counts.agg(F.sum("n")).scalar())
 
 
+def stream_dead_letters(spark, sf_dir):
+    """All feeds streamed in one job: the records set aside, unchanged, with the reason."""
+    work = session.scratch(spark, "letters")
+    topics.write_topic(stand_ins.merged_records(spark, sf_dir).repartition(FILES), f"{work}/topic")
+    records = topics.stream_topic(spark, f"{work}/topic", [f.topic for f in feeds.ALL_FEEDS], maxFilesPerTrigger="1")
+    place = (f"{work}/ledger", f"{work}/checkpoint", f"{work}/dead")
+    jobs.start_feed_job(records, feeds.ALL_FEEDS, *place, interval=None).awaitTermination()
+    letters = spark.read.schema("topic string, value binary, problem string").parquet(f"{work}/dead")
+    return letters.select("topic", "problem", envelope.value_text().alias("raw"))
+
+
 def stream_running_state(spark, sf_dir):
     """Sales streamed into Spark's state store; the last total of every hour."""
     work = session.scratch(spark, "state")
@@ -561,6 +653,8 @@ QUERIES = {
     "jdbc_read": jdbc_read,
     "jdbc_overwrite": jdbc_overwrite,
     "jdbc_incremental": jdbc_incremental,
+    "stream_to_every_row": stream_to_every_row,
+    "stream_upsert_in_database": stream_upsert_in_database,
     "update_all_in_database": update_all_in_database,
     "preview": preview_first_rows,
     "seed_defaults": seed_defaults,
@@ -569,6 +663,7 @@ QUERIES = {
     "text_stream": text_stream,
     "stream_hourly_sales": stream_hourly_sales,
     "stream_topics": stream_topics,
+    "stream_dead_letters": stream_dead_letters,
     "stream_running_state": stream_running_state,
     "stream_from_latest": stream_from_latest,
     "table_to_summary": table_to_summary,

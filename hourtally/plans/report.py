@@ -1,19 +1,19 @@
-"""The hourly report as a batch job."""
+"""The hourly report as a batch job, and into a database."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from hourtally.operators import feeds as feed_specs
-from hourtally.operators import readings, rollup, summary
+from hourtally.operators import readings, rollup
 from hourtally.operators.feeds import Feed
 from hourtally.sinks import database as database_sink
 from hourtally.sinks import ledger
-from hourtally.sources import tables
 from hourtally.sources.tables import Database
+from hourtally.streaming import jobs
 
 
 def hourly_deltas(records: DataFrame, feeds: Sequence[Feed] = feed_specs.ALL_FEEDS) -> DataFrame:
@@ -45,13 +45,35 @@ def overall(records: DataFrame, feeds: Sequence[Feed] = feed_specs.ALL_FEEDS) ->
 def overwrite_sales(spark: SparkSession, database: Database, table: str, records: DataFrame) -> None:
     """Set the sales of every row of a summary table to the total of the sales records."""
     total = overall(records, [feed_specs.GARMENT_SALES]).transform(rollup.shown).first()
-    loaded = tables.read_table(spark, database, table)
-    database_sink.overwrite(summary.constant_column(loaded, "SALES", total.sales), database, table, keep_definition=True)
+    database_sink.set_every_row(spark, database, table, {"SALES": total.sales})
 
 
-def add_to_every_row(spark: SparkSession, database: Database, table: str, ledgers: Sequence[str]) -> None:
-    """Add the overall totals of ledgers to every row of a summary table (its names in capitals)."""
-    loaded = tables.read_table(spark, database, table)
-    lower = loaded.toDF(*(name.lower() for name in loaded.columns))
-    updated = summary.update_every_row(lower, ledger.overall(spark, ledgers)).toDF(*loaded.columns)
-    database_sink.overwrite(updated, database, table, keep_definition=True)
+def add_to_every_row(spark: SparkSession, database: Database, table: str, ledgers: Sequence[str]) -> bool:
+    """Add what is new in the overall totals of ledgers to every row of a summary table.
+
+    Run again, or after a batch that added nothing, it adds nothing.
+    """
+    totals = {ledger.owner(spark, path) or path: ledger.overall(spark, path).first() for path in ledgers}
+    return database_sink.add_new_totals(spark, database, table, totals)
+
+
+def start_publishing_job(
+    records: DataFrame,
+    feeds: Sequence[Feed],
+    ledger_path: str,
+    checkpoint: str,
+    dead_letter_path: str,
+    database: Database,
+    table: str,
+    scope: str = database_sink.BY_HOUR,
+    **options,
+) -> StreamingQuery:
+    """The feed job, which also adds every batch to a summary table in a database, once."""
+
+    def entry_of(spark: SparkSession, batch_id: int) -> DataFrame:
+        return ledger.entry_of(spark, ledger_path, batch_id)
+
+    after = database_sink.publisher(database, table, scope, lambda spark: jobs.job_id(spark, checkpoint), entry_of)
+    return jobs.start_feed_job(
+        records, feeds, ledger_path, checkpoint, dead_letter_path, after_batch=after, **options
+    )

@@ -89,16 +89,18 @@ def test_sales_of_every_row_set_to_the_total(spark, database):
 def test_totals_added_to_every_row_and_sales_set(spark, scratch, database):
     table = _name()
     at = ["--url", database.url, "--driver", database.driver, "--quote", database.quote, "--table", table]
-    sink.overwrite(spark.sql("SELECT 1 AS ID, 1D AS SALES, 2 AS WEB_HITS UNION ALL SELECT 2, 5D, 0"), database, table)
+    zero = "0 AS TWEETS, 0 AS TWEETS_POSITIVE"
+    sink.overwrite(spark.sql(f"SELECT 1 AS ID, 1D AS SALES, 2 AS WEB_HITS, {zero} UNION ALL SELECT 2, 5D, 0, 0, 0"), database, table)
     values = [helpers.sale(1, 45.99), helpers.sale(7_200_000, 29.99)]
     topics.write_topic(helpers.records(spark, values, feeds.GARMENT_SALES.topic), f"{scratch}/topic")
     feed = ["feed", "--topic-path", f"{scratch}/topic", "--feeds", "garment_sales", "--out", f"{scratch}/ledger"]
     main.run(spark, [*feed, "--checkpoint", f"{scratch}/c", "--dead-letters", f"{scratch}/dead", "--once"])
-    main.run(spark, ["publish", *at, "--ledgers", f"{scratch}/ledger", "--scope", "all"])
-    rows = sorted(tuple(r) for r in tables.read_table(spark, database, table).collect())
+    for _ in range(2):
+        main.run(spark, ["publish", *at, "--ledgers", f"{scratch}/ledger", "--scope", "all"])
+    rows = sorted(tuple(r)[:3] for r in tables.read_table(spark, database, table).collect())
     assert rows == [(1, 76.98, 2), (2, 80.98, 0)]
     main.run(spark, ["overwrite-sales", *at, "--topic-path", f"{scratch}/topic"])
-    rows = sorted(tuple(r) for r in tables.read_table(spark, database, table).collect())
+    rows = sorted(tuple(r)[:3] for r in tables.read_table(spark, database, table).collect())
     assert rows == [(1, 75.98, 2), (2, 75.98, 0)]
 
 
