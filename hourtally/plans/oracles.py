@@ -44,6 +44,9 @@ ORACLES = {
     "topic_filter": """
   SELECT 'use-case-garment_sales' AS topic, count(*) AS n FROM events WHERE event_type IN ('purchase', 'error')
   UNION ALL SELECT 'use-case-book_sales', count(*) FROM orders""",
+    "topic_pruning": """
+  SELECT 'use-case-garment_sales' AS topic, count(*) AS n FROM events WHERE event_type IN ('purchase', 'error')
+  UNION ALL SELECT 'use-case-webclicks', count(*) FROM events WHERE event_type IN ('view', 'click', 'signup')""",
     "envelope_payload": """
   SELECT event_id AS id, props AS garment_name, epoch_us(ts) // 1000 AS sales_date, value AS order_value
   FROM events WHERE event_type = 'purchase'""",
@@ -139,10 +142,12 @@ ORACLES = {
   FROM orders GROUP BY 1""",
     "wide_amounts": """
   SELECT CAST(year(ts + to_days(365 * CASE event_type WHEN 'click' THEN -500 WHEN 'signup' THEN 9000 ELSE 0 END)) AS INTEGER) AS year,
-         CAST(sum(CASE WHEN event_type IN ('purchase', 'view') THEN 0 ELSE CAST(value AS DECIMAL(18,2)) END) AS DOUBLE) AS sales,
-         printf('%.9e', sum(CASE event_type WHEN 'purchase' THEN value * 1e20::DOUBLE WHEN 'view' THEN value * 1e-10::DOUBLE
-                            ELSE 0::DOUBLE END)) AS rest
-  FROM events GROUP BY 1""",
+         CAST(sum(CASE WHEN event_type IN ('purchase', 'view') THEN 0 ELSE CAST(amount AS DECIMAL(24,6)) END) AS DOUBLE) AS sales,
+         printf('%.9e', sum(CASE WHEN event_type IN ('purchase', 'view') THEN amount
+                            ELSE amount - CAST(CAST(amount AS DECIMAL(24,6)) AS DOUBLE) END)) AS rest
+  FROM (SELECT ts, event_type, CASE event_type WHEN 'purchase' THEN value * 1e20::DOUBLE WHEN 'view' THEN value * 1e-10::DOUBLE
+          WHEN 'click' THEN value + 123456789.0000004::DOUBLE ELSE value END AS amount FROM events) t
+  GROUP BY 1""",
     "literal_append": """
   SELECT s_name AS name, s_acctbal AS value FROM supplier
   UNION ALL VALUES ('Mens Pants', 45.99::DOUBLE), ('Womens Tops', 29.99::DOUBLE)""",

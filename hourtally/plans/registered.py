@@ -28,6 +28,9 @@ OTHER_WORDS = ("heon", "blees")
 # A year of 365 days; by such steps the times of wide_amounts are shifted.
 YEAR_MS = 31_536_000_000
 
+# An amount with more digits than the decimals hold; wide_amounts adds it to some.
+LONG_AMOUNT = 123456789.0000004
+
 # Files, so micro-batches, of a registered stream.
 FILES = 5
 
@@ -59,6 +62,14 @@ def topic_filter(spark, sf_dir):
     return envelope.only_topics(merged, wanted).groupBy("topic").agg(F.count("*").alias("n"))
 
 
+def topic_pruning(spark, sf_dir):
+    """Two topics of a file-backed one that keeps each in a folder of its own: the others are not opened."""
+    path = f"{session.scratch(spark, 'by-topic')}/topic"
+    topics.write_topic(stand_ins.merged_records(spark, sf_dir), path, topics.BY_TOPIC)
+    wanted = [feeds.GARMENT_SALES.topic, feeds.WEB_CLICKS.topic]
+    return topics.read_topic(spark, path, wanted).groupBy("topic").agg(F.count("*").alias("n"))
+
+
 def envelope_payload(spark, sf_dir):
     records = stand_ins.garment_records(_events(spark, sf_dir))
     wire = T.StructType.fromDDL("ID bigint, GARMENT_NAME string, SALES_DATE bigint, ORDER_VALUE double")
@@ -236,11 +247,13 @@ def running_total(spark, sf_dir):
 
 def incremental_scan(spark, sf_dir):
     """Two polls: everything up to half of the largest key, then what is new since."""
+    path = f"{sf_dir}/events.parquet"
+    middle = tables.newest_key(spark, path, "event_id") // 2
     events = _events(spark, sf_dir).select("event_id", "value")
-    middle = tables.poll(events, "event_id").mark // 2
     first = tables.poll(events.where(F.col("event_id") <= middle), "event_id")
-    second = tables.poll(events, "event_id", first.mark)
-    return first.rows.withColumn("poll", F.lit(1)).unionByName(second.rows.withColumn("poll", F.lit(2)))
+    second = tables.poll_files(spark, path, "event_id", first.mark)
+    fresh = second.rows.select("event_id", "value", F.lit(2).alias("poll"))
+    return first.rows.withColumn("poll", F.lit(1)).unionByName(fresh)
 
 
 def table_list_scan(spark, sf_dir):
@@ -579,8 +592,9 @@ def wide_amounts(spark, sf_dir):
     years = F.when(kind == "click", -500).when(kind == "signup", 9000).otherwise(0)
     events = _events(spark, sf_dir)
     shift = years.cast("bigint") * F.lit(YEAR_MS)
+    more = F.when(kind == "click", LONG_AMOUNT).otherwise(0.0)
     payload = F.struct(
-        (hours.epoch_ms(F.col("ts")) + shift).alias("SALES_DATE"), (F.col("value") * scale).alias("ORDER_VALUE")
+        (hours.epoch_ms(F.col("ts")) + shift).alias("SALES_DATE"), (F.col("value") * scale + more).alias("ORDER_VALUE")
     )
     records = envelope.to_records(events, feeds.GARMENT_SALES.topic, F.col("event_id"), envelope.envelope(payload))
     deltas = report.hourly_deltas(records, [feeds.GARMENT_SALES])
@@ -627,6 +641,7 @@ def batch_delta(spark, sf_dir):
 QUERIES = {
     "record_value": record_value,
     "topic_filter": topic_filter,
+    "topic_pruning": topic_pruning,
     "envelope_payload": envelope_payload,
     "nested_payload": nested_payload,
     "tweet_slice": tweet_slice,

@@ -58,8 +58,8 @@ EXEC_SUMMARY = T.StructType(
 AMOUNT = T.DecimalType(24, 6)
 DECIMAL_LIMIT = 1e18
 AMOUNT_TOTAL = T.DecimalType(38, 6)
-# What is left counts if it is more than the last digits of a double.
-LEAST_SHARE_LEFT = 1e-12
+# What is left counts if it is more than the last binary digit of the amount.
+LEAST_SHARE_LEFT = 2.0**-52
 
 COUNTERS = ("web_hits", "tweets", "tweets_positive")
 MEASURES = ("sales", *COUNTERS)

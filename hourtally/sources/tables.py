@@ -89,6 +89,35 @@ def poll(table: DataFrame, key: str, mark: int | None = None) -> Poll:
     return Poll(fresh.where(F.col(key) <= top), int(top))
 
 
+def newest_key(spark: SparkSession, path: str, key: str) -> int | None:
+    """The largest key of Parquet files, from their footers: no row is read.
+
+    Asked in a session of its own, whose reader hands a maximum down to the files.
+    """
+    asking = spark.newSession()
+    for name, value in FROM_FOOTERS.items():
+        asking.conf.set(name, value)
+    return footer_maximum(asking, path, key).first().top
+
+
+# Settings with which Spark answers minima, maxima and counts from the footers of files.
+FROM_FOOTERS = {"spark.sql.sources.useV1SourceList": "", "spark.sql.parquet.aggregatePushdown": "true"}
+
+
+def footer_maximum(asking: SparkSession, path: str, key: str) -> DataFrame:
+    return asking.read.parquet(path).agg(F.max(key).alias("top"))
+
+
+def poll_files(spark: SparkSession, path: str, key: str, mark: int | None = None) -> Poll:
+    """``poll`` of a table kept as Parquet files, whose upper bound comes from the footers."""
+    top = newest_key(spark, path, key)
+    table = spark.read.parquet(path)
+    if top is None or (mark is not None and top <= mark):
+        return Poll(table.where(F.lit(False)), mark)
+    fresh = table.where(F.col(key) <= top)
+    return Poll(fresh if mark is None else fresh.where(F.col(key) > mark), int(top))
+
+
 def poll_table(
     spark: SparkSession,
     database: Database,

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from hourtally.operators import envelope, feeds, readings
 from hourtally.plans import registered, report, stand_ins
-from hourtally.sources import tables
+from hourtally.sources import tables, topics
+from tests import helpers
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -15,7 +16,7 @@ SF_DIR = "/root/testdata/sf0.001"
 DECLARATIVE = [
     name
     for name in registered.QUERIES
-    if not name.startswith(("jdbc", "stream", "text_stream", "batch_delta", "upsert_summary", "incremental_scan", "table_to", "literal", "empty", "update_all"))
+    if not name.startswith(("jdbc", "stream", "text_stream", "batch_delta", "upsert_summary", "incremental_scan", "table_to", "literal", "empty", "update_all", "topic_pruning"))
 ]
 
 
@@ -114,3 +115,33 @@ def _shuffled_rows(frame):
         children = node.children()
         pending.extend(children.apply(i) for i in range(children.size()))
     return found
+
+
+def test_marks_come_from_footers(spark, scratch):
+    spark.range(100).write.parquet(f"{scratch}/t")
+    asking = spark.newSession()
+    for name, value in tables.FROM_FOOTERS.items():
+        asking.conf.set(name, value)
+    plan = tables.footer_maximum(asking, f"{scratch}/t", "id")._jdf.queryExecution().executedPlan().toString()
+    assert "PushedAggregation: [MAX(id)]" in plan
+    assert tables.newest_key(spark, f"{scratch}/t", "id") == 99
+    found = tables.poll_files(spark, f"{scratch}/t", "id", 94)
+    assert (sorted(r.id for r in found.rows.collect()), found.mark) == ([95, 96, 97, 98, 99], 99)
+    assert tables.poll_files(spark, f"{scratch}/t", "id", 99).rows.count() == 0
+    spark.range(0).write.parquet(f"{scratch}/none")
+    assert tables.poll_files(spark, f"{scratch}/none", "id").mark is None
+
+
+def test_topics_that_are_not_named_are_not_opened(spark, scratch):
+    pairs = [(t, "{}") for t in ("a", "b", "c") for _ in range(3)]
+    topics.write_topic(helpers.records(spark, pairs, None), f"{scratch}/topic", topics.BY_TOPIC)
+    read = topics.read_topic(spark, f"{scratch}/topic", ["a", "c"])
+    plan = read._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [topic" in plan
+    assert read.count() == 6 and helpers.record_columns(read)
+    opened = {r.f.split("topic=")[1][0] for r in read.select(F.input_file_name().alias("f")).distinct().collect()}
+    assert opened == {"a", "c"}
+    stream = topics.stream_topic(spark, f"{scratch}/topic", ["b"])
+    query = stream.writeStream.format("parquet").option("checkpointLocation", f"{scratch}/c").trigger(availableNow=True).start(f"{scratch}/out")
+    query.awaitTermination()
+    assert {r.topic for r in spark.read.parquet(f"{scratch}/out").collect()} == {"b"}

@@ -191,3 +191,9 @@ def test_preview(spark):
     assert [r.id for r in preview.preview(frame, "id").collect()] == list(range(10))
     assert preview.head(frame).id == 0
     assert preview.head(frame.where("id < 0")) is None
+
+
+@pytest.mark.parametrize("amount", [123456789.0000004, 1000000.0000005, 45.99, 1e-9, 0.1 + 0.2, 987654321987.123456])
+def test_amounts_keep_their_digits(spark, amount):
+    records = helpers.records(spark, [helpers.sale(MS, amount)], feeds.GARMENT_SALES.topic)
+    assert report.hourly_report(records, [feeds.GARMENT_SALES]).first().sales == pytest.approx(amount, rel=2.0**-52, abs=0)
