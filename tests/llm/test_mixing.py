@@ -59,10 +59,53 @@ def test_less_than_a_block_away(spark):
             assert abs(done - r.slot * q / 1000) < 1
 
 
-def test_more_sources_than_slots(spark):
-    frame = spark.createDataFrame([(str(i), i) for i in range(9)], "source string, doc_id long")
-    with pytest.raises(Exception, match="more sources than slots"):
-        mixing.mixed(frame, slots=5).collect()
+def test_sources_in_groups_by_hand(spark):
+    """Eight slots, two singles and two groups: every step once more by hand."""
+    weights = {f"s{i:02}": w for i, w in enumerate([40, 30, 9, 9, 9, 9, 9, 9, 9, 9])}
+    rows = [(source, 1000 * i + k) for i, source in enumerate(weights) for k in range(4 + i)]
+    frame = spark.createDataFrame(rows, "source string, doc_id long")
+    found = mixing.mixed(frame, weights, 8, 2).collect()
+    ordered = sorted(weights.items(), key=lambda x: (-x[1], x[0]))
+    groups = {"/0": [k for n, (k, _) in enumerate(ordered, 1) if n > 2 and n % 2 == 0], "/1": [k for n, (k, _) in enumerate(ordered, 1) if n > 2 and n % 2]}
+    entries = {f"s{k}": w for k, w in ordered[:2]} | {g: sum(weights[k] for k in members) for g, members in groups.items()}
+
+    def split(members):
+        spare, total = 8 - len(members), sum(members.values())
+        whole = {k: w * spare // total for k, w in members.items()}
+        rest = sorted(members, key=lambda k: (-(members[k] * spare % total), k))[: spare - sum(whole.values())]
+        return {k: 1 + whole[k] + (k in rest) for k in members}
+
+    top = split(entries)
+    inner = {g: earliest_deadline_first(split({f"s{k}": weights[k] for k in members}), 8) for g, members in groups.items()}
+    at, queues, order = {}, {}, []
+    for source in weights:
+        ranked_ids = by_hand([(source, d) for s, d in rows if s == source], {f"s{source}": 1}, 1, 2)
+        queues[f"s{source}"] = [d for _, d in ranked_ids]
+    while any(queues.values()):
+        for key in earliest_deadline_first(top, 8):
+            if key in groups:
+                k = at.get(key, 0)
+                at[key] = k + 1
+                key = inner[key][k % 8]
+            order += queues[key][:2]
+            queues[key] = queues[key][2:]
+    assert [r.doc_id for r in sorted(found, key=lambda r: r.position)] == order
+    assert sorted(r.position for r in found) == list(range(len(rows)))
+
+
+@pytest.mark.parametrize(("sources", "slots"), [(1001, 1000), (20_000, 200), (300, 12)])
+def test_more_sources_than_slots(spark, sources, slots):
+    """Every document once, in the order of slots, each block in a slot of its own."""
+    heavy = {"s0": 9 * sources, "s1": 3 * sources}
+    weights = {f"s{i}": heavy.get(f"s{i}", 1 + i % 7) for i in range(sources)}
+    frame = spark.range(sources * 3).selectExpr(f"'s' || id % {sources} AS source", "id AS doc_id")
+    more = spark.range(4 * slots).selectExpr("'s' || id % 2 AS source", "id + 10000000 AS doc_id")
+    found = mixing.mixed(frame.unionByName(more), weights, slots, 1).collect()
+    assert len(found) == sources * 3 + 4 * slots
+    assert sorted(r.position for r in found) == list(range(len(found)))
+    assert len({r.mix_slot for r in found}) == len(found)
+    by_place = sorted(found, key=lambda r: r.position)
+    assert all(a.mix_slot < b.mix_slot for a, b in zip(by_place, by_place[1:], strict=False))
 
 
 def test_odd_rows(odd_docs, no_docs):
