@@ -71,3 +71,63 @@ def test_runs_parsed_side_by_side(monkeypatch):
     monkeypatch.setattr(language, "ABREAST", 3)
     again, _ = language.entropies(model, texts)
     assert (bits == again).all()
+
+
+def test_large_alphabets_cost_little():
+    draw = __import__("random").Random(4)
+    known = {"zz": ["".join(chr(0x4E00 + draw.randrange(5000)) for _ in range(30_000))]}
+    for i in range(19):
+        letters = [chr(0x400 + 8 * i + k) for k in range(30)]
+        known[f"l{i:02}"] = ["".join(draw.choice([*letters, " "]) for _ in range(30_000))]
+    model = language.learn(known)
+    assert len(model.alphabet) > 4900
+    assert sum(x.nbytes for x in (model.fresh, model.steps, model.after)) < 100_000_000
+    texts = [t[0][5000:5200] for t in known.values()]
+    assert language.predict(model, texts)[0] == list(known)
+
+
+def test_letters_of_all_planes_and_late_letters(spark):
+    late = "1234567 " * 600 + "ein text der erst spät beginnt und dann lange weiter geht " * 40
+    rows = [(i, text, lang) for i, (text, lang) in enumerate([(late, "xx"), ("\U00030000\U00030001 " * 30, "yy"), ("plain words here", "en")] * 9)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language.fitted(docs)
+    assert model.languages == ["en", "xx", "yy"]
+    assert all(r.lang == r.lang_pred for r in language.identify(docs, model).collect())
+
+
+def test_samples_are_spread_over_the_text():
+    import numpy as np
+
+    codes = np.arange(1, 100_001, dtype=np.uint32)
+    some = language.spread(codes, 3000)
+    assert len(some) == 3000 and some[0] == 1 and some.max() > 99_000
+    assert np.diff(np.flatnonzero(np.diff(some.astype(np.int64)) > 1)).max() < 600
+    assert (language.spread(codes[:50], 3000) == codes[:50]).all()
+
+
+def test_predictions_of_the_query_by_hand(spark, sf_dir):
+    """Every language and score once more, from the same samples, by the greedy parse."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    known = language.sample(docs)
+    wholes = {}
+    for name, texts in known.items():
+        wholes[name] = "".join(plain(t) + " " for t in texts)[: language.SAMPLE_SYMBOLS]
+    found = {r.doc_id: r for r in registered.op1_cross_parsing_language(spark, sf_dir).collect()}
+    rows = sorted((len(r.text or ""), r.doc_id, r.text) for r in docs.collect())[:25]
+    for _, doc_id, text in rows:
+        parsed = plain(text or "")
+        if not parsed.strip():
+            assert found[doc_id].lang_pred == "und"
+            continue
+        runs = [parsed[k : k + language.RUN] for k in range(0, len(parsed), language.RUN)]
+        bits = {n: sum(phrases(r, w) for r in runs) * math.log2(len(w)) / len(parsed) for n, w in wholes.items()}
+        best = min(sorted(bits), key=bits.get)
+        assert found[doc_id].lang_pred == best
+        score = 1 / sum(2 ** (language.SHARPNESS * (bits[best] - b)) for b in bits.values())
+        assert abs(found[doc_id].score - score) < 1e-9
+
+
+def test_no_language_labelled(spark):
+    docs = spark.createDataFrame([(1, "some words", None), (2, "12", None), (3, None, None)], "doc_id long, text string, lang string")
+    found = language.identify(docs, language.fitted(docs)).collect()
+    assert {(r.doc_id, r.lang_pred, r.lettered) for r in found} == {(1, "und", True), (2, "und", False), (3, "und", False)}

@@ -79,3 +79,10 @@ def test_odd_rows(spark, odd_docs, tmp_path, empty):
 def test_rejected_documents_have_no_letter(odd_docs):
     names = {r.lang_pred for r in language.identify(odd_docs, language.fitted(odd_docs)).where("text IS NULL").collect()}
     assert names == {language.UNDETERMINED}
+
+
+def test_no_language_labelled_keeps_lettered_documents(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").withColumn("lang", language.F.lit(None).cast("string"))
+    kept = corpus_pipeline.identify_language(spark, docs, sf_dir)
+    lettered = {r.doc_id for r in docs.collect() if any(c.isalpha() for c in r.text or "")}
+    assert {r.doc_id for r in kept.collect()} == lettered
