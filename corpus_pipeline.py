@@ -1,6 +1,6 @@
 """From raw documents to token files: five stages, each written to Parquet and read again.
 
-1. Language: documents in no language that can be told go.
+1. Language: documents without a letter, so in no language, go.
 2. Near duplicates: one document of each group stays.
 3. Benchmark items: documents that hold one go.
 4. Mixing: documents are laid out in the order that gives each source its weight.
@@ -23,7 +23,7 @@ from hourtally.llm import decontaminate, language, minhash, mixing, registered,
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     found = language.identify(docs, language.fitted(docs))
-    return found.where(F.col("lang_pred") != language.UNDETERMINED).select(docs.columns)
+    return found.where("lettered").select(docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
