@@ -82,3 +82,41 @@ def test_probes_reach_every_neighbour():
     rest = near - index.centres[other]
     read = np.concatenate([book[codes[:, m]] for m, book in enumerate(index.books)], axis=1)
     assert np.allclose(np.linalg.norm(rest - read, axis=1), left)
+
+
+@pytest.mark.parametrize(("probes", "least_found"), [(vectors.PROBES, 0.95), (None, 1.0)])
+def test_links_found_among_many_lists(spark, monkeypatch, probes, least_found):
+    """Pairs at little more than the least cosine, in 90 lists: the hardest that there are."""
+    monkeypatch.setattr(vectors, "LIST_SIZE", 40)
+    draw = np.random.default_rng(12)
+    base = draw.normal(size=(1800, 64))
+    base /= np.linalg.norm(base, axis=1, keepdims=True)
+    side = draw.normal(size=base.shape)
+    side -= (side * base).sum(axis=1, keepdims=True) * base
+    side /= np.linalg.norm(side, axis=1, keepdims=True)
+    near = 0.9505 * base + np.sqrt(1 - 0.9505**2) * side
+    rows = [(k, v.tolist()) for k, v in enumerate(np.concatenate([base, near]))]
+    found = vectors.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), probes=probes).collect()
+    linked = [r for r in found if r.n_links]
+    assert len(linked) >= least_found * len(rows)
+    assert all(r.component_id == r.vec_id % 1800 for r in linked)
+
+
+def test_rows_dealt_do_not_grow_with_lists():
+    draw = np.random.default_rng(13)
+    points = draw.normal(size=(3000, 64))
+    points /= np.linalg.norm(points, axis=1, keepdims=True)
+    for total in (30_000, 150_000):
+        index = vectors.fit(points, total)
+        own, _, _ = vectors.coded(index, points[:500])
+        assert vectors.probed(index, points[:500], own, np.sqrt(0.1), vectors.PROBES).sum(axis=1).max() <= vectors.PROBES
+
+
+def test_query_by_hand(spark, tmp_path):
+    from hourtally.llm import registered
+
+    rows = planted()
+    spark.createDataFrame([(k, v, 0) for k, v in rows], "vec_id long, embedding array<float>, label int").write.parquet(f"{tmp_path}/embeddings.parquet")
+    found = registered.queries()["op9_product_quantised_dedup"](spark, str(tmp_path)).collect()
+    assert sorted((r.vec_id, r.n_links, r.component_id) for r in found) == by_hand(rows)
+    assert all(r.kept == (r.vec_id == r.component_id) for r in found)
