@@ -38,7 +38,7 @@ PARTING = 10
 
 @cache
 def _written() -> np.ndarray:
-    return np.array([chr(c).isalnum() for c in range(0x30000)])
+    return np.array([chr(c).isalnum() for c in range(0x110000)])
 
 
 def plain(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -46,7 +46,7 @@ def plain(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     lowered = [(t or "").lower() for t in texts]
     sizes = np.array([len(t) + 1 for t in lowered], np.int64)
     points = np.frombuffer("\n".join([*lowered, ""]).encode("utf-32-le", "replace"), np.uint32)
-    kept = _written()[np.minimum(points, 0x2FFFF)]
+    kept = _written()[points]
     out = np.where(kept, points, np.uint32(BLANK))
     ends = np.cumsum(sizes) - 1
     out[ends] = PARTING
