@@ -96,20 +96,27 @@ _KNOWN = ", ".join(f"({number}, '{plain}')" for number, plain in licences.SENTEN
 _RULES = ", ".join(
     f"('{name}', '%{'%'.join(f'<{i}>' for i in ids)}%')" for name, ids in licences.RULES
 )
+_PLAINLY = "lower(coalesce(text, ''))"
+for _pattern, _by, _group in licences.STEPS:
+    _PLAINLY = f"regexp_replace({_PLAINLY}, '{_pattern}', '{chr(92) + '1' if _group else ''}{_by}', 'g')"
+_MOST = max(len(plain.split()) for plain in licences.SENTENCES.values())
 OP10 = f"""
 WITH known(number, plain) AS (VALUES {_KNOWN}),
 rules(licence, shape) AS (VALUES {_RULES}),
-parts AS (
-  SELECT doc_id, unnest(string_split_regex(
-      regexp_replace(lower(coalesce(text, '')), '[.!?;]+[ \t\r\n]+', chr(10), 'g'), '[\r\n]')) AS part,
-    generate_subscripts(string_split_regex(
-      regexp_replace(lower(coalesce(text, '')), '[.!?;]+[ \t\r\n]+', chr(10), 'g'), '[\r\n]'), 1) AS place
-  FROM documents
+plainly AS (SELECT doc_id, string_split(trim({_PLAINLY}), 'S') AS sentences FROM documents),
+each AS (SELECT doc_id, unnest(range(len(sentences))) AS place, string_split(unnest(sentences), 'L') AS pieces FROM plainly),
+after AS (
+  SELECT doc_id, place, unnest(range(len(pieces))) AS piece,
+         array_to_string(pieces[unnest(range(len(pieces))) + 1 : unnest(range(len(pieces))) + {_MOST}], 'L') AS there
+  FROM each
+),
+met AS (
+  SELECT doc_id, place, piece, length(plain) AS size, number
+  FROM after JOIN known ON starts_with(replace(there, 'L', ' '), plain) AND substr(there, length(plain) + 1, 1) IN ('L', '')
 ),
-met AS (SELECT doc_id, place, number FROM parts JOIN known ON trim(regexp_replace(part, '[^a-z0-9]+', ' ', 'g')) = plain),
 lines AS (
-  SELECT doc_id, string_agg('<' || number || '>', '' ORDER BY place) AS line,
-         string_agg(number::VARCHAR, ',' ORDER BY place) AS numbers
+  SELECT doc_id, string_agg('<' || number || '>', '' ORDER BY place, piece, size) AS line,
+         string_agg(number::VARCHAR, ',' ORDER BY place, piece, size) AS numbers
   FROM met GROUP BY doc_id
 ),
 named AS (

@@ -91,6 +91,54 @@ NOTICES = [
 ]
 
 
+ISC = (
+    "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that "
+    "the above copyright notice and this permission notice appear in all copies.\n\nTHE SOFTWARE IS PROVIDED"
+)
+GPL_2 = GPL.replace("software:", "software;").replace("Foundation,", "Foundation;").replace("version 3", "version 2")
+LGPL_2 = GPL_2.replace("program", "library").replace("General", "Lesser General").replace("version 2", "version 2.1")
+NOTICES += [
+    (ISC, ["ISC"]), (GPL_2, ["GPL-2.0"]), (LGPL_2, ["LGPL-2.1"]), (GPL.replace("General", "Lesser General"), ["LGPL-3.0"]),
+    (GPL.replace("General", "Affero General"), ["AGPL-3.0"]),
+    ("This is free and unencumbered software released into the public domain.\n\nAnyone is free", ["Unlicense"]),
+    ("Distributed under the Boost Software License, Version 1.0.\n(See accompanying file LICENSE_1_0.txt)", ["BSL-1.0"]),
+    ("This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.", ["CC-BY-SA-4.0"]),
+    (
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available "
+        "at https://www.eclipse.org/legal/epl-2.0/",
+        ["EPL-2.0"],
+    ),
+    (BSD + "3. All advertising materials mentioning features or use of this software must display the following acknowledgement:\n\n", ["BSD-2-Clause", "BSD-4-Clause"]),
+]
+
+
+def test_many_licences():
+    names = {name for name, _ in licences.RULES}
+    assert len(names) >= 25
+    assert {"GPL-2.0", "LGPL-2.1", "AGPL-3.0", "ISC", "BSL-1.0", "Unlicense", "CC-BY-SA-4.0"} <= names
+
+
+def test_query_and_sql_on_wrapped_notices(spark, tmp_path):
+    """The registered query and its SQL, on notices in lines of any width."""
+    import duckdb
+
+    from hourtally.llm import oracles, registered
+
+    rows = []
+    for text, _ in [*NOTICES, ("a\r\n\r\nb v. v. 2; released under the MIT license!", []), (None, []), ("", []), ("\n\n# \n", []), ("S L", [])]:
+        for leader in ("", "# ", " * ", "rem "):
+            for end in ("\n", "\r\n", "\r"):
+                for width in (72, 40, 10_000):
+                    lines = [line for part in (text or "").split("\n") for line in textwrap.wrap(part, width) or [""]]
+                    rows.append((len(rows), None if text is None else end.join((leader + line).rstrip() if leader != "rem " else leader + line for line in lines)))
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    found = sorted(tuple(r) for r in registered.queries()["op10_licence_sentences"](spark, str(tmp_path)).collect())
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    assert found == sorted(con.sql(oracles.ORACLES["op10_licence_sentences"]).fetchall())
+    assert sum(bool(r[1]) for r in found) > 400
+
+
 def test_official_notices_in_lines(spark):
     rows, wanted = [], []
     for text, names in NOTICES:
