@@ -94,7 +94,8 @@ class Model(NamedTuple):
 
 def _slots(keys: np.ndarray, size: int) -> np.ndarray:
     """Where keys are looked for first, in a table whose size is a power of two."""
-    return (textbytes.mix(keys.astype(np.uint64)) & np.uint64(size - 1)).astype(np.int64)
+    spread = keys.astype(np.int64).view(np.uint64) * np.uint64(textbytes.RADIX)
+    return (spread >> np.uint64(65 - size.bit_length())).view(np.int64)
 
 
 def _hashed(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -116,7 +117,10 @@ def _following(model: Model, state: np.ndarray, symbol: np.ndarray) -> tuple[np.
     key = state * np.int64(len(model.alphabet) + 1) + symbol
     slot = _slots(key, len(model.steps))
     there = model.steps[slot]
-    open_ = np.flatnonzero((there != key) & (there != FREE))
+    known = there == key
+    open_ = np.flatnonzero(~known & (there != FREE))
+    if not len(open_):
+        return model.after[slot], known
     while len(open_):
         slot.flat[open_] = (slot.flat[open_] + 1) & (len(model.steps) - 1)
         there.flat[open_] = model.steps[slot.flat[open_]]
