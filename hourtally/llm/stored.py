@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import threading
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hourtally import session
 
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_LOCK = threading.Lock()
+_WRITING: list[str | None] = []
 
 
 def written(frame: DataFrame, name: str) -> DataFrame:
@@ -17,15 +23,28 @@ def written(frame: DataFrame, name: str) -> DataFrame:
     """
     spark = frame.sparkSession
     path = session.scratch(spark, name)
-    before = spark.conf.get(CLEANUP, "false")
-    spark.conf.set(CLEANUP, "true")
-    try:
+    with _shuffles_cleaned(spark):
         frame.write.parquet(path)
-    finally:
-        spark.conf.set(CLEANUP, before)
     return spark.read.schema(frame.schema).parquet(path)
 
 
+@contextmanager
+def _shuffles_cleaned(spark: SparkSession) -> Iterator[None]:
+    """The setting holds from the first of several writes at the same time to the end of the last."""
+    with _LOCK:
+        if not _WRITING:
+            _WRITING.append(spark.conf.get(CLEANUP, "false"))
+            spark.conf.set(CLEANUP, "true")
+        _WRITING.append(None)
+    try:
+        yield
+    finally:
+        with _LOCK:
+            _WRITING.pop()
+            if len(_WRITING) == 1:
+                spark.conf.set(CLEANUP, _WRITING.pop())
+
+
 def released(*frames: DataFrame) -> None:
     """Delete tables that ``written`` has made, once what was made from them is written too."""
     for frame in frames:
