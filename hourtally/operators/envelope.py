@@ -20,7 +20,7 @@ def envelope(payload: Column) -> Column:
 def to_records(frame: DataFrame, topic: Column | str, key: Column, value: Column) -> DataFrame:
     """Give any frame the shape of a topic: one record per row.
 
-    Partition and offset belong to a broker and stay NULL.
+    Partition and offset are given by a broker, or by the reader of a file-backed topic; here they are NULL.
     """
     columns = {
         "key": key.cast("string").cast("binary"),
@@ -80,3 +80,12 @@ def inner_document(document: Column) -> Column:
     """
     is_object = variants.is_present(document, "$.payload.timestamp")
     return F.when(~is_object, variants.parse_json(F.try_variant_get(document, "$.payload", "string")))
+
+
+def parsed(records: DataFrame) -> DataFrame:
+    """Records with their documents (``schemas.PARSED_RECORD``), for topics that keep them parsed.
+
+    The value stays, for records that cannot be used.
+    """
+    with_document = records.select(*schemas.RECORD.fieldNames(), variants.parse_json(value_text()).alias("doc"))
+    return with_document.withColumn("inner", inner_document(F.col("doc")))

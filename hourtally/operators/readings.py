@@ -50,12 +50,16 @@ _PART_TYPES = {"ms": "bigint", "amount": "double", "category": "string", "text":
 
 
 def _parse(records: DataFrame, feeds: Sequence[Feed]) -> DataFrame:
-    """Add ``doc`` (the parsed record) and ``part`` (the fields its feed names)."""
-    parsed = records.select(
-        "topic", "value", variants.parse_json(envelope.value_text()).alias("doc")
-    )
+    """Add ``doc`` (the parsed record) and ``part`` (the fields its feed names).
+
+    Records of a topic that keeps them parsed are not parsed again.
+    """
+    known = "doc" in records.columns
+    document = F.col("doc") if known else variants.parse_json(envelope.value_text())
+    more = ["inner"] if known else []
+    parsed = records.select("topic", "value", document.alias("doc"), *more)
     nested = [feed.topic for feed in feeds if feed.payload == JSON_TEXT]
-    if nested:
+    if nested and not known:
         inner = envelope.inner_document(F.col("doc"))
         parsed = parsed.withColumn("inner", F.when(F.col("topic").isin(*nested), inner))
 

@@ -47,6 +47,13 @@ ORACLES = {
     "topic_pruning": """
   SELECT 'use-case-garment_sales' AS topic, count(*) AS n FROM events WHERE event_type IN ('purchase', 'error')
   UNION ALL SELECT 'use-case-webclicks', count(*) FROM events WHERE event_type IN ('view', 'click', 'signup')""",
+    "report_from_parsed_topic": _SUMMARY,
+    "topic_offsets": """
+  SELECT topic, count(*) AS places, (2 * count(*))::BIGINT AS records FROM (
+    SELECT CASE WHEN event_type IN ('purchase', 'error') THEN 'use-case-garment_sales' ELSE 'use-case-webclicks' END AS topic FROM events
+    UNION ALL SELECT 'use-case-book_sales' FROM orders
+    UNION ALL SELECT 'use-case-tweets' FROM documents
+  ) t GROUP BY topic""",
     "envelope_payload": """
   SELECT event_id AS id, props AS garment_name, epoch_us(ts) // 1000 AS sales_date, value AS order_value
   FROM events WHERE event_type = 'purchase'""",

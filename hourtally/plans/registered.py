@@ -70,6 +70,30 @@ def topic_pruning(spark, sf_dir):
     return topics.read_topic(spark, path, wanted).groupBy("topic").agg(F.count("*").alias("n"))
 
 
+def topic_offsets(spark, sf_dir):
+    """Records by topic of a file-backed one appended to twice: how many, and how many places they have,
+    in a batch read and in a stream."""
+    work = session.scratch(spark, "offsets")
+    records = stand_ins.merged_records(spark, sf_dir)
+    for part in (0, 1):
+        half = F.pmod(F.xxhash64("topic", "key"), F.lit(2)) == part
+        topics.write_topic(records.where(half), f"{work}/topic")
+    stream = topics.stream_topic(spark, f"{work}/topic", maxFilesPerTrigger="2").select("topic", "partition", "offset")
+    place = stream.writeStream.format("parquet").option("checkpointLocation", f"{work}/checkpoint")
+    place.trigger(**jobs.trigger(None)).start(f"{work}/out").awaitTermination()
+    batch = topics.read_topic(spark, f"{work}/topic").select("topic", "partition", "offset")
+    streamed = spark.read.schema(batch.schema).parquet(f"{work}/out")
+    both = batch.unionByName(streamed).groupBy("topic", "partition", "offset").agg(F.count("*").alias("times"))
+    return both.groupBy("topic").agg(F.count("*").alias("places"), F.sum("times").alias("records"))
+
+
+def report_from_parsed_topic(spark, sf_dir):
+    """The hourly report from a topic whose records were parsed when they were published."""
+    path = f"{session.scratch(spark, 'parsed')}/topic"
+    topics.write_topic(stand_ins.merged_records(spark, sf_dir), path, parsed=True)
+    return report.hourly_report(topics.read_topic(spark, path, parsed=True))
+
+
 def envelope_payload(spark, sf_dir):
     records = stand_ins.garment_records(_events(spark, sf_dir))
     wire = T.StructType.fromDDL("ID bigint, GARMENT_NAME string, SALES_DATE bigint, ORDER_VALUE double")
@@ -642,6 +666,8 @@ QUERIES = {
     "record_value": record_value,
     "topic_filter": topic_filter,
     "topic_pruning": topic_pruning,
+    "topic_offsets": topic_offsets,
+    "report_from_parsed_topic": report_from_parsed_topic,
     "envelope_payload": envelope_payload,
     "nested_payload": nested_payload,
     "tweet_slice": tweet_slice,

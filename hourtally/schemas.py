@@ -16,6 +16,11 @@ RECORD = T.StructType(
     ]
 )
 
+# A record that was parsed when it was published: its document, and the one in its payload's text.
+PARSED_RECORD = T.StructType(
+    [*RECORD.fields, T.StructField("doc", T.VariantType()), T.StructField("inner", T.VariantType())]
+)
+
 # Source tables.
 PING = T.StructType(
     [

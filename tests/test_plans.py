@@ -16,7 +16,7 @@ SF_DIR = "/root/testdata/sf0.001"
 DECLARATIVE = [
     name
     for name in registered.QUERIES
-    if not name.startswith(("jdbc", "stream", "text_stream", "batch_delta", "upsert_summary", "incremental_scan", "table_to", "literal", "empty", "update_all", "topic_pruning"))
+    if not name.startswith(("jdbc", "stream", "text_stream", "batch_delta", "upsert_summary", "incremental_scan", "table_to", "literal", "empty", "update_all", "topic_pruning", "topic_offsets", "report_from_parsed"))
 ]
 
 
@@ -145,3 +145,19 @@ def test_topics_that_are_not_named_are_not_opened(spark, scratch):
     query = stream.writeStream.format("parquet").option("checkpointLocation", f"{scratch}/c").trigger(availableNow=True).start(f"{scratch}/out")
     query.awaitTermination()
     assert {r.topic for r in spark.read.parquet(f"{scratch}/out").collect()} == {"b"}
+
+
+def test_parsed_topics_are_not_parsed_again(spark, scratch):
+    topics.write_topic(stand_ins.merged_records(spark, SF_DIR), f"{scratch}/topic", parsed=True)
+    read = topics.read_topic(spark, f"{scratch}/topic", parsed=True)
+    assert "parse_json" not in _plan(report.hourly_report(read))
+    letters = report.unreadable(read).collect()
+    plain = report.unreadable(stand_ins.merged_records(spark, SF_DIR)).collect()
+    assert sorted((r.topic, r.problem, bytes(r.value)) for r in letters) == sorted((r.topic, r.problem, bytes(r.value)) for r in plain)
+
+
+def test_places_of_records(spark, scratch):
+    for _ in range(2):
+        topics.write_topic(helpers.records(spark, [("a", "{}")] * 50, None).repartition(3), f"{scratch}/topic")
+    places = [{(r.partition, r.offset) for r in topics.read_topic(spark, f"{scratch}/topic").collect()} for _ in range(2)]
+    assert places[0] == places[1] and len(places[0]) == 100
