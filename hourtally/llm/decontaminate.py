@@ -6,7 +6,8 @@ one is found, the text around it is checked: first by counting common runs of ``
 characters (each error spoils so many at most), then by Myers' bit-parallel edit distance.
 
 Texts are compared as lower-case letters and digits, with one blank for each run of all else.
-An item without either is found nowhere; null and empty texts hold nothing. The errors
+An item without either is found nowhere, and one of a few letters wherever they stand, within words too (an
+item "a" is in every text with an a); null and empty texts hold nothing. Very long texts are searched whole. The errors
 allowed are ``ERROR_SHARE`` of an item's length so written, rounded down. Repeated rows and
 repeated items are reported each for itself; extra columns are ignored.
 

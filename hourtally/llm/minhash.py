@@ -314,7 +314,9 @@ def neighbourhoods(shown: DataFrame) -> DataFrame:
     together = members.where((F.col("size") > TOGETHER) & (F.col("node") != F.col("hub"))).select(F.col("hub").alias("a"), F.col("node").alias("b"))
     joined = stored.written(alike.unionAll(together), "alike")
     stored.released(sizes, members)
-    return graph.components(joined)
+    found = graph.components(joined)
+    stored.released(joined)
+    return found
 
 
 def in_blocks(near: DataFrame, shown: DataFrame, texts: DataFrame) -> DataFrame:
@@ -369,9 +371,11 @@ def classes_of(shown: DataFrame, texts: DataFrame) -> DataFrame:
     inside = dealt.mapInArrow(_confirmed, "component long, block int, blocks int, node long, class long")
     inside = stored.written(inside, "inside")
     if inside.where("blocks > 1").isEmpty():
+        stored.released(held)
         return inside.select("node", "class")
-    joined = graph.components(stored.written(across_blocks(inside, held, shown), "links"))
-    joined = joined.select(F.col("node").alias("class"), "component").hint("merge")
+    links = stored.written(across_blocks(inside, held, shown), "links")
+    stored.released(held)
+    joined = graph.components(links).select(F.col("node").alias("class"), "component").hint("merge")
     named = inside.select("node", "class").join(joined, "class", "left")
     return named.select("node", F.coalesce("component", "class").alias("class"))
 
@@ -389,6 +393,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     sets = shown.select("set_1", "set_2", "n_shingles", "node", "least").join(classes.hint("merge"), "node", "left")
     sets = sets.withColumn("class", F.coalesce("class", "node"))
     sets = stored.written(sets.select("set_1", "set_2", "n_shingles", "class", "least"), "sets")
+    stored.released(shown)
     lowest = sets.groupBy("class").agg(F.min("least").alias("component_id"))
     # Written, so that Spark may split a join with very many rows of one set.
     named = stored.written(sets.join(lowest, "class").drop("least"), "classes")

@@ -9,7 +9,8 @@ was not trained on turns scores into probabilities.
 
 Words are runs of letters, of digits, or of other signs, in the case they are in. Null and
 empty texts have all features 0 and get the network's score for that. Without labels of both
-kinds every score is the share of label 1, or 0.5. Repeated rows are scored alike; extra
+kinds every score is the share of label 1, or 0.5. Of conflicting labels of one document the largest counts.
+Very long texts are pooled whole, in blocks of their own. Repeated rows are scored alike; extra
 columns are ignored.
 """
 

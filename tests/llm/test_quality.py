@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from hourtally.llm import quality, registered, textbytes
@@ -26,7 +27,6 @@ def test_word_vectors_are_sums_over_the_corpus(spark):
     index = quality.index_vectors().astype(float)
 
     def bucket(word):
-        import pyarrow as pa
 
         return int(quality.word_buckets(next(textbytes.blocks(pa.array([word]))))[0][0])
 
@@ -59,3 +59,33 @@ def test_odd_rows(spark, odd_docs, no_docs, labels):
 def test_empty_tables(spark, no_docs):
     table, network = quality.fit(no_docs, spark.createDataFrame([], "doc_id long, quality int"))
     assert np.isfinite(table).all() and quality.score(network, np.zeros((1, 2 * quality.DIMENSIONS)))[0] == 0.5
+
+
+def test_scores_of_the_query_by_hand(spark, sf_dir):
+    """Every tenth score once more: words by a pattern, means, spreads and both layers number by number."""
+    import math
+    import re
+
+    from hourtally.llm import registered
+
+    word = re.compile(rb"[A-Za-z\x80-\xff]+|[0-9]+|[^\x20\x09-\x0DA-Za-z0-9\x80-\xff]+")
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    table, network = quality.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    found = {r.doc_id: r for r in registered.op7_random_indexing_quality(spark, sf_dir).collect()}
+    for row in docs.orderBy("doc_id").collect()[::10]:
+        vectors = []
+        for piece in word.findall((row.text or "").encode()):
+            buckets, _ = quality.word_buckets(next(textbytes.blocks(pa.array([piece.decode(errors="surrogatepass")]))))
+            vectors.append(table[buckets[0]].tolist())
+        columns = list(zip(*vectors, strict=True)) or [[0.0]] * quality.DIMENSIONS
+        mean = [sum(c) / len(c) for c in columns]
+        spread = [math.sqrt(max(0.0, sum(x * x for x in c) / len(c) - m * m)) for c, m in zip(columns, mean, strict=True)]
+        values = [(v - c) / s for v, c, s in zip(mean + spread, network.centre.tolist(), network.scale.tolist(), strict=True)]
+        hidden = [
+            math.tanh(sum(v * w for v, w in zip(values, network.first[:, k].tolist(), strict=True)) + network.first_bias[k])
+            for k in range(quality.HIDDEN)
+        ]
+        total = sum(h * w for h, w in zip(hidden, network.second.tolist(), strict=True)) + network.second_bias
+        score = 1 / (1 + math.exp(-total / network.temperature))
+        assert abs(found[row.doc_id].score - score) < 2e-3
+        assert found[row.doc_id].predicted == (found[row.doc_id].score >= 0.3)
