@@ -3,6 +3,7 @@
 feed      keep the ledger of one or more feeds up to date
 state     the same totals in Spark's state store
 preview   print the payloads of a topic as they arrive
+report    the hourly report of a file-backed topic as a table, in one batch
 fold      shorten a ledger
 publish   write the totals of ledgers to a database table, or add what is new to every row
 overwrite-sales   set the sales of every row of a table to the total of a topic
@@ -67,6 +68,12 @@ def _arguments(argv) -> argparse.Namespace:
     command = streaming("preview")
     command.add_argument("--topics", nargs="+", required=True)
 
+    command = commands.add_parser("report")
+    command.add_argument("--topic-path", required=True, help="folder of a file-backed topic")
+    command.add_argument("--feeds", nargs="+", choices=names, default=names)
+    command.add_argument("--out", required=True, help="folder of the report")
+    command.add_argument("--dead-letters", required=True, help="folder of records that could not be used")
+
     command = commands.add_parser("fold")
     command.add_argument("--ledger", required=True)
     command.add_argument("--drop", action="store_true", help="delete the files of earlier folds")
@@ -138,6 +145,9 @@ def run(spark: SparkSession, argv=None) -> None:
         if _skips(args):
             jobs.skip_present(shown, args.checkpoint)
         preview.console(shown, args.checkpoint, **jobs.trigger(interval)).awaitTermination()
+    elif args.job == "report":
+        chosen = [feed for feed in feeds.ALL_FEEDS if feed.name in args.feeds]
+        report.write_report(topics.read_topic(spark, args.topic_path), args.out, args.dead_letters, chosen)
     elif args.job == "fold":
         ledger.fold(spark, args.ledger)
         if args.drop:

@@ -96,6 +96,10 @@ ORACLES = {
   SELECT {_TWEET_HOUR} AS hour, count(*) AS tweets, count(*) FILTER (WHERE {_OTHER}) AS tweets_positive
   FROM documents GROUP BY 1""",
     "exec_summary_hourly": _SUMMARY,
+    "report_with_letters": f"""
+  SELECT report_date, sales, web_hits, tweets, tweets_positive, NULL::VARCHAR AS raw FROM ({_SUMMARY}) s
+  UNION ALL
+  SELECT NULL, NULL, NULL, NULL, NULL, left(raw, length(raw) - 2) FROM ({_SALE_TEXTS}) t WHERE event_type = 'error'""",
     "grand_total": f"SELECT sales FROM ({_TOTALS}) t",
     "hour_value_map": _US_SALES,
     "running_total": f"""

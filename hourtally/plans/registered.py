@@ -239,6 +239,15 @@ def exec_summary_hourly(spark, sf_dir):
     return report.hourly_report(stand_ins.merged_records(spark, sf_dir))
 
 
+def report_with_letters(spark, sf_dir):
+    """The report of all feeds written as a table, with what it leaves out beside it: rows of both."""
+    work = session.scratch(spark, "report")
+    report.write_report(stand_ins.merged_records(spark, sf_dir), f"{work}/hours", f"{work}/letters")
+    hours_ = spark.read.parquet(f"{work}/hours").select("report_date", *schemas.MEASURES, F.lit(None).cast("string").alias("raw"))
+    letters = spark.read.parquet(f"{work}/letters").select(envelope.value_text().alias("raw"))
+    return hours_.unionByName(letters, allowMissingColumns=True)
+
+
 def grand_total(spark, sf_dir):
     records = stand_ins.merged_records(spark, sf_dir)
     return rollup.shown(report.overall(records, [feeds.GARMENT_SALES, feeds.BOOK_SALES])).select("sales")
@@ -686,6 +695,7 @@ QUERIES = {
     "hourly_tweets": hourly_tweets,
     "hourly_tweets_custom": hourly_tweets_custom,
     "exec_summary_hourly": exec_summary_hourly,
+    "report_with_letters": report_with_letters,
     "grand_total": grand_total,
     "hour_value_map": hour_value_map,
     "running_total": running_total,

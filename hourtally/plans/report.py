@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from hourtally import session
 from hourtally.operators import feeds as feed_specs
 from hourtally.operators import readings, rollup
 from hourtally.operators.feeds import Feed
@@ -36,6 +38,27 @@ def unreadable(records: DataFrame, feeds: Sequence[Feed] = feed_specs.ALL_FEEDS)
     return readings.dead_letters(readings.read_feeds(records, feeds))
 
 
+def write_report(
+    records: DataFrame, path: str, dead_letter_path: str, feeds: Sequence[Feed] = feed_specs.ALL_FEEDS
+) -> int:
+    """The hourly report as a table, and what it leaves out in another; none of a batch is lost unseen.
+
+    One pass over the records writes the report and counts the others; only if there are any does a second
+    one write these. Both tables are replaced. Returns the number of records set aside.
+    """
+    if not dead_letter_path:
+        raise ValueError("name a folder for the records that cannot be used")
+    seen = Observation()
+    read = readings.read_feeds(records, feeds)
+    added = readings.contributions(read, feeds, "problem").observe(seen, F.count("problem").alias("unusable"))
+    rollup.shown(rollup.hourly(added)).write.mode("overwrite").parquet(path)
+    if seen.get["unusable"]:
+        readings.dead_letters(read).write.mode("overwrite").parquet(dead_letter_path)
+    else:
+        session.delete(records.sparkSession, dead_letter_path)
+    return seen.get["unusable"]
+
+
 def overall(records: DataFrame, feeds: Sequence[Feed] = feed_specs.ALL_FEEDS) -> DataFrame:
     """Records of any of the feeds to one row of totals."""
     read = readings.read_feeds(records, feeds)

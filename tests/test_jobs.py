@@ -113,3 +113,14 @@ def test_pings_as_a_topic(spark, scratch):
     rows = envelope.payload_of(records, wire).withColumn("at", hours.event_time(F.col("TEST_TIMESTAMP")))
     assert pings.schema.fieldNames() == schemas.PING.fieldNames()
     assert sorted(r.TEST_ID for r in rows.where("at <= current_timestamp()").collect()) == [1, 2, 3, 4]
+
+
+def test_report_job(spark, scratch):
+    values = [helpers.sale(1496767720000, 2.5), "{broken"]
+    topics.write_topic(helpers.records(spark, values, feeds.GARMENT_SALES.topic), f"{scratch}/topic")
+    args = ["report", "--topic-path", f"{scratch}/topic", "--out", f"{scratch}/hours", "--dead-letters", f"{scratch}/dead"]
+    main.run(spark, args)
+    assert [r.sales for r in spark.read.parquet(f"{scratch}/hours").collect()] == [2.5]
+    assert [bytes(r.value) for r in spark.read.parquet(f"{scratch}/dead").collect()] == [b"{broken"]
+    with pytest.raises(ValueError, match="cannot be used"):
+        report.write_report(topics.read_topic(spark, f"{scratch}/topic"), f"{scratch}/hours", "")

@@ -16,7 +16,7 @@ SF_DIR = "/root/testdata/sf0.001"
 DECLARATIVE = [
     name
     for name in registered.QUERIES
-    if not name.startswith(("jdbc", "stream", "text_stream", "batch_delta", "upsert_summary", "incremental_scan", "table_to", "literal", "empty", "update_all", "topic_pruning", "topic_offsets", "report_from_parsed"))
+    if not name.startswith(("jdbc", "stream", "text_stream", "batch_delta", "upsert_summary", "incremental_scan", "table_to", "literal", "empty", "update_all", "topic_pruning", "topic_offsets", "report_from_parsed", "report_with"))
 ]
 
 
