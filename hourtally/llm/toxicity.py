@@ -44,6 +44,8 @@ HELD = 1 << 20
 # How many words of a text are looked at by themselves: those with the greatest differences.
 TELLING = (1, 2, 4, 8, 16)
 FEATURES = 3 + 2 * len(TELLING)
+# Labelled texts are counted in two folds, 0 and 1, and together.
+BOTH = 2
 THRESHOLD = 0.7
 
 
@@ -191,17 +193,11 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def class_counts(chosen: DataFrame) -> dict[tuple[int, int], Counts]:
-    """Counts by fold and class of chosen texts (``fold, toxic, text``)."""
+    """Counts by fold and class of chosen texts (``fold, toxic, text``); fold ``BOTH`` has all of a class."""
     runs = chosen.select("fold", "toxic", "text").mapInArrow(_counted, "fold int, toxic int, run long, n long")
     summed = stored.written(runs.groupBy("fold", "toxic", "run").agg(F.sum("n").alias("n")), "class-runs")
-    return _collected(_bucketed(summed, "fold", "toxic"), "fold", "toxic")
-
-
-def merged(*tables: Counts) -> Counts:
-    """Counts of several folds together; signs that two folds saw in the same place may be counted twice as kinds."""
-    runs, before = (np.sum([t[k] for t in tables], axis=0) for k in (0, 1))
-    kinds = np.minimum(np.sum([t.kinds for t in tables], axis=0), before)
-    return Counts(runs, before, kinds, float(np.mean([t.discount for t in tables])))
+    both = summed.groupBy(F.lit(BOTH).alias("fold"), "toxic", "run").agg(F.sum("n").alias("n"))
+    return _collected(_bucketed(summed.unionByName(both), "fold", "toxic"), "fold", "toxic")
 
 
 def _smoothed(counts: Counts, runs: np.ndarray, below: np.ndarray) -> np.ndarray:
@@ -327,7 +323,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAINING_ROWS) -> Model:
     if not (there.get(0) and there.get(1)):
         return _constant(shared, (totals.get(1, 0) + 1) / (sum(totals.values()) + 2))
     tables = class_counts(chosen)
-    for fold in (0, 1):
+    for fold in (0, 1, BOTH):
         for kind in (0, 1):
             tables.setdefault((fold, kind), _empty())
     shipped = docs.sparkSession.sparkContext.broadcast((shared, tables))
@@ -337,7 +333,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAINING_ROWS) -> Model:
     # As many as there are of each class, not as many as were chosen.
     importance = np.where(kinds == 1, totals[1] / there[1], totals[0] / there[0])
     fitted = logistic(values, kinds, importance * len(kinds) / importance.sum())
-    return Model(shared, merged(tables[0, 0], tables[1, 0]), merged(tables[0, 1], tables[1, 1]), *fitted)
+    return Model(shared, tables[BOTH, 0], tables[BOTH, 1], *fitted)
 
 
 def scored(docs: DataFrame, model: Model) -> DataFrame:

@@ -67,14 +67,14 @@ def test_differences_by_hand(spark):
     frame = spark.createDataFrame([(k, t) for k, t in enumerate(TEXTS)], "doc_id long, text string")
     shared = toxicity.shared_counts(frame)
     toxic, ordinary = ["abd abd xyz", "abcdefghij abcdefghik"], ["Abc abd, ABCDEFGHIJ é", "xyz éé abc"]
-    rows = [(0, 1, t.lower()) for t in toxic] + [(0, 0, t.lower()) for t in ordinary]
+    rows = [(i, 1, t.lower()) for i, t in enumerate(toxic)] + [(i, 0, t.lower()) for i, t in enumerate(ordinary)]
     tables = toxicity.class_counts(spark.createDataFrame(rows, "fold int, toxic int, text string"))
     hand = ByHand(TEXTS, toxic, ordinary)
     for text in [*toxic, *ordinary, "unseen abx", "zé"]:
         block = next(textbytes.blocks(pa.array([text.lower()])))
         words = toxicity.words_of(block)
         runs, begin = toxicity.runs_of(words)
-        each = np.add.reduceat(toxicity.differences(shared, tables[0, 0], tables[0, 1], runs), begin)[words.which]
+        each = np.add.reduceat(toxicity.differences(shared, tables[toxicity.BOTH, 0], tables[toxicity.BOTH, 1], runs), begin)[words.which]
         assert each == pytest.approx([hand.difference(w) for w in words_by_hand(text)], rel=1e-4, abs=1e-5)
 
 
