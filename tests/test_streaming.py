@@ -102,6 +102,29 @@ def test_batch_that_adds_nothing_makes_no_entry(spark, scratch):
     assert _batches(spark, scratch) == [1]
 
 
+def test_batch_without_records_does_not_end_the_job(spark, scratch):
+    nothing = _sales(spark, (MS, 1.0)).where(F.length("value") < 0)
+    other = helpers.records(spark, [helpers.click(MS, "firstPage")], feeds.WEB_CLICKS.topic)
+    broken = helpers.records(spark, ["{broken"], feeds.GARMENT_SALES.topic)
+    for records in (nothing, _sales(spark, (MS, 1.0)), other, broken, nothing, _sales(spark, (MS, 2.0))):
+        _publish(records, f"{scratch}/topic")
+    _run(spark, scratch, maxFilesPerTrigger="1")
+    assert _totals(spark, scratch) == {H16: 3.0}
+    assert _batches(spark, scratch) == [1, 5]
+    letters = spark.read.parquet(f"{scratch}/dead")
+    assert [(bytes(r.value), r.batch_id) for r in letters.collect()] == [(b"{broken", 3)]
+
+
+def test_report_without_records_is_empty(spark, scratch):
+    nothing = _sales(spark, (MS, 1.0)).where(F.length("value") < 0)
+    for records, letters in ((nothing, 0), (helpers.records(spark, ["{broken"], feeds.GARMENT_SALES.topic), 1)):
+        _publish(records, f"{scratch}/{letters}")
+        records = topics.read_topic(spark, f"{scratch}/{letters}")
+        assert report.write_report(records, f"{scratch}/hours", f"{scratch}/letters", SELLING) == letters
+        assert spark.read.parquet(f"{scratch}/hours").count() == 0
+        assert session.exists(spark, f"{scratch}/letters") == bool(letters)
+
+
 def test_all_feeds_in_one_job(spark, scratch):
     pairs = [
         (feeds.GARMENT_SALES.topic, helpers.sale(MS, 1.0)),
