@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 from hourtally import session
-from hourtally.operators import feeds, rollup
-from hourtally.plans import report
+from hourtally.operators import envelope, feeds, rollup
+from hourtally.plans import registered, report
 from hourtally.sinks import ledger, preview
 from hourtally.sources import lines, topics
 from hourtally.streaming import jobs, state
@@ -125,6 +126,25 @@ def test_report_without_records_is_empty(spark, scratch):
         assert session.exists(spark, f"{scratch}/letters") == bool(letters)
 
 
+def test_files_of_a_stream_grow_with_its_input(spark, scratch):
+    rows = spark.range(1000).repartition(12)
+    stream = registered._stream(spark, rows, f"{scratch}/in")
+    files = {r.f for r in spark.read.parquet(f"{scratch}/in").select(F.input_file_name().alias("f")).distinct().collect()}
+    assert len(files) >= 12
+    sizes = []
+    jobs.each_batch(stream, lambda batch, _: sizes.append(batch.count()), f"{scratch}/checkpoint", None).awaitTermination()
+    assert len(sizes) == registered.BATCHES and sum(sizes) == 1000
+
+
+def test_tasks_share_a_file_of_a_topic_by_row_groups(spark, scratch, monkeypatch):
+    monkeypatch.setattr(topics, "ROW_GROUP", 1 << 16)
+    values = F.concat(*(F.sha2(F.concat("id", F.lit(n)).cast("binary"), 256) for n in range(8)))
+    rows = spark.range(5000).select(F.lit("t").alias("topic"), values.alias("text"))
+    _publish(envelope.to_records(rows, F.col("topic"), F.lit("k"), F.col("text")), f"{scratch}/topic")
+    [file] = topics.read_topic(spark, f"{scratch}/topic").inputFiles()
+    assert pq.ParquetFile(file.removeprefix("file://")).metadata.num_row_groups > 1
+
+
 def test_all_feeds_in_one_job(spark, scratch):
     pairs = [
         (feeds.GARMENT_SALES.topic, helpers.sale(MS, 1.0)),
