@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 END_ID = 2
-# Words kept with their ids; longer ones are encoded each time.
+# Words and runs of letters kept with their ids, together; longer ones are encoded each time.
 KEPT_WORDS = 500_000
 LONGEST_KEPT = 48
 # Ids of a batch of rows on their way to the file.
@@ -102,7 +102,7 @@ class _Words(dict):
         found = []
         for text in texts:
             found.append(b"".join(map(self.__getitem__, (text or "").replace("\n", " ").split(" "))))
-            if len(self) > KEPT_WORDS:
+            if len(self) + len(self.pieces) > KEPT_WORDS:
                 self.clear()
                 self.pieces.clear()
         return found
@@ -184,6 +184,7 @@ def part_starts(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _checked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    _words.cache_clear()  # the ids are written, so what this process kept to find them goes
     for batch in batches:
         lists = batch.column("tokens")
         values = memoryview(lists.values.to_numpy().astype("<i4", copy=False)).cast("B")

@@ -80,3 +80,21 @@ def test_odd_rows(spark, odd_docs, no_docs, scratch):
     assert found == [r[1:] for r in by_hand(rows)]
     tokens.write_tokens(no_docs, f"{scratch}/b", registered.tokenizer_path())
     assert tokens.digests(spark, f"{scratch}/b").count() == 0
+
+
+def test_words_and_runs_of_letters_are_kept_within_one_bound(monkeypatch):
+    path = registered.tokenizer_path()
+    monkeypatch.setattr(tokens, "KEPT_WORDS", 100)
+    kept = tokens._words(path)
+    kept.clear()
+    kept.pieces.clear()
+    text = " ".join(f"{a}{b}xy" for a in "abcdefghi" for b in "klmnopqrst")  # 90 words, 90 runs of letters
+    (ids,) = tokens.encode(path, [text])
+    assert np.frombuffer(ids, "<u4").tolist() == whole_ids(text)
+    assert len(kept) + len(kept.pieces) <= 100
+
+
+def test_words_are_let_go_when_files_are_read_back():
+    tokens.encode(registered.tokenizer_path(), ["some words"])
+    assert not list(tokens._checked(iter([])))
+    assert tokens._words.cache_info().currsize == 0
