@@ -10,13 +10,15 @@ A null text is an empty one: its ids are the end id alone. Rows of equal order a
 their texts; repeated rows are repeated. Other columns of the documents are not written.
 
 A text is encoded word by word if the tokenizer drops white space, so that no token crosses
-a blank or a line end; another tokenizer gets whole texts. A task keeps a bounded number of words it has encoded, and of the runs of letters in them; the
-tokenizer's own model gives the ids of a run that is new.
+a blank or a line end; another tokenizer gets whole texts. The words of a batch are told apart first, and each is looked
+up once for the batch. A task keeps a bounded number of runs of letters in lower case, and of words that are no such runs, with
+their ids; the tokenizer's own model gives the ids of a run that is new.
 """
 
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from array import array
 from collections.abc import Iterator, Sequence
@@ -24,6 +26,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -49,10 +52,15 @@ FILES = "part int, place long, doc_id long, start long, n_tokens long, tokens ar
 
 # Signs that are one piece to the tokenizer when they follow letters: all of ASCII but the apostrophe.
 SIGNS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+LETTERS_AND_SIGNS = f"\\A(?P<letters>[A-Za-zªµºÀ-ÖØ-öø-ÿ]+)(?P<signs>[{re.escape(SIGNS)}]*)\\z"
 
 
 class _Words(dict):
-    """The ids of words, by word; those of a new word are found when it is asked for."""
+    """The ids of words, by word; those of a new word are found when it is asked for.
+
+    A word of letters, with or without signs after them, is put together from ``pieces``, the ids of
+    runs of letters in lower case, and those of the signs.
+    """
 
     def __init__(self, path: str):
         super().__init__()
@@ -78,34 +86,59 @@ class _Words(dict):
         """The ids of a run of letters in lower case, by the tokenizer's model alone."""
         return array("I", [x.id for x in self.tokenizer.model.tokenize(letters.translate(self.spelling))]).tobytes()
 
-    def __missing__(self, word: str) -> bytes:
-        letters = word.rstrip(SIGNS)
-        if self.by_pieces and letters.isalpha() and (letters.isascii() or max(letters) <= "\u00ff"):
-            signs = word[len(letters) :]
-            letters = letters.lower()
-            ids = self.pieces.get(letters)
-            if ids is None:
-                ids = self.piece(letters)
-                if len(letters) <= LONGEST_KEPT:
-                    self.pieces[letters] = ids
-            if signs:
-                ids += self[signs]
-        else:
-            ids = self.whole([word])[0]
+    def keep(self, kept: dict[str, bytes], word: str, ids: bytes) -> bytes:
         if len(word) <= LONGEST_KEPT:
-            self[word] = ids
+            if len(self) + len(self.pieces) >= KEPT_WORDS:
+                self.clear()
+                self.pieces.clear()
+            kept[word] = ids
         return ids
 
-    def encode(self, texts: list[str | None]) -> list[bytes]:
+    def __missing__(self, word: str) -> bytes:
+        return self.keep(self, word, self.whole([word])[0])
+
+    def of(self, words: pa.Array) -> pa.ListArray:
+        """The ids of each of different words."""
+        if not self.by_pieces:
+            return _lists([self[w] for w in _strings(words)])
+        split = pc.extract_regex(words, LETTERS_AND_SIGNS)
+        runs = pc.utf8_lower(pc.struct_field(split, "letters")).dictionary_encode()
+        signs = pc.struct_field(split, "signs").dictionary_encode()
+        others = split.is_null()
+        known = self.pieces.get
+        ids = [known(x) or self.keep(self.pieces, x, self.piece(x)) for x in _strings(runs.dictionary)]
+        ids += [self[x] for x in _strings(signs.dictionary)]
+        ids += [self[x] for x in _strings(words.filter(others))]
+        ids.append(b"")
+        # Two places of ``ids`` for each word: its letters and its signs, or itself and nothing.
+        places = np.full((len(words), 2), len(ids) - 1)
+        alone = others.to_numpy(zero_copy_only=False)
+        n_runs, n_signs = len(runs.dictionary), len(signs.dictionary)
+        places[~alone, 0] = runs.indices.drop_null().to_numpy()
+        places[~alone, 1] = n_runs + signs.indices.drop_null().to_numpy()
+        places[alone, 0] = np.arange(n_runs + n_signs, len(ids) - 1)
+        put = _lists(ids).take(pa.array(places.ravel()))
+        return pa.ListArray.from_arrays(put.offsets[::2], put.flatten())
+
+    def encode(self, texts: pa.Array) -> pa.ListArray:
+        """The ids of each text."""
+        texts = texts.fill_null("")
         if not self.by_words:
-            return self.whole([t or "" for t in texts])
-        found = []
-        for text in texts:
-            found.append(b"".join(map(self.__getitem__, (text or "").replace("\n", " ").split(" "))))
-            if len(self) + len(self.pieces) > KEPT_WORDS:
-                self.clear()
-                self.pieces.clear()
-        return found
+            return _lists(self.whole(texts.to_pylist()))
+        words = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
+        numbered = words.flatten().dictionary_encode()
+        ids = self.of(numbered.dictionary).take(numbered.indices)
+        return pa.ListArray.from_arrays(ids.offsets.take(words.offsets), ids.flatten())
+
+
+def _strings(texts: pa.Array) -> list[str]:
+    return texts.to_numpy(zero_copy_only=False).tolist()
+
+
+def _lists(found: list[bytes]) -> pa.ListArray:
+    edges = np.zeros(len(found) + 1, np.int64)
+    np.cumsum(np.fromiter(map(len, found), np.int64, len(found)) // 4, out=edges[1:])
+    return pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.array(np.frombuffer(b"".join(found), "<i4"), pa.int32()))
 
 
 @cache
@@ -115,15 +148,18 @@ def _words(path: str) -> _Words:
 
 def encode(path: str, texts: list[str | None]) -> list[bytes]:
     """The ids of each text, four bytes each, the end id not included."""
-    return _words(path).encode(texts)
+    lists = _words(path).encode(pa.array(texts, pa.string()))
+    ids, edges = lists.values.to_numpy(), lists.offsets.to_numpy()
+    return [ids[a:b].tobytes() for a, b in zip(edges[:-1], edges[1:], strict=True)]
 
 
-def _runs(texts: list[str | None], size: int) -> Iterator[tuple[int, int]]:
+def _runs(texts: pa.Array, size: int) -> Iterator[tuple[int, int]]:
+    lengths = pc.binary_length(texts).fill_null(0).to_pylist()
     at = 0
-    while at < len(texts):
+    while at < len(lengths):
         upto, total = at, 0
-        while upto < len(texts) and (upto == at or total + len(texts[upto] or "") < size):
-            total += len(texts[upto] or "")
+        while upto < len(lengths) and (upto == at or total + lengths[upto] < size):
+            total += lengths[upto]
             upto += 1
         yield at, upto
         at = upto
@@ -132,23 +168,21 @@ def _runs(texts: list[str | None], size: int) -> Iterator[tuple[int, int]]:
 def _encoded(path: str, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, start, place = TaskContext.get().partitionId(), 0, 0
-        end = np.array([end_id], "<u4").tobytes()
+        end = np.array(end_id, "<u4").view("<i4")
         for batch in batches:
-            texts, ids = batch.column("text").to_pylist(), batch.column("doc_id")
+            texts, doc_ids = batch.column("text"), batch.column("doc_id")
             for at, upto in _runs(texts, 4 * BATCH_IDS):
-                held = [x + end for x in encode(path, texts[at:upto])]
-                counts = np.array([len(x) // 4 for x in held], np.int64)
-                edges = np.concatenate([[0], np.cumsum(counts)])
-                lists = pa.ListArray.from_arrays(
-                    pa.array(edges, pa.int32()), pa.array(np.frombuffer(b"".join(held), "<i4"), pa.int32())
-                )
+                lists = _words(path).encode(texts.slice(at, upto - at))
+                edges = lists.offsets.to_numpy().astype(np.int64)
+                ids = np.insert(lists.values.to_numpy(), edges[1:], end)
+                edges += np.arange(len(edges))
                 columns = [
                     pa.array(np.full(upto - at, part), pa.int32()),
                     pa.array(np.arange(place, place + upto - at), pa.int64()),
-                    ids.slice(at, upto - at),
+                    doc_ids.slice(at, upto - at),
                     pa.array(start + edges[:-1], pa.int64()),
-                    pa.array(counts, pa.int64()),
-                    lists,
+                    pa.array(np.diff(edges), pa.int64()),
+                    pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.array(ids, pa.int32())),
                 ]
                 start += int(edges[-1])
                 place += upto - at

@@ -98,3 +98,17 @@ def test_words_are_let_go_when_files_are_read_back():
     tokens.encode(registered.tokenizer_path(), ["some words"])
     assert not list(tokens._checked(iter([])))
     assert tokens._words.cache_info().currsize == 0
+
+
+def test_a_run_of_letters_is_encoded_once_for_all_texts_of_a_batch(monkeypatch):
+    path = registered.tokenizer_path()
+    texts = [f"Zyxwa zyxwb, ZYXWC!? {i} zyxwa.\nÉlève zyxwb" for i in range(40)] + [None, ""]
+    encoded, piece = [], tokens._Words.piece
+    monkeypatch.setattr(tokens._Words, "piece", lambda self, letters: encoded.append(letters) or piece(self, letters))
+    monkeypatch.setattr(tokens, "KEPT_WORDS", 2)
+    tokens._words.cache_clear()
+    tokens._words(path)
+    encoded.clear()
+    found = [np.frombuffer(x, "<u4").tolist() for x in tokens.encode(path, texts)]
+    assert found == [whole_ids(t) for t in texts]
+    assert sorted(encoded) == ["zyxwa", "zyxwb", "zyxwc", "élève"]
