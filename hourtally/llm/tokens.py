@@ -187,6 +187,7 @@ def _encoded(path: str, end_id: int):
                 start += int(edges[-1])
                 place += upto - at
                 yield pa.RecordBatch.from_arrays(columns, names=["part", "place", "doc_id", "start", "n_tokens", "tokens"])
+        pa.default_memory_pool().release_unused()  # Arrow holds on to what batches have used
 
     return run
 
@@ -219,6 +220,7 @@ def part_starts(spark: SparkSession, path: str) -> DataFrame:
 
 def _checked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     _words.cache_clear()  # the ids are written, so what this process kept to find them goes
+    pa.default_memory_pool().release_unused()
     for batch in batches:
         lists = batch.column("tokens")
         values = memoryview(lists.values.to_numpy().astype("<i4", copy=False)).cast("B")
